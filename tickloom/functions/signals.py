@@ -26,8 +26,8 @@ def trading_signal(prev: Column, last: Column, lower: Column, upper: Column) ->
 def crossover_signal(s1: Column, s2: Column, l1: Column, l2: Column) -> Column:
     """Short average (s1 then s2) crossing the long one (l1 then l2)."""
     valid = (s1 >= 0) & (s2 >= 0)
-    return F.when(valid & (s1 < s2) & (s1 < l1) & (s2 > l2), F.lit(BUY)).when(
-        valid & (s1 > s2) & (s1 > l1) & (s2 < l2), F.lit(SELL)
+    return F.when((s1 < s2) & (s1 < l1) & (s2 > l2) & valid, F.lit(BUY)).when(
+        (s1 > s2) & (s1 > l1) & (s2 < l2) & valid, F.lit(SELL)
     )
 
 

@@ -20,6 +20,9 @@ from tickloom.schemas import (
     check_period,
 )
 
+# Default of spark.sql.optimizer.windowGroupLimitThreshold.
+GROUP_LIMIT = 1000
+
 SUMMED = (
     "volume",
     "quote_asset_volume",
@@ -150,12 +153,19 @@ def resample_by_count(
 
 
 def first_n_from(bars: DataFrame, start: dt.datetime | str, n: int) -> DataFrame:
-    """The first n bars of each series at or after ``start``.
+    """The first n bars of each series at or after ``start``, with their ``row_number``.
 
-    Spark limits each group to n rows before the shuffle (window group limit), so
-    a hot series sends n rows per input task, not all of them.
+    Up to ``GROUP_LIMIT`` Spark limits each group to n rows before the shuffle
+    (window group limit), so a hot series sends n rows per input task, not all of
+    them. Longer runs are cut by position, block by block.
     """
-    ranked = bars.filter(F.col("open_time") >= to_epoch_ms(start)).withColumn(
+    recent = bars.filter(F.col("open_time") >= to_epoch_ms(start))
+    if n > GROUP_LIMIT:
+        numbered = with_position(recent, name="row_number")
+        return numbered.withColumn("row_number", (F.col("row_number") + 1).cast("int")).filter(
+            F.col("row_number") <= n
+        )
+    ranked = recent.withColumn(
         "row_number", F.row_number().over(Window.partitionBy(*SERIES).orderBy("open_time"))
     )
     return ranked.filter(F.col("row_number") <= n)

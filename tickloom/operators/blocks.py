@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.schemas import period_to_ms
 
@@ -163,11 +164,17 @@ def running_total(
     chunk: Column,
     name: str,
 ) -> DataFrame:
-    """Running sum along each series: sum inside the chunk plus the sum of earlier chunks."""
+    """Running sum along each series: sum inside the chunk plus the sum of earlier chunks.
+
+    ``value`` is decimal; the total keeps its scale.
+    """
     starts = chunk_starts(df, keys, chunk, F.sum(value).alias("_sum"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(UNBOUNDED, -1)
     starts = starts.select(*keys, "_chunk", F.sum("_sum").over(before).alias("_before"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(UNBOUNDED, 0)
     rows = df.withColumn("_chunk", chunk).join(starts, [*keys, "_chunk"])
-    total = F.sum(value).over(inside)
-    return rows.withColumn(name, F.coalesce(F.col("_before") + total, total)).drop("_chunk", "_before")
+    # One digit below the maximum on both sides, so that adding them rounds nothing away.
+    exact = T.DecimalType(37, df.schema[value].dataType.scale)
+    earlier = F.coalesce("_before", F.lit(0)).cast(exact)
+    total = earlier + F.sum(value).over(inside).cast(exact)
+    return rows.withColumn(name, total).drop("_chunk", "_before")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.times import as_utc
 from tickloom.operators.blocks import running_total
+from tickloom.schemas import PRICE
 
 
 def price_chunk(price: Column) -> Column:
@@ -63,7 +64,7 @@ def support_levels(
     nothing, but not in the statistics.
     """
     rows = running_volume(latest_levels(book, finish), split_volume).filter(F.col("volume") > 0)
-    weighted = F.sum(F.col("price").cast("decimal(28,8)") * F.col("volume").cast("decimal(28,8)"))
+    weighted = F.sum(F.col("price").cast(PRICE) * F.col("volume").cast("decimal(24,8)"))
     return rows.groupBy("symbol", "part").agg(
         (weighted.cast("double") / F.sum("volume").cast("double")).alias("price_support"),
         (F.sum("price").cast("double") / F.count("price")).alias("price_avg"),

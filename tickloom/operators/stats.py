@@ -22,7 +22,7 @@ def period_stats(bars: DataFrame, period: str, as_of: dt.datetime | str, duratio
         & (F.col("open_time") > to_epoch_ms(as_of) - duration_ms)
     )
     ratio = F.try_divide(F.col("high_price"), F.col("low_price")).cast("decimal(28,16)")
-    turnover = (F.col("volume").cast("decimal(20,8)") * F.col("close_price")).cast("decimal(38,16)")
+    turnover = F.col("volume").cast("decimal(24,8)") * F.col("close_price")
     agg = recent.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("count"),
         (F.sum(ratio) / F.count(ratio)).alias("_mean"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.signals import usd_asset
 from tickloom.functions.times import ms_to_ts, seconds_to_ts
 from tickloom.operators.keyed import latest_per_key
+from tickloom.schemas import PRICE
 
 
 def usd_prices(ticker: DataFrame, instruments: DataFrame, usd_pattern: str = "%USD%") -> DataFrame:
@@ -59,7 +60,7 @@ def usd_rules(ticker: DataFrame, instruments: DataFrame, usd_pattern: str = "%US
         .when(has_quote, F.col("_quote"))
     )
     return rows.select(
-        "symbol_id", "symbol", side.alias("usd_side"), factor.cast("decimal(28,8)").alias("usd_factor")
+        "symbol_id", "symbol", side.alias("usd_side"), factor.cast(PRICE).alias("usd_factor")
     )
 
 
@@ -122,7 +123,7 @@ def usd_volume_of(
         F.col("usd_side") == "base", F.col("volume")
     )
     priced = F.coalesce("last_price", F.lit(0)) != 0
-    value = F.when(priced, volume.cast("decimal(28,8)") * F.col("usd_factor"))
+    value = F.when(priced, volume.cast("decimal(24,8)") * F.col("usd_factor"))
     return rows.join(rules, "symbol_id").withColumn("usd_volume", value).drop("usd_side", "usd_factor")
 
 

@@ -48,9 +48,11 @@ def stream_bars(
     """
 
     def handle(batch: DataFrame, number: int) -> None:
+        batch.persist()
         rows = latest_per_key(parse_bar_events(batch), BAR_KEY, ingest_order, keep_order=False)
         write_batch(rows, f"{path}/bars", number)
         write_batch(bar_event_rejects(batch), f"{path}/rejects", number)
+        batch.unpersist()
 
     return run_batches(messages, handle, f"{path}/checkpoint", available_now=available_now)
 
@@ -65,8 +67,10 @@ def stream_depth(
     """Depth messages into ``path/levels``, and bids and asks per message into ``path/counts``."""
 
     def handle(batch: DataFrame, number: int) -> None:
+        batch.persist()
         rows = latest_per_key(parse_depth_updates(batch), BOOK_KEY, ingest_order, keep_order=False)
         write_batch(rows, f"{path}/levels", number)
         write_batch(depth_counts(batch), f"{path}/counts", number)
+        batch.unpersist()
 
     return run_batches(messages, handle, f"{path}/checkpoint", available_now=available_now)

@@ -54,7 +54,8 @@ def stream_signals(
     of the bars is spread over tasks as well.
 
     A bar that is still open is evaluated too; its row is replaced as it grows.
-    Minutes not newer than the last one of their symbol go to ``path/late``.
+    A batch holds each minute once, as the stored bars do; minutes not newer than
+    the last one of their symbol in earlier batches go to ``path/late``.
     """
     reach = max(long_term for long_term, _ in pairs) + 4
 
@@ -67,6 +68,7 @@ def stream_signals(
             progress = spark.read.schema(PROGRESS).parquet(f"{path}/progress/batch={number - 1}")
             kept = spark.read.schema(FOLDED).parquet(f"{path}/kept/batch={number - 1}")
 
+        batch.persist()
         known = batch.join(progress, "symbol", "left")
         is_new = F.col("last_open").isNull() | (F.col("open_time") > F.col("last_open"))
         write_batch(known.filter(~is_new).select(*batch.columns), f"{path}/late", number)
@@ -100,6 +102,7 @@ def stream_signals(
         )
         moved = progress.join(seen.select("symbol"), "symbol", "left_anti").unionByName(seen)
         write_batch(moved.select(*PROGRESS.names), f"{path}/progress", number)
+        batch.unpersist()
 
     return run_batches(minute_bars, handle, f"{path}/checkpoint", available_now=available_now)
 
