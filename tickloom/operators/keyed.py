@@ -56,20 +56,18 @@ def upsert(
     ``ingest_order`` names columns of ``incoming`` that give its arrival order;
     stored rows come before all of them.
     """
-    if len(ingest_order) == 1 and incoming.schema[ingest_order[0]].dataType == T.LongType():
+    order = [f"_order{i}" for i in range(len(ingest_order))]
+    arrival = [F.col(c).alias(name) for c, name in zip(ingest_order, order)]
+    new = incoming.select(*existing.columns, *arrival)
+    types = [new.schema[name].dataType for name in order]
+    if types == [T.LongType()]:
         # One fixed-width order column keeps the reduction in hash aggregation.
-        seq = ingest_order[0]
-        old = existing.withColumn(seq, F.lit(-(2**63)).cast("bigint"))
-        both = old.unionByName(incoming.select(*old.columns))
-        return latest_per_key(both, keys, [seq], keep_order=False)
-    old = existing.withColumns({"_new": F.lit(False), **{c: F.lit(None) for c in ingest_order}})
-    new = incoming.withColumn("_new", F.lit(True))
-    columns = [*existing.columns, "_new", *ingest_order]
-    typed = new.select(*columns)
-    old = old.select(*[F.col(c).cast(typed.schema[c].dataType).alias(c) for c in columns])
-    return latest_per_key(
-        old.unionByName(typed), keys, ["_new", *ingest_order], keep_order=False
-    )
+        old = existing.withColumn(order[0], F.lit(-(2**63)).cast("bigint"))
+    else:
+        old = existing.withColumns({n: F.lit(None).cast(t) for n, t in zip(order, types)})
+        old, new = old.withColumn("_new", F.lit(False)), new.withColumn("_new", F.lit(True))
+        order = ["_new", *order]
+    return latest_per_key(old.unionByName(new), keys, order, keep_order=False)
 
 
 def insert_absent(
