@@ -130,3 +130,23 @@ def test_grid_equals_pairs(bars):
         blocks=B.Blocks(block_rows=20),
     )
     assert rows(grid) and rows(grid) == rows(few)
+
+
+def test_without_broadcast(spark, bars):
+    """Beyond the broadcast size the chunk table is met by a sort-merge join; same rows."""
+    expected = rows(windows.bollinger_bands(bars, n=20, blocks=WHOLE))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        got = windows.bollinger_bands(bars, n=20, blocks=TINY)
+        assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == expected
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_written_chunk_table(bars, tmp_path):
+    stored = B.Blocks(chunk_rows=4, block_rows=8, counts_dir=str(tmp_path))
+    assert rows(windows.neighbour_bars(bars, blocks=stored)) == rows(windows.neighbour_bars(bars, blocks=WHOLE))
+    assert len(list(tmp_path.iterdir())) == 1

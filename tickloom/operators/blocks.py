@@ -16,6 +16,7 @@ shorten a frame.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -31,10 +32,18 @@ UNBOUNDED = Window.unboundedPreceding
 
 @dataclass(frozen=True)
 class Blocks:
-    """How finely to cut: rows per chunk (at most, for regular bars) and per block."""
+    """How finely to cut: rows per chunk (at most, for regular bars) and per block.
 
-    chunk_rows: int = 1024
-    block_rows: int = 65536
+    With ``counts_dir``, a folder all executors can reach, the chunk table is
+    written there first. It costs a stage of its own, but then Spark knows the
+    table's size when it plans the join: a small table is broadcast and the rows
+    are shuffled once, not twice. Left out, the size is only known after the rows
+    have been shuffled for a sort-merge join.
+    """
+
+    chunk_rows: int = 4096
+    block_rows: int = 131072
+    counts_dir: str | None = None
 
 
 DEFAULT_BLOCKS = Blocks()
@@ -65,6 +74,14 @@ def chunk_starts(df: DataFrame, keys: Sequence[str], chunk: Column, *totals: Col
     return per_chunk.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
 
 
+def _stored(starts: DataFrame, blocks: Blocks) -> DataFrame:
+    if blocks.counts_dir is None:
+        return starts
+    path = f"{blocks.counts_dir.rstrip('/')}/chunks-{uuid.uuid4().hex}"
+    starts.write.parquet(path)
+    return starts.sparkSession.read.schema(starts.schema).parquet(path)
+
+
 def _lend(df: DataFrame, own: Column, first: Column, last: Column, lends: bool) -> DataFrame:
     if not lends:
         return df.withColumns({"_block": own, "_own": F.lit(True)})
@@ -109,6 +126,7 @@ def split_series(
         F.floor(reach_back / size).alias("_first"),
         F.floor((F.col("_start") + F.col("_rows") - 1 + before) / size).alias("_last"),
     )
+    starts = _stored(starts, blocks)
     rows = df.withColumn("_chunk", chunk).join(starts, [*keys, "_chunk"])
     rows = _lend(
         rows, F.col("_home"), F.col("_first"), F.col("_last"), bool(before or after)

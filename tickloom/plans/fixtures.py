@@ -55,28 +55,10 @@ class Tables:
     def bars(self, period: str) -> DataFrame:
         return bars_by_clock(self.ticks, period, order=("ts", "id"))
 
-    @staticmethod
-    def as_minutes(ticks: DataFrame) -> DataFrame:
-        opened = ts_to_ms(F.col("ts"))
-        amount = F.col("price") * F.col("qty")
-        taker = F.col("taker_buy")
-        return ticks.select(
-            "symbol",
-            F.lit("1m").alias("period"),
-            opened.alias("open_time"),
-            *[F.col("price").alias(f"{n}_price") for n in ("open", "high", "low", "close")],
-            F.col("qty").cast(S.VOLUME).alias("volume"),
-            (opened + 59_999).alias("close_time"),
-            amount.cast(S.VOLUME).alias("quote_asset_volume"),
-            F.lit(1).cast("bigint").alias("num_trades"),
-            F.when(taker, F.col("qty")).otherwise(0).cast(S.VOLUME).alias("taker_buy_base_asset_volume"),
-            F.when(taker, amount).otherwise(0).cast(S.VOLUME).alias("taker_buy_quote_asset_volume"),
-        )
-
     @cached_property
     def minute_bars(self) -> DataFrame:
-        """Every tick as one minute bar; minutes are missing, which count bars ignore."""
-        return self.as_minutes(self.ticks)
+        """Minute bars; minutes without ticks are missing, which count bars ignore."""
+        return self.bars("1m")
 
     def line_bars(self, period: str) -> DataFrame:
         """Line items, in shipping order, as a gap-free series per flag and status."""
@@ -88,7 +70,11 @@ class Tables:
             F.col("l_quantity").cast(S.VOLUME).alias("volume"),
         )
         numbered = with_position(
-            lines, keys=("symbol", "period"), order=LINE_ORDER, chunk=F.col("l_shipdate")
+            lines,
+            keys=("symbol", "period"),
+            order=LINE_ORDER,
+            # Rises along the order; a day of many orders makes several chunks.
+            chunk=F.struct("l_shipdate", F.floor(F.col("l_orderkey") / 2**24)),
         )
         price = F.col("close_price")
         opened = F.lit(to_epoch_ms(LINE_START)) + F.col("position") * S.PERIOD_MS[period]
@@ -320,17 +306,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         _bars_cte("4h", "time_bucket(INTERVAL '4 hours', ts, TIMESTAMP '2001-01-01')", 4 * S.HOUR_MS),
     ),
     "bars_1d": (("ticks",), _bars_cte("1d", "date_trunc('day', ts)", S.DAY_MS)),
-    "minute_bars": (
-        ("ticks",),
-        """SELECT symbol, '1m' AS period, (epoch_us(ts) + 500) // 1000 AS open_time, price AS open_price,
-      price AS high_price, price AS low_price, price AS close_price,
-      CAST(qty AS DECIMAL(28,8)) AS volume, (epoch_us(ts) + 500) // 1000 + 59999 AS close_time,
-      CAST(CAST(price AS DECIMAL(20,8)) * qty AS DECIMAL(28,8)) AS quote_asset_volume, 1 AS num_trades,
-      CAST(CASE WHEN taker_buy THEN qty ELSE 0 END AS DECIMAL(28,8)) AS taker_buy_base_asset_volume,
-      CAST(CASE WHEN taker_buy THEN CAST(price AS DECIMAL(20,8)) * qty ELSE 0 END AS DECIMAL(28,8))
-        AS taker_buy_quote_asset_volume
-    FROM ticks""",
-    ),
+    "minute_bars": (("ticks",), _bars_cte("1m", "date_trunc('minute', ts)", S.MINUTE_MS)),
     "line_bars_1m": ((), _line_cte(S.MINUTE_MS, "1m")),
     "line_bars_1s": ((), _line_cte(1000, "1s")),
     "order_bars": (

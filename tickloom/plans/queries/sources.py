@@ -70,8 +70,7 @@ def parse_ticker_24h(t: Tables):
 @query("parse_price_list", with_ctes(f"SELECT symbol, {as_double('price')} FROM ticks", "ticks"))
 def parse_price_list(t: Tables):
     entry = F.struct("symbol", F.col("price").cast("string").alias("price"))
-    hour = F.date_trunc("hour", F.col("ts"))
-    sent = t.ticks.groupBy("symbol", hour).agg(F.to_json(F.collect_list(entry)).alias("value"))
+    sent = t.ticks.groupBy(F.floor(F.col("id") / 100)).agg(F.to_json(F.collect_list(entry)).alias("value"))
     return messages.parse_price_list(sent.select("value"))
 
 

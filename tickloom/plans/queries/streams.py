@@ -112,7 +112,8 @@ WHERE trade_signal IS NOT NULL""",
 
 @query("stream_signals", _stream_signals_sql())
 def stream_signals(t: Tables):
-    path = scratch_dir(t.spark, "stream-signals")
-    minutes = t.as_minutes(t.as_ticks(event_stream(t)))
+    landed, path = scratch_dir(t.spark, "minutes"), scratch_dir(t.spark, "stream-signals")
+    t.minute_bars.write.parquet(landed)
+    minutes = t.spark.readStream.schema(S.BARS).parquet(landed)
     signal_jobs.stream_signals(minutes, path, PAIRS).awaitTermination()
     return signal_jobs.read_stream_signals(t.spark, path)
