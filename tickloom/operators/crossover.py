@@ -8,6 +8,7 @@ become double just before the division.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -181,6 +182,12 @@ def _signal_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _grid_partitions(bars: DataFrame) -> int:
+    """Tasks for the grid. A stated number keeps AQE from merging partitions that hold
+    few bytes but thousands of pairs per row."""
+    return 4 * int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def mac_grid(
     bars: DataFrame,
     *,
@@ -200,7 +207,9 @@ def mac_grid(
     low, high = long_terms
     short_low, short_high = short_terms
     _check_terms(low, short_low)
-    cut = split_positions(bars, position=position, keys=keys, before=high + 2, blocks=blocks)
+    slim = bars.select(*keys, position, "open_time", "close_price", "volume")
+    cut = split_positions(slim, position=position, keys=keys, before=high + 2, blocks=blocks)
+    cut = replace(cut, df=cut.df.repartition(_grid_partitions(bars), *keys, "_block"))
     w = cut.window
     rows = _running(cut, [*keys, "open_time", "volume", position])
     recent = w.rowsBetween(-(high + 1), 0)
