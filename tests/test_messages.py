@@ -38,7 +38,7 @@ def test_bar_pages(spark):
 
 
 EVENT = (
-    '{"stream":"x@1m","data":{"e":"bar","E":1,"s":"BNB","k":{"t":100,"T":159,"s":"BNB","i":"1m","f":1,"L":2,'
+    '{"stream":"x@1m","data":{"e":"bar","E":1,"s":"XYZ","k":{"t":100,"T":159,"s":"XYZ","i":"1m","f":1,"L":2,'
     '"o":"0.0010","c":"0.0020","h":"0.0025","l":"0.0015","v":"1000","n":100,"x":false,"q":"1.5","V":"500","Q":"0.5","B":"0"}}}'
 )
 
@@ -49,12 +49,17 @@ def test_bar_events(spark):
         "value string, seq int",
     )
     rows = messages.parse_bar_events(feed).collect()
-    assert [(r.symbol, r.period, r.open_time, r.close_time, r.seq) for r in rows] == [("BNB", "1m", 100, 159, 1)]
+    assert [(r.symbol, r.period, r.open_time, r.close_time, r.seq) for r in rows] == [("XYZ", "1m", 100, 159, 1)]
     assert (rows[0].volume, rows[0].quote_asset_volume) == (Decimal(1000), Decimal("1.5"))
     assert (rows[0].taker_buy_base_asset_volume, rows[0].taker_buy_quote_asset_volume) == (Decimal(500), Decimal("0.5"))
     assert sorted(r.seq for r in messages.bar_event_rejects(feed).collect()) == [2, 3, 4]
 
 
+def test_event_time(spark):
+    feed = spark.createDataFrame([(EVENT,), ('{"e":"x","E":7}',), ("junk",)], "value string")
+    assert [r.event_ms for r in messages.with_event_time(feed).collect()] == [1, 7, None]
+
+
 def test_depth_updates(spark):
     bids = ",".join(f'["{27711 - i}.18000000","{i % 3}.05411000"]' for i in range(20))
     asks = ",".join(f'["{27712 + i}.10000000","0.00000000"]' for i in range(11))

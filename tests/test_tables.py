@@ -246,3 +246,38 @@ def test_scratch_follows_the_session(spark, tmp_path):
     with pytest.raises(RuntimeError):
         session.scratch_dir(asked("yarn"), "x")
     assert session.scratch_dir(spark, "x") != session.scratch_dir(spark, "x")
+
+
+def test_views_and_sql_lookup(spark, tables):
+    from tickloom.functions.sql import register_functions, register_symbol_lookup
+    from tickloom.plans import views
+    from tickloom.plans.fixtures import AS_OF_EVENTS
+
+    register_functions(spark)
+    register_symbol_lookup(spark, tables.instruments)
+    names = spark.createDataFrame([("p3",), ("nobody",)], "name string")
+    names.createOrReplaceTempView("asked")
+    found = spark.sql("SELECT name, get_symbol_id(name) AS id FROM asked").collect()
+    assert {r.name: r.id for r in found} == {"p3": 3, "nobody": None}
+    assert spark.sql("SELECT dayago() < current_timestamp() AS past").first().past
+    views.register_bar_views(tables.bars("1h"), AS_OF_EVENTS)
+    views.register_ticker_views(tables.ticker24h, tables.instruments)
+    views.register_book_views(tables.book)
+    assert spark.sql("SELECT count(*) FROM bars_window WHERE prev_volume IS NULL").first()[0] == 5
+    assert spark.sql("SELECT count(*) FROM hourly_stats").first()[0] == 5
+    assert spark.sql("SELECT count(*) FROM boll1m").first()[0] == 0
+    top = spark.sql("SELECT * FROM max_usd_volume LIMIT 1").first()
+    assert top.max_usd_volume == spark.sql("SELECT round(max(usd_volume)) FROM symbol_usd_volume").first()[0]
+    assert spark.sql("SELECT count(*) FROM avg_volume_per_hour").first()[0] == 1
+    assert spark.sql("SELECT count(*) FROM support_b").first()[0] > 0
+    assert spark.sql("SELECT count(DISTINCT symbol_id) = count(*) FROM last_ticker_snapshot").first()[0]
+
+
+def test_landed_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"a":1}\n{"a":2}\n')
+    stream = storage.stream_landed_text(spark, str(tmp_path / "in"), files_per_batch=1)
+    done = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    done.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.value for r in got.collect()) == ['{"a":1}', '{"a":2}'] and got.filter("seq IS NULL").count() == 0

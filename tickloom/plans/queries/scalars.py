@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schemas as S
 from tickloom.functions import signals, times
+from tickloom.functions.sql import register_functions
 from tickloom.operators import tickers
 from tickloom.plans.fixtures import AS_OF_EVENTS, Tables, with_ctes
 from tickloom.plans.queries.base import BAR_SQL, as_double, query
@@ -164,6 +165,30 @@ def usd_asset_filter(t: Tables):
     return t.instruments.filter(either).select("symbol", "base_asset", "quote_asset")
 
 
+@query(
+    "sql_functions",
+    with_ctes(
+        """SELECT id, (epoch_us(ts) + 500) // 1000 AS ms, make_timestamp((epoch_us(ts) + 500) // 1000 * 1000) AS back,
+  ts - INTERVAL 1 DAY AS day_before, ts - INTERVAL 7 DAY AS week_before,
+  CAST(date_trunc('week', ts) AS TIMESTAMP) AS week, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month,
+  time_bucket(INTERVAL '3 hours', ts, TIMESTAMP '2001-01-01') AS hours3,
+  CASE WHEN price <= 10 AND qty > 10 THEN 'BUY' WHEN price >= 90 AND qty < 90 THEN 'SELL' END AS signal
+FROM ticks""",
+        "ticks",
+    ),
+)
+def sql_functions(t: Tables):
+    register_functions(t.spark)
+    t.ticks.createOrReplaceTempView("ticks")
+    return t.spark.sql(
+        """SELECT id, ts2ms(ts) AS ms, ms2ts(ts2ms(ts)) AS back, dayago(ts) AS day_before,
+          weekago(ts) AS week_before, start_of_period(ts, INTERVAL '7' DAY) AS week,
+          start_of_period(ts, INTERVAL '30' DAY) AS month, start_of_period(ts, INTERVAL '3' HOUR) AS hours3,
+          trading_signal(price, qty, 10, 90) AS signal
+        FROM ticks"""
+    )
+
+
 _RANGE_FROM = times.to_epoch_ms(AS_OF_EVENTS) - 10 * S.DAY_MS
 
 

@@ -137,6 +137,12 @@ def bar_event_rejects(messages: DataFrame) -> DataFrame:
     return messages.filter(~whole)
 
 
+def with_event_time(messages: DataFrame) -> DataFrame:
+    """Messages with the time they were sent, as ``event_ms``, to order them by."""
+    sent = F.coalesce(F.get_json_object("value", "$.data.E"), F.get_json_object("value", "$.E"))
+    return messages.withColumn("event_ms", sent.try_cast("bigint"))
+
+
 def _depth_fields(messages: DataFrame) -> DataFrame:
     passed = [c for c in messages.columns if c != "value"]
     raw = messages.select(*passed, F.json_tuple("value", "E", "s", "b", "a").alias("_e", "_s", "_b", "_a"))

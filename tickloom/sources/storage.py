@@ -20,6 +20,28 @@ def read_landed_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
+def stream_landed_text(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Landed files of one message per line as a stream of ``value`` and ``seq``.
+
+    ``seq`` is the time of the file. Messages of one key in one file tie on it:
+    order those by the time they carry (``messages.with_event_time``).
+    """
+    reader = spark.readStream.format("text")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(path).select("value", F.col("_metadata.file_modification_time").alias("seq"))
+
+
+def stream_kafka(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+    """A Kafka topic as ``value``, ``partition`` and ``offset`` (the arrival order of a key).
+
+    Needs the Kafka connector on the class path.
+    """
+    reader = spark.readStream.format("kafka").options(**options)
+    feed = reader.option("kafka.bootstrap.servers", servers).option("subscribe", topic).load()
+    return feed.select(F.col("value").cast("string").alias("value"), "partition", "offset")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True)
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators.alerts import alerts_archived, alerts_hit, alerts_remaining
 from tickloom.operators.keyed import latest_per_key
 from tickloom.schemas import ALERTS, PRICE, PRICES
-from tickloom.sources.storage import latest_from_log, read_log, write_batch
+from tickloom.sources.storage import read_log, write_batch
 from tickloom.streaming.feeds import run_batches
 
 ARCHIVE = T.StructType(
@@ -53,11 +53,15 @@ def stream_alerts(
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         newest = latest_per_key(batch, ["symbol"], ingest_order, keep_order=False)
-        write_batch(newest.select(*PRICES.names), f"{path}/prices", number)
-        prices = latest_from_log(spark, f"{path}/prices", PRICES, ["symbol"])
+        newest = newest.select(*PRICES.names)
         alerts = load_alerts()
         if number > 0:
+            # Each batch leaves the whole price table, one row per symbol, to the next.
+            held = spark.read.schema(PRICES).parquet(f"{path}/prices/batch={number - 1}")
+            newest = held.join(newest.select("symbol"), "symbol", "left_anti").unionByName(newest)
             alerts = active_alerts(spark, alerts, path, before=number)
+        write_batch(newest, f"{path}/prices", number)
+        prices = spark.read.schema(PRICES).parquet(f"{path}/prices/batch={number}")
         moment = triggered_at or dt.datetime.now(dt.timezone.utc)
         archive = alerts_archived(alerts_hit(alerts, prices), moment)
         write_batch(archive.select(*ARCHIVE.names), f"{path}/archive", number)
