@@ -15,7 +15,7 @@ from tests.helpers import START_MS, bar, bars_frame, random_rows
 from tickloom import schemas as S
 from tickloom import session
 from tickloom.functions.times import as_utc, to_epoch_ms
-from tickloom.operators import alerts, book, ingest, keyed, stats, tickers
+from tickloom.operators import alerts, book, ingest, keyed, stats, tickers, windows
 from tickloom.operators.blocks import Blocks
 from tickloom.plans import indicators
 from tickloom.sources import storage
@@ -88,6 +88,20 @@ def test_stored_bars_prune(spark, tmp_path):
     assert all(START_MS <= r.open_time <= START_MS + 20 * S.MINUTE_MS for r in back.collect())
 
 
+def test_windows_prune_stored_bars(spark, tmp_path):
+    """Period and look-back reach the scan, below the window, with only the needed columns."""
+    path = str(tmp_path / "bars")
+    storage.write_bars(bars_frame(spark, random_rows(2, {"A": 80, "B": 30}, period="1h")), path)
+    bands = windows.bollinger_bands(storage.read_bars(spark, path), n=5, period="1h", start="2023-11-18")
+    plan = bands._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    for scan in scans:
+        assert "period" in scan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "GreaterThanOrEqual(open_time" in scan and "high_price" not in scan
+    assert "close_price" not in min(scans, key=len)
+
+
 def test_log_and_compaction(spark, tmp_path):
     path, packed = str(tmp_path / "log"), str(tmp_path / "packed")
     storage.write_batch(bars_frame(spark, [bar("A", "1m", START_MS, 1, 1), bar("B", "1m", START_MS, 1, 1)]), path, 0)

@@ -183,9 +183,14 @@ def _signal_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _grid_partitions(bars: DataFrame) -> int:
-    """Tasks for the grid. A stated number keeps AQE from merging partitions that hold
-    few bytes but thousands of pairs per row."""
-    return 4 * int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Tasks for the grid: four per core or the shuffle setting, whichever is more.
+
+    A stated number keeps AQE from merging partitions that hold few bytes but
+    thousands of pairs per row.
+    """
+    spark = bars.sparkSession
+    set_number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(set_number, 4 * spark.sparkContext.defaultParallelism)
 
 
 def mac_grid(

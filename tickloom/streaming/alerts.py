@@ -50,10 +50,13 @@ def stream_alerts(
     so an alert fires once even if a batch runs twice.
     """
 
+    # Adaptive execution is off in a stream's own session: joins run in the caller's.
+    spark = price_rows.sparkSession
+
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         newest = latest_per_key(batch, ["symbol"], ingest_order, keep_order=False)
-        newest = newest.select(*PRICES.names)
+        write_batch(newest.select(*PRICES.names), f"{path}/fresh", number)
+        newest = spark.read.schema(PRICES).parquet(f"{path}/fresh/batch={number}")
         alerts = load_alerts()
         if number > 0:
             # Each batch leaves the whole price table, one row per symbol, to the next.

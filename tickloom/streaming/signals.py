@@ -59,37 +59,44 @@ def stream_signals(
     """
     reach = max(long_term for long_term, _ in pairs) + 4
 
+    spark = minute_bars.sparkSession
+
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        # Landed first: adaptive execution is off in a stream's own session, and the
+        # files tell the caller's session how large the batch is.
+        write_batch(batch.select(*BARS.names), f"{path}/minutes", number)
+        batch = spark.read.schema(BARS).parquet(f"{path}/minutes/batch={number}")
         if number == 0:
             progress = spark.createDataFrame([], PROGRESS)
-            kept = spark.createDataFrame([], FOLDED)
+            known = batch.withColumns({"next_position": F.lit(0), "last_open": F.lit(None)})
         else:
             progress = spark.read.schema(PROGRESS).parquet(f"{path}/progress/batch={number - 1}")
+            known = batch.join(progress, "symbol", "left")
+            known = known.fillna(0, ["next_position"])
+            late = known.filter(F.col("open_time") <= F.col("last_open"))
+            write_batch(late.select(*batch.columns), f"{path}/late", number)
+            known = known.filter(F.col("last_open").isNull() | (F.col("open_time") > F.col("last_open")))
+
+        numbered = with_position(known, blocks=blocks)
+        numbered = numbered.withColumn("position", F.col("position") + F.col("next_position"))
+        merged = fold_positions(numbered, sizes)
+        fresh = F.lit(True)
+        if number > 0:
             kept = spark.read.schema(FOLDED).parquet(f"{path}/kept/batch={number - 1}")
-
-        batch.persist()
-        known = batch.join(progress, "symbol", "left")
-        is_new = F.col("last_open").isNull() | (F.col("open_time") > F.col("last_open"))
-        write_batch(known.filter(~is_new).select(*batch.columns), f"{path}/late", number)
-        numbered = with_position(known.filter(is_new), blocks=blocks).withColumn(
-            "position", F.col("position") + F.coalesce("next_position", F.lit(0))
-        )
-        # Written once: the kept bars, the signals and the progress all read it.
-        write_batch(
-            numbered.select(*BARS.names, "position"), f"{path}/numbered", number
-        )
-        numbered = spark.read.parquet(f"{path}/numbered/batch={number}")
-        fresh = fold_positions(numbered, sizes).withColumn("_fresh", F.lit(True))
-        both = kept.withColumn("_fresh", F.lit(False)).unionByName(fresh.select(*FOLDED.names, "_fresh"))
-        touched = F.max("_fresh").alias("_fresh")
-        merged = fold_bars(both, ["symbol", "size", "bar_index"], "open_time", touched)
-        write_batch(merged.select(*FOLDED.names, "_fresh"), f"{path}/merged", number)
+            both = kept.withColumn("_fresh", F.lit(False)).unionByName(
+                merged.select(*FOLDED.names, F.lit(True).alias("_fresh"))
+            )
+            touched = F.max("_fresh").alias("_fresh")
+            merged = fold_bars(both, ["symbol", "size", "bar_index"], "open_time", touched)
+            fresh = F.col("_fresh")
+        # Written once, as the signals and the kept bars both read it.
+        write_batch(merged.select(*FOLDED.names, fresh.alias("_fresh")), f"{path}/merged", number)
         merged = spark.read.parquet(f"{path}/merged/batch={number}")
 
-        first = merged.filter("_fresh").groupBy("symbol", "size").agg(F.min("open_time").alias("_from"))
         found = mac_signals(merged, pairs, position="bar_index", keys=("symbol", "size"), blocks=blocks)
-        found = found.join(first, ["symbol", "size"]).filter(F.col("open_time") >= F.col("_from"))
+        if number > 0:
+            first = merged.filter("_fresh").groupBy("symbol", "size").agg(F.min("open_time").alias("_from"))
+            found = found.join(first, ["symbol", "size"]).filter(F.col("open_time") >= F.col("_from"))
         write_batch(as_signals(found, sizes), f"{path}/signals", number)
 
         newest = merged.groupBy("symbol", "size").agg(F.max("bar_index").alias("_newest"))
@@ -97,12 +104,12 @@ def stream_signals(
             F.col("bar_index") > F.col("_newest") - reach
         )
         write_batch(tail.select(*FOLDED.names), f"{path}/kept", number)
-        seen = numbered.groupBy("symbol").agg(
-            (F.max("position") + 1).alias("next_position"), F.max("open_time").alias("last_open")
+        seen = known.groupBy("symbol").agg(
+            (F.max("next_position") + F.count(F.lit(1))).alias("next_position"),
+            F.max("open_time").alias("last_open"),
         )
         moved = progress.join(seen.select("symbol"), "symbol", "left_anti").unionByName(seen)
         write_batch(moved.select(*PROGRESS.names), f"{path}/progress", number)
-        batch.unpersist()
 
     return run_batches(minute_bars, handle, f"{path}/checkpoint", available_now=available_now)
 
