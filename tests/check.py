@@ -27,7 +27,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     con = oracle.connect(sf_dir)
     runs, sql = contract.queries(), contract.oracle_sql()
     bad = 0
-    for name in names or list(runs):
+    for name in names or list(sql):
         started = time.time()
         try:
             rows, fault = oracle.compare(spark, con, runs[name], sql[name], sf_dir)

@@ -6,8 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tests import oracle
-
-RUNS, SQL = contract.queries(), contract.oracle_sql()
+from tickloom.plans.queries import ORACLES as SQL
+from tickloom.plans.queries import QUERIES as RUNS
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +25,9 @@ def test_query(spark, con, sf_dir, name):
     assert not fault
 
 
+def test_contract_has_them_all():
+    assert set(RUNS) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
