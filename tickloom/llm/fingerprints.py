@@ -1,24 +1,29 @@
-"""Document fingerprints: one-permutation MinHash, optimal densification, packed low-order bits."""
+"""Document fingerprints: one-permutation MinHash, optimal densification, packed low-order bits.
+
+Everything is exploded rows and aggregates over them, so that it runs in generated code. The texts are dealt out by
+their key once; all aggregations of a text happen where it lies, without another shuffle.
+"""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import written
 
 SHINGLE_WORDS = 5
-BINS = 512
-BIN_BITS = 9
-PROBES = 12
+BIN_BITS = 8
+BINS = 1 << BIN_BITS
 LOW_BITS = 4
-PER_WORD = 64 // LOW_BITS
+PER_LONG = 64 // LOW_BITS
+LONGS = BINS // PER_LONG
+PER_FLAGS = 32  # flags of bins in one long, so that its sign and all differences stay out of play
+FLAGS = BINS // PER_FLAGS
+PROBES = 16
 BLOCK_ROWS = 500_000
+KEY = ["kid", "text_hash"]
+PRINT = [f"p{j}" for j in range(LONGS)]
 _NIBBLES = 0x1111111111111111
-_RNG = np.random.default_rng(20170815)
-#: Factors and summands of the draws, one pair for each probe.
-_DRAWS = _RNG.integers(1 << 30, 1 << 31, (PROBES, 2)).tolist()
 
 
 def words(text: Column) -> Column:
@@ -29,140 +34,135 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(folded, "[\\x20\\x09-\\x0D]+"), "")
 
 
-def draw(i: Column, probe: int) -> Column:
-    """The bin that an empty bin looks at in one probe: a universal hash of its number."""
-    factor, summand = _DRAWS[probe]
-    return F.shiftright((i + 1) * F.lit(factor | 1).cast("long") + F.lit(summand).cast("long"), 13).bitwiseAND(F.lit(BINS - 1)).cast("int")
+def _draw(probe: int) -> str:
+    """The bin that the empty bin ``bin`` looks at in one probe: a universal hash of its number."""
+    factor, summand = 0x9E3779B1 + 0x3C6EF372 * probe | 1, 0x7F4A7C15 * (probe + 1) % (1 << 31)
+    return f"cast((((bin + 1L) * {factor}L + {summand}L) >> 11) & {BINS - 1} as int)"
+
+
+def _held(at: str) -> str:
+    return f"(shiftrightunsigned(held[{at} div {PER_FLAGS}], {at} % {PER_FLAGS}) & 1L) = 1L"
+
+
+def _low(at: str) -> str:
+    return f"shiftrightunsigned(low[{at} div {PER_LONG}], {LOW_BITS} * ({at} % {PER_LONG})) & {(1 << LOW_BITS) - 1}L"
+
+
+def _next_held(at: str) -> str:
+    """The first bin with shingles from ``at`` on, around the end."""
+
+    def first(word: str, index: str) -> str:
+        return f"CASE WHEN {word} <> 0 THEN {index} * {PER_FLAGS} + bit_count(({word} & -{word}) - 1L) END"
 
+    steps = [first(f"(held[{at} div {PER_FLAGS}] & shiftleft(-1L, {at} % {PER_FLAGS}))", f"({at} div {PER_FLAGS})")]
+    for k in range(1, FLAGS + 1):
+        index = f"(({at} div {PER_FLAGS} + {k}) % {FLAGS})"
+        steps.append(first(f"held[{index}]", index))
+    return f"cast(coalesce({', '.join(steps)}) as int)"
 
-def fingerprint(w: Column) -> Column:
-    """Packed fingerprint of a word array: BINS * LOW_BITS bits in big integers; NULL without words.
 
-    Each shingle is hashed once: the top bits choose the bin, the least hash of a bin is its value. The hashes are
-    sorted together with one sentinel per bin, its greatest hash, so the first hash of every bin stands in bin order.
-    An empty bin takes the value of the first bin with shingles among its own random draws; if none of them has any,
-    that of the bin with shingles that its own random order puts first. Equal sets give equal fingerprints.
+def _packed(value: str, longs: int, per_long: int, bits: int, prefix: str) -> list[Column]:
+    """Values at ``bin`` packed into longs; each bin comes once."""
+    return [
+        F.expr(
+            f"coalesce(bit_or(CASE WHEN bin div {per_long} = {j} "
+            f"THEN shiftleft({value}, {bits} * cast(bin % {per_long} as int)) END), 0L)"
+        ).alias(f"{prefix}{j}")
+        for j in range(longs)
+    ]
+
+
+def prints(texts: DataFrame) -> DataFrame:
+    """Fingerprints (KEY, PRINT) of texts (KEY, w: words); texts without words have none.
+
+    The rows of a key must lie together, and each key must be there once. Each shingle is hashed once: its top bits
+    choose the bin, the least hash of a bin is its value, of which the low bits are kept. A bin without shingles takes
+    the value of the first bin with shingles among its own draws, which do not depend on the text; after PROBES
+    draws, which only texts of few shingles need, of the next one after its last draw. Equal sets of shingles give
+    equal fingerprints.
     """
-    hashes = _let(
-        w,
-        lambda w: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(w) - (SHINGLE_WORDS - 1), F.lit(1))),
-            lambda i: F.xxhash64(F.slice(w, i, F.lit(SHINGLE_WORDS))),
-        ),
-    )
-    shift = 64 - BIN_BITS
-    ends = F.transform(
-        F.sequence(F.lit(-BINS // 2), F.lit(BINS // 2 - 1)),
-        lambda b: F.shiftleft(b.cast("long"), shift) + F.lit((1 << shift) - 1),
+    places = texts.where("size(w) > 0").select(
+        *KEY, "w", F.explode(F.expr(f"sequence(1, greatest(size(w) - {SHINGLE_WORDS - 1}, 1))")).alias("at")
     )
-    ordered = F.sort_array(F.concat(hashes, ends))
-    # NULL for an empty bin: its first hash is the sentinel
-    first = _let(
-        ordered,
-        lambda s: F.filter(
-            F.transform(
-                s,
-                lambda h, i: F.when(
-                    (i == 0) | (F.shiftright(h, shift) != F.shiftright(F.get(s, i - 1), shift)),
-                    h,
-                ),
-            ),
-            lambda h: h.isNotNull(),
-        ),
+    hashed = places.select(*KEY, F.xxhash64(F.slice("w", F.col("at"), F.lit(SHINGLE_WORDS))).alias("h"))
+    binned = hashed.select(*KEY, F.expr(f"cast(shiftrightunsigned(h, {64 - BIN_BITS}) as int)").alias("bin"), "h")
+    least = binned.groupBy(*KEY, "bin").agg(F.min("h").alias("h"))
+    mask = (1 << LOW_BITS) - 1
+    packed = least.groupBy(*KEY).agg(
+        *_packed(f"(h & {mask}L)", LONGS, PER_LONG, LOW_BITS, "l"), *_packed("1L", FLAGS, PER_FLAGS, 1, "h")
     )
-    values = _let(
-        first,
-        lambda firsts: F.transform(
-            firsts, lambda h: F.when(h.bitwiseAND(F.lit((1 << shift) - 1)) != (1 << shift) - 1, h)
-        ),
+    arrays = packed.select(
+        *KEY,
+        F.array(*[f"l{j}" for j in range(LONGS)]).alias("low"),
+        F.array(*[f"h{j}" for j in range(FLAGS)]).alias("held"),
     )
-    near = _let(
-        values,
-        lambda v: F.transform(
-            v, lambda h, i: F.coalesce(h, *(F.get(v, draw(i, p)) for p in range(PROBES)))
-        ),
-    )
-    def rest(v: Column) -> Column:
-        # rare: so few bins have shingles that all draws of a bin met empty ones
-        held = F.filter(F.transform(v, lambda h, i: F.struct(i.alias("b"), h.alias("h"))), lambda x: x["h"].isNotNull())
-        return _let(
-            held,
-            lambda e: F.transform(
-                v,
-                lambda h, i: F.coalesce(h, F.array_min(F.transform(e, lambda x: F.struct(F.xxhash64(i, x["b"]).alias("o"), x["h"].alias("h"))))["h"]),
-            ),
-        )
-
-    full = _let(near, lambda v: F.when(F.exists(v, lambda h: h.isNull()), rest(v)).otherwise(v))
-    packed = _let(
-        full,
-        lambda v: F.transform(
-            F.sequence(F.lit(0), F.lit(BINS // PER_WORD - 1)),
-            lambda k: F.aggregate(
-                F.slice(v, k * PER_WORD + 1, F.lit(PER_WORD)),
-                F.lit(0).cast("long"),
-                lambda total, h: F.shiftleft(total, LOW_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << LOW_BITS) - 1))),
-            ),
-        ),
-    )
-    return F.when(F.size(w) > 0, packed)
-
+    bins = arrays.select(*KEY, "low", "held", F.explode(F.sequence(F.lit(0), F.lit(BINS - 1))).alias("bin"))
+    cases = " ".join(f"WHEN {_held(at)} THEN {at}" for at in ["bin", *map(_draw, range(PROBES))])
+    source = bins.select(*KEY, "low", "held", "bin", F.expr(f"CASE {cases} END").alias("source"))
+    last = _draw(PROBES - 1)
+    source = source.select(*KEY, "low", "bin", F.expr(f"coalesce(source, {_next_held(last)})").alias("source"))
+    values = source.select(*KEY, "bin", F.expr(_low("source")).alias("value"))
+    return values.groupBy(*KEY).agg(*_packed("value", LONGS, PER_LONG, LOW_BITS, "p"))
 
-def _let(value: Column, use) -> Column:
-    """``use`` of a value that is computed once: bound as the element of an array of one."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
 
+def as_text(prefix: str = "") -> Column:
+    """Fixed-width hex of a fingerprint; empty for a text without words."""
+    return F.coalesce(F.concat(*[F.lpad(F.hex(f"{prefix}{p}"), 16, "0") for p in PRINT]), F.lit(""))
 
-def as_text(packed: Column) -> Column:
-    """Fixed-width hex; empty for a text without words."""
-    return F.coalesce(F.array_join(F.transform(packed, lambda x: F.lpad(F.hex(x), 16, "0")), ""), F.lit(""))
 
-
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: str, b: str) -> Column:
     """Estimated Jaccard similarity of two fingerprints, corrected for low bits that agree by chance.
 
     Equal fingerprints give 1, those of two texts without words too; one without words against another gives 0.
     """
-    def differing(x):
-        folded = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        folded = folded.bitwiseOR(F.shiftrightunsigned(folded, 2)).bitwiseAND(F.lit(_NIBBLES).cast("long"))
-        return F.bit_count(folded)
 
-    apart = F.aggregate(F.zip_with(a, b, lambda x, y: differing(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    def apart(p: str) -> str:
+        x = f"({a}{p} ^ {b}{p})"
+        pairs = f"({x} | shiftrightunsigned({x}, 1))"
+        return f"bit_count(({pairs} | shiftrightunsigned({pairs}, 2)) & {_NIBBLES}L)"
+
+    differing = F.expr(" + ".join(map(apart, PRINT)))
     chance = 1.0 / (1 << LOW_BITS)
-    share = (1 - apart / BINS - chance) / (1 - chance)
-    return (
-        F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), share))
+    share = (1 - differing / BINS - chance) / (1 - chance)
+    none_a, none_b = F.col(f"{a}{PRINT[0]}").isNull(), F.col(f"{b}{PRINT[0]}").isNull()
+    return F.when(none_a & none_b, 1.0).when(none_a | none_b, 0.0).otherwise(F.greatest(F.lit(0.0), share))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(KEY, doc_id, text): a key without NULL, one for rows of equal id and text."""
+    return docs.select(
+        F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("kid"),
+        F.xxhash64("text").alias("text_hash"),
+        "doc_id",
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
 
-def successors(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n_chars, next_id, next_hash): each document's next in descending order, the first after the last.
+def successors(rows: DataFrame) -> DataFrame:
+    """(KEY, need, next_kid, next_hash): each text's next in descending order of ids, the first after the last.
 
-    The order is by id, then text hash, NULL ids last. Only ids, hashes and lengths move: they are dealt out by range,
-    numbered by block, and ordered within blocks; the first row of each block, a small table, closes the gaps.
+    ``rows``: (KEY, doc_id, n_chars, copies), one for each key. The order is by id, then text hash, NULL ids last. The
+    rows are dealt out by range, numbered by block, and ordered within blocks; the first row of each block, a table of
+    one row for each block, closes the gaps.
     """
-    keys = docs.select(
-        F.col("doc_id").alias("doc_id"),
-        F.xxhash64("text").alias("text_hash"),
-        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
-    )
-    keys = written(keys, "keys").distinct()
-    blocks = max(2, -(-keys.count() // BLOCK_ROWS), int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    blocks = max(2, -(-rows.count() // BLOCK_ROWS))
     order = [F.desc_nulls_last("doc_id"), F.desc("text_hash")]
-    dealt = keys.repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id())
-    dealt = written(dealt, "dealt")  # the number of a block is fixed from here on
+    dealt = rows.repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id())
+    dealt = written(dealt, "dealt")  # from here on the numbers of the blocks are fixed
     within = Window.partitionBy("block").orderBy(*order)
-    after = dealt.withColumn("after", F.lead(F.struct("doc_id", "text_hash")).over(within))
-    heads = dealt.withColumn("at", F.row_number().over(within)).where("at = 1")
-    # one row for each block
-    every = Window.orderBy(F.lit(0)).orderBy("block")
-    heads = heads.select("block", F.struct("doc_id", "text_hash").alias("head"))
+    after = dealt.withColumn("after", F.lead(F.struct(*KEY)).over(within))
+    heads = dealt.withColumn("at", F.row_number().over(within)).where("at = 1").select("block", F.struct(*KEY).alias("head"))
+    heads = heads.withColumn("all", F.lit(1))  # as many rows as blocks
+    every = Window.partitionBy("all").orderBy("block")
     wrap = F.first("head").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.select("block", F.coalesce(F.lead("head").over(every), wrap).alias("next_head"))
-    found = after.join(F.broadcast(heads), "block")
-    following = F.coalesce("after", "next_head")
-    return found.select("doc_id", "text_hash", "n_chars", following["doc_id"].alias("next_id"), following["text_hash"].alias("next_hash"))
+    found = after.join(heads, "block").withColumn("following", F.coalesce("after", "next_head"))
+    return found.select(
+        *KEY,
+        F.expr("cast(n_chars div 3 as int)").alias("need"),
+        F.col("following.kid").alias("next_kid"),
+        F.col("following.text_hash").alias("next_hash"),
+    )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -175,29 +175,48 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     one row per input row. NULL ids come last. A NULL text counts as empty; the only document follows itself. A text
     without words has the empty fingerprint. Only id and text are read.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("text_hash"))
-    order = written(successors(docs), "order")
-    # what a document needs of the next one: as many first characters as it replaces, and its fingerprint
+    rows = keyed(docs)
+    small = rows.groupBy(*KEY).agg(
+        F.first("doc_id").alias("doc_id"), F.max(F.length("text").cast("long")).alias("n_chars"), F.count("*").alias("copies")
+    )
+    small = written(small, "keys")
+    order = written(successors(small), "order")
+
+    # the texts move once, to their keys; both uses read the same exchange
+    texts = rows.select(*KEY, "text").repartition(*KEY)
+    own = written(prints(texts.dropDuplicates(KEY).select(*KEY, words(F.col("text")).alias("w"))), "prints")
     asks = order.select(
-        F.col("next_id").alias("id"), F.col("next_hash").alias("hash"),
-        F.col("doc_id").alias("for_id"), F.col("text_hash").alias("for_hash"), F.floor(F.col("n_chars") / 3).alias("need"),
+        F.col("next_kid").alias("kid"), F.col("next_hash").alias("text_hash"),
+        F.struct(*KEY).alias("for"), "need",
+    )
+    heads = (
+        texts.dropDuplicates(KEY)
+        .join(asks, KEY)
+        .select("for.kid", "for.text_hash", F.expr("substring(text, 1, need)").alias("head"), "need")
     )
-    prints = rows.select("doc_id", "text_hash", "text", fingerprint(words(F.col("text"))).alias("print"))
-    once = prints.dropDuplicates(["doc_id", "text_hash"])
-    heads = once.alias("o").join(
-        asks.alias("a"), F.expr("o.doc_id <=> a.id AND o.text_hash = a.hash")
-    ).select("for_id", "for_hash", F.expr("substring(o.text, 1, cast(a.need AS INT))").alias("head"), F.col("o.print").alias("next_print"), "need")
-    both = prints.alias("p").join(heads.alias("h"), F.expr("p.doc_id <=> h.for_id AND p.text_hash = h.for_hash"))
-    n = F.length("text")
-    edited = F.concat(F.expr("substring(p.text, 1, length(p.text) - cast(h.need AS INT))"), F.col("head"))
-    made = both.select("p.doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "print", "next_print")
-    made = made.withColumn("edited_print", fingerprint(words(F.col("edited"))))
-    return made.select(
+    edited = texts.dropDuplicates(KEY).join(heads, KEY).select(
+        *KEY, F.expr("concat(substring(text, 1, length(text) - need), head)").alias("edited")
+    )
+    edited = edited.select(*KEY, "edited", words(F.col("edited")).alias("w"))
+    digests = edited.select(*KEY, F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    other = prints(edited.select(*KEY, "w"))
+    rename = lambda df, prefix: df.select(*KEY, *[F.col(p).alias(f"{prefix}{p}") for p in PRINT])
+    following = order.select(*KEY, "next_kid", "next_hash")
+    nexts = rename(own, "n").withColumnsRenamed({"kid": "next_kid", "text_hash": "next_hash"})
+    found = (
+        small.join(digests, KEY)
+        .join(rename(other, "e"), KEY, "left")
+        .join(rename(own, "o"), KEY, "left")
+        .join(following, KEY)
+        .join(nexts, ["next_kid", "next_hash"], "left")
+    )
+    return found.select(
         "doc_id",
         "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        as_text(F.col("print")).alias("fingerprint"),
-        as_text(F.col("edited_print")).alias("edited_fingerprint"),
-        likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
-        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
-    )
+        "edited_sha256",
+        as_text("o").alias("fingerprint"),
+        as_text("e").alias("edited_fingerprint"),
+        likeness("o", "e").alias("near_edited"),
+        likeness("o", "n").alias("near_next"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"),
+    ).drop("_copy")
