@@ -15,9 +15,10 @@ from tickloom.llm.common import byte_slices, remainder, sampled
 
 BITS = 18
 MAX_TRAIN_ROWS = 24_000
-SHARDS = 8
-EPOCHS = 3
+SHARD_ROWS = 4_000
+EPOCHS = 5
 CACHED = 400_000
+SAME = np.uint64(1)
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -51,6 +52,7 @@ class Features:
         one = np.array(ids, dtype=np.uint64)
         with np.errstate(over="ignore"):
             two = one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]
+            two[one[:-1] == one[1:]] = SAME  # whichever word is said twice
             grams = np.concatenate([one + np.uint64(0x51ED270B), two]) * np.uint64(0xD6E8FEB86659FD93)
         index, counts = np.unique(grams >> np.uint64(64 - BITS), return_counts=True)
         values = np.sqrt(counts)  # damped, so that one repeated line does not hide the rest
@@ -61,7 +63,7 @@ def sigmoid(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -35, 35))))
 
 
-def ftrl(rows, epochs: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-3) -> Model:
+def ftrl(rows, epochs: int, alpha: float = 2.0, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-3) -> Model:
     """FTRL-proximal over (index, values, label) rows; the bias is not regularised."""
     z, n, bias_z, bias_n = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0
 
@@ -86,8 +88,8 @@ def train_quality(
 ) -> Model:
     """Fit on labelled documents outside the held-out fold (crc32 of the id mod ``held_out[0]`` equal to the other).
 
-    ``max_rows`` bounds the labelled rows used: of more, those whose ids hash lowest. The rows are dealt to a fixed
-    number of shards, each fits a model, and the models are averaged: what reaches the driver is one weight vector per
+    ``max_rows`` bounds the labelled rows used: of more, those whose ids hash lowest. The rows are dealt to shards of
+    about SHARD_ROWS, each fits a model, and the models are averaged: what reaches the driver is one weight vector per
     shard. Labels that repeat count once; ids with contradictory labels, NULL ids and NULL labels are left out. Without
     labelled rows all weights are 0, so every score is 0.5.
     """
@@ -100,11 +102,12 @@ def train_quality(
         .select("doc_id", "label")
     )
     known = sampled(known, max_rows, "doc_id")
+    shards = max(1, round(known.count() / SHARD_ROWS))
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(known), "doc_id")  # at most about max_rows rows of two numbers
         .select("text", "label", F.xxhash64("doc_id").alias("at"))
-        .repartition(SHARDS, F.pmod("at", F.lit(SHARDS)))
+        .repartition(shards, F.pmod("at", F.lit(shards)))
         .sortWithinPartitions("at", F.xxhash64("text"))
     )
 

@@ -98,11 +98,11 @@ ORACLES["op4_decontaminate"] = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (
   SELECT item_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM benchmark),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
 grams AS (
   SELECT DISTINCT item_id, least(len(w), 13) AS size, w[i:i + least(len(w), 13) - 1] AS gram
   FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)),
@@ -126,7 +126,7 @@ ORACLES["op3_near_dups"] = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 s AS (
   SELECT DISTINCT doc_id, w[i:i + least(len(w), 5) - 1] AS g
   FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM d WHERE len(w) > 0)),
