@@ -140,7 +140,7 @@ def test_pack_indicator_id(spark):
 def test_periods(spark):
     for name, ms, _ in S.PERIODS:
         assert one(spark, S.period_to_ms(F.lit(name)), S.ms_to_period(F.lit(ms))) == (ms, name)
-    with pytest.raises(Exception, match="not valid period"):
+    with pytest.raises(Exception, match="unknown period"):
         one(spark, S.period_to_ms(F.lit("7m")))
     with pytest.raises(Exception, match="not valid duration"):
         one(spark, S.ms_to_period(F.lit(1)))

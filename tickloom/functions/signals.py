@@ -72,8 +72,8 @@ def format_price_volume(close: Column, volume: Column) -> Column:
 
     NULL parts become empty text.
     """
-    # Fixed value: the pattern that drops trailing zeros.
-    price = F.regexp_replace(close.cast("string"), r"(\.[0-9]*?)0*$", "$1")
+    # a price always has decimals, so trailing zeros end at the dot at the latest
+    price = F.rtrim(close.cast("string"), F.lit("0"))
     amount = F.round(volume, 0).cast("decimal(38,0)").cast("string")
     empty = F.lit("")
     return F.concat(F.coalesce(price, empty), F.lit("("), F.coalesce(amount, empty), F.lit(")"))

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickloom.schemas import BAR_KEY, BOOK_KEY
 
@@ -26,26 +25,17 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the greatest ``order`` for each key; the order must be unique per key.
 
-    With one order column every value keeps its own ``max_by`` buffer, so numeric
-    rows stay in hash aggregation.
+    A NULL in the order is its lowest value, whatever the types: the whole row is
+    picked by one comparison of the order columns as a struct.
     """
     dropped = () if keep_order else tuple(order)
     values = [c for c in df.columns if c not in keys and c not in dropped]
-    if len(order) == 1:
-        picks = [
-            F.max(c).alias(c) if c == order[0] else F.max_by(c, order[0]).alias(c) for c in values
-        ]
-    else:
-        by = order_key(order)
-        row = F.max_by(F.struct(*values), by) if values else F.max(by)
-        picked = df.groupBy(*keys).agg(row.alias("_row"))
-        return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values]).select(
-            *[c for c in df.columns if c not in dropped]
-        )
-    if not picks:
+    if not values:
         return df.select(*keys).distinct()
-    out = df.groupBy(*keys).agg(*picks)
-    return out.select(*[c for c in df.columns if c not in dropped])
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values]).select(
+        *[c for c in df.columns if c not in dropped]
+    )
 
 
 def upsert(
@@ -54,20 +44,16 @@ def upsert(
     """Stored rows overwritten by incoming ones; the last incoming row of a key wins.
 
     ``ingest_order`` names columns of ``incoming`` that give its arrival order;
-    stored rows come before all of them.
+    stored rows come before all of them. An incoming row without an order comes
+    after the stored one and before those that have one.
     """
     order = [f"_order{i}" for i in range(len(ingest_order))]
     arrival = [F.col(c).alias(name) for c, name in zip(ingest_order, order)]
     new = incoming.select(*existing.columns, *arrival)
     types = [new.schema[name].dataType for name in order]
-    if types == [T.LongType()]:
-        # One fixed-width order column keeps the reduction in hash aggregation.
-        old = existing.withColumn(order[0], F.lit(-(2**63)).cast("bigint"))
-    else:
-        old = existing.withColumns({n: F.lit(None).cast(t) for n, t in zip(order, types)})
-        old, new = old.withColumn("_new", F.lit(False)), new.withColumn("_new", F.lit(True))
-        order = ["_new", *order]
-    return latest_per_key(old.unionByName(new), keys, order, keep_order=False)
+    old = existing.withColumns({n: F.lit(None).cast(t) for n, t in zip(order, types)})
+    old, new = old.withColumn("_new", F.lit(0)), new.withColumn("_new", F.lit(1))
+    return latest_per_key(old.unionByName(new), keys, ["_new", *order], keep_order=False)
 
 
 def insert_absent(
@@ -121,7 +107,7 @@ def register_unknown_symbols(prices: DataFrame, seen: DataFrame) -> DataFrame:
 def track_symbol_period(tracked: DataFrame, wanted: DataFrame, periods: DataFrame) -> DataFrame:
     """Add (symbol, period) pairs to the tracked list; an unknown period is an error."""
     known = periods.select("period", F.lit(True).alias("_known"))
-    bad = F.concat(F.lit("not valid period: "), F.coalesce("period", F.lit("NULL")))
+    bad = F.concat(F.lit("unknown period: "), F.coalesce("period", F.lit("NULL")))
     checked = wanted.join(F.broadcast(known), "period", "left").select(
         "symbol",
         F.when(F.col("_known"), F.col("period")).otherwise(F.raise_error(bad)).alias("period"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.exact import product
 from tickloom.functions.signals import usd_asset
 from tickloom.functions.times import ms_to_ts, seconds_to_ts
 from tickloom.operators.keyed import latest_per_key
@@ -123,7 +124,7 @@ def usd_volume_of(
         F.col("usd_side") == "base", F.col("volume")
     )
     priced = F.coalesce("last_price", F.lit(0)) != 0
-    value = F.when(priced, volume.cast("decimal(24,8)") * F.col("usd_factor"))
+    value = F.when(priced, product(volume, F.col("usd_factor")))
     return rows.join(rules, "symbol_id").withColumn("usd_volume", value).drop("usd_side", "usd_factor")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from tickloom.operators.blocks import (
 )
 from tickloom.schemas import check_period, period_to_ms
 
+LIMB = 1_000_000_000
 NEIGHBOURED = ("close_price", "high_price", "low_price", "volume", "num_trades")
 
 
@@ -29,6 +32,35 @@ def _neighbours(window) -> dict[str, Column]:
     return out
 
 
+def _with_spread(rows: DataFrame) -> DataFrame:
+    """``_spread`` = n * (sum of squares) - (sum)^2, as a double, from the limb sums.
+
+    The cross and low terms are added up exactly and carried into the high term, after which nothing cancels.
+    """
+    exact = lambda x, precision=38: f"cast({x} as decimal({precision},0))"
+
+    def term(product: str, a: str, b: str) -> str:
+        n, p, x, y = exact("_n", 10), exact(product, 27), exact(a, 18), exact(b, 18)
+        return f"({exact(f'{n} * {p}')} - {exact(f'{x} * {y}')})"
+
+    rows = rows.withColumns(
+        {
+            "_top": F.expr(term("_hh", "_h", "_h")),
+            "_rest": F.expr(
+                exact(f"{exact(term('_hl', '_h', '_l'), 28)} * {exact(2 * LIMB, 10)}") + f" + {term('_ll', '_l', '_l')}"
+            ),
+        }
+    )
+    square = f"{LIMB * LIMB}"
+    rows = rows.withColumn("_low", F.expr(f"pmod({exact('_rest')}, {exact(square, 19)})"))
+    carried = F.expr(f"{exact('_top')} + {exact(f'(_rest - _low) div {square}', 20)}")
+    rows = rows.withColumn("_carried", carried)
+    high = exact(f"{exact('_carried', 19)} * {exact(square, 19)}")
+    whole = F.when(F.expr(f"_carried < {10 ** 18}"), F.expr(f"{high} + {exact('_low', 19)}").cast("double"))
+    split = F.col("_carried").cast("double") * F.lit(float(LIMB * LIMB)) + F.col("_low").cast("double")
+    return rows.withColumn("_spread", F.coalesce(whole, split))
+
+
 def neighbour_bars(bars: DataFrame, *, blocks: Blocks = DEFAULT_BLOCKS) -> DataFrame:
     """Every bar with the previous and next value of close, high, low, volume and trades."""
     cut = split_series(bars, before=1, after=1, blocks=blocks)
@@ -53,10 +85,11 @@ def bollinger_bands(
     ``start - n * period`` are not read. ``neighbours`` adds the columns of
     ``neighbour_bars`` in the same pass.
 
-    Sums are differences of a running sum over prices in units of 1e-8, so n does
-    not change the cost and the variance (n*S2 - S1*S1) / n^2 is exact until its
-    one cast to double. Beyond n * price = 1e11 or a price of 4e8 the decimals
-    overflow, which is an error, not a wrong band.
+    A NULL close counts as no value: mean and deviation are those of the closes
+    there are, NULL without any. Sums are differences of running sums over prices
+    in units of 1e-8, cut into two limbs of nine digits, so n does not change the
+    cost, every price of the column type fits, and the variance is exact until it
+    becomes a double.
     """
     if period is not None:
         bars = bars.filter(F.col("period") == period)
@@ -70,13 +103,16 @@ def bollinger_bands(
     w = cut.window
     running = w.rowsBetween(UNBOUNDED, 0)
     added = _neighbours(w) if neighbours else {}
-    units = (F.col("close_price") * F.lit(100_000_000)).cast("decimal(18,0)")
+    units = (F.col("close_price") * F.lit(100_000_000)).cast("decimal(18,0)").cast("bigint")
+    high = F.floor(units / F.lit(LIMB)).cast("decimal(10,0)")
+    low = F.pmod(units, F.lit(LIMB)).cast("decimal(10,0)")
+    parts = {"_h": high, "_l": low, "_hh": high * high, "_hl": high * low, "_ll": low * low}
     summed = cut.df.withColumns(
         {
             **added,
             "_at": cut.position,
-            "_s1": F.sum(units).over(running),
-            "_s2": F.sum(units * units).over(running),
+            "_n": F.count("close_price").over(running),
+            **{name: F.sum(part).over(running) for name, part in parts.items()},
         }
     )
 
@@ -85,17 +121,19 @@ def bollinger_bands(
 
     rows = summed.withColumns(
         {
-            "_sum": last_n("_s1").cast("decimal(19,0)"),
-            "_squares": last_n("_s2"),
+            "_n": last_n("_n"),
+            **{name: last_n(name).cast("decimal(38,0)") for name in parts},
             "_prev": F.when(F.col("_at") > n - 1, F.lag("close_price").over(w)).cast("double"),
         }
     )
     rows = cut.owned(rows).filter(F.col("_at") >= n - 1)
-    spread = F.col("_squares") * n - F.col("_sum") * F.col("_sum")
+    rows = _with_spread(rows)
+    count = F.nullif(F.col("_n"), F.lit(0)).cast("double")
+    total = F.expr(f"cast(_h * {LIMB} as decimal(38,0)) + cast(_l as decimal(38,0))")
     rows = rows.withColumns(
         {
-            "middle_band": F.col("_sum").cast("double") / F.lit(n * 1e8),
-            "standard_deviation": F.sqrt(spread.cast("double") / F.lit(n * n * 1e16)),
+            "middle_band": total.cast("double") / (count * F.lit(1e8)),
+            "standard_deviation": F.sqrt(F.col("_spread") / (count * count * F.lit(1e16))),
         }
     )
     width = F.col("standard_deviation") * F.lit(float(bandwidth))
@@ -145,10 +183,15 @@ def signals_with_neighbours(
     )
 
 
+def as_decimal(value: float | Decimal) -> Column:
+    """A factor as the decimal it is written as, to six digits."""
+    return F.lit(Decimal(str(value))).cast("decimal(10,6)")
+
+
 def volume_spikes(
     bars: DataFrame,
     *,
-    n: float,
+    n: float | Decimal,
     as_of: dt.datetime | str | None = None,
     duration_ms: int | None = None,
     blocks: Blocks = DEFAULT_BLOCKS,
@@ -158,7 +201,8 @@ def volume_spikes(
 
     Neighbours and average see only bars since ``as_of - duration_ms``. The text
     lists six bars from two bars earlier; it is NULL for the first two bars. The
-    average is added up from the chunk table, not over a whole-series window.
+    average is added up from the chunk table, not over a whole-series window. The
+    comparison is one of decimals, so a volume at the threshold is not below it.
     """
     if as_of is not None:
         bars = bars.filter(F.col("open_time") >= to_epoch_ms(as_of) - duration_ms)
@@ -183,13 +227,14 @@ def volume_spikes(
             }
         )
     )
-    level = F.col("_sum").cast("double") / F.col("_count") * F.lit(float(n))
+    level = (F.col("_sum").cast("decimal(31,8)") * as_decimal(n)).cast("decimal(38,14)")
+    scaled = lambda x: (x * F.col("_count").cast("decimal(10,0)")).cast("decimal(38,14)")
     volume = F.col("volume")
     spike = (
-        (volume.cast("double") >= level)
+        (scaled(volume) >= level)
         & (volume >= F.col("_prev"))
         & (volume >= F.col("_next"))
-        & (F.greatest("_prev", "_next").cast("double") > level)
+        & (scaled(F.greatest("_prev", "_next")) > level)
     )
     return marked.filter(spike).select(
         *SERIES,
@@ -202,14 +247,15 @@ def volume_spikes(
 def direction_spikes(
     bars: DataFrame,
     *,
-    increase: float,
+    increase: float | Decimal,
     as_of: dt.datetime | str | None = None,
     duration_ms: int | None = None,
     blocks: Blocks = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Bars where the price direction changes on rising volume.
 
-    The direction is 0 while the close moves by less than ``increase`` of itself.
+    The direction is 0 while the close moves by less than ``increase`` of itself,
+    compared in decimals: a move by exactly that much counts.
     The first bar since ``as_of - duration_ms`` only initialises. The text lists
     the first seven bars from five periods earlier and may reach behind the start.
     """
@@ -234,10 +280,10 @@ def direction_spikes(
         }
     )
     close, prev = F.col("close_price"), F.col("prev_close")
-    change = F.try_divide(F.abs(close - prev).cast("double"), close.cast("double"))
+    small = F.abs(close - prev) < (close * as_decimal(increase)).cast("decimal(38,14)")
     direction = (
         F.when(prev.isNull(), F.lit(0))
-        .when(change < F.lit(float(increase)), F.lit(0))
+        .when((close != 0) & small, F.lit(0))
         .when(close > prev, F.lit(1))
         .when(close < prev, F.lit(-1))
         .otherwise(F.lit(0))
@@ -265,21 +311,27 @@ def direction_spikes(
 
 
 def trailing_volume(bars: DataFrame, long_term: int, *, blocks: Blocks = DEFAULT_BLOCKS) -> DataFrame:
-    """Mean volume of the last ``long_term`` and of the last three bars, this one included."""
+    """Mean volume of the last ``long_term`` and of the last three bars, this one included.
+
+    A NULL volume counts as no value.
+    """
     cut = split_series(
         bars.select(*SERIES, "open_time", "volume"), before=max(long_term, 3), blocks=blocks
     )
     w = cut.window
     summed = cut.df.withColumns(
-        {"_at": cut.position, "_total": F.sum("volume").over(w.rowsBetween(UNBOUNDED, 0))}
+        {
+            "_count": F.count("volume").over(w.rowsBetween(UNBOUNDED, 0)),
+            "_total": F.sum("volume").over(w.rowsBetween(UNBOUNDED, 0)),
+        }
     )
 
     def mean(rows: int) -> Column:
-        last = F.col("_total") - F.coalesce(F.lag("_total", rows).over(w), F.lit(0))
-        return last.cast("double") / F.least(F.col("_at") + 1, F.lit(rows))
+        last = lambda name: F.col(name) - F.coalesce(F.lag(name, rows).over(w), F.lit(0))
+        return F.try_divide(last("_total").cast("double"), last("_count").cast("double"))
 
     summed = summed.withColumns({"vol_avg": mean(long_term), "vol3_avg": mean(3)})
-    return cut.owned(summed).drop("_at", "_total")
+    return cut.owned(summed).drop("_count", "_total")
 
 
 def trailing_bars(bars: DataFrame, n: int, *, blocks: Blocks = DEFAULT_BLOCKS) -> DataFrame:

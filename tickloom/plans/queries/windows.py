@@ -132,14 +132,14 @@ SPIKE_FROM = to_epoch_ms(AS_OF_EVENTS) - SPIKE_DAYS * S.DAY_MS
         f"""SELECT symbol, period, make_timestamp(open_time * 1000) AS open_time,
   CAST(round(volume, 0) AS DOUBLE) AS volume,
   CASE WHEN second_before IS NOT NULL THEN array_to_string(around, ', ') END AS price_vol_window
-FROM (SELECT *, CAST(sum(volume) OVER (PARTITION BY symbol, period) AS DOUBLE)
-      / count(*) OVER (PARTITION BY symbol, period) * 1.5 AS level,
+FROM (SELECT *, CAST(sum(volume) OVER (PARTITION BY symbol, period) AS DECIMAL(28,8)) * CAST(1.5 AS DECIMAL(2,1)) AS level,
+    count(*) OVER (PARTITION BY symbol, period) AS bars,
     coalesce(lag(volume) OVER {SERIES_WINDOW}, 0) AS before, coalesce(lead(volume) OVER {SERIES_WINDOW}, 0) AS behind,
     lag(open_time, 2) OVER {SERIES_WINDOW} AS second_before,
     list({TEXT_SQL}) OVER {frame('2 PRECEDING AND 3 FOLLOWING')} AS around
   FROM bars_1h WHERE open_time >= {SPIKE_FROM})
-WHERE CAST(volume AS DOUBLE) >= level AND volume >= before AND volume >= behind
-  AND CAST(greatest(before, behind) AS DOUBLE) > level""",
+WHERE CAST(volume AS DECIMAL(18,8)) * bars >= level AND volume >= before AND volume >= behind
+  AND CAST(greatest(before, behind) AS DECIMAL(18,8)) * bars > level""",
         "bars_1h",
     ),
 )
@@ -159,7 +159,7 @@ def volume_spikes(t: Tables):
     lambda e: e.x), ', ') AS prices_window
 FROM (SELECT *, coalesce(lag(direction) OVER {SERIES_WINDOW}, 0) AS before
   FROM (SELECT *, CASE WHEN prev_close IS NULL THEN 0
-      WHEN CAST(abs(close_price - prev_close) AS DOUBLE) / CAST(close_price AS DOUBLE) < 0.05 THEN 0
+      WHEN close_price <> 0 AND abs(close_price - prev_close) < close_price * CAST(0.05 AS DECIMAL(3,2)) THEN 0
       WHEN close_price > prev_close THEN 1 WHEN close_price < prev_close THEN -1 ELSE 0 END AS direction
     FROM (SELECT *, lag(close_price) OVER {SERIES_WINDOW} AS prev_close,
         lag(volume) OVER {SERIES_WINDOW} AS prev_volume

@@ -172,7 +172,7 @@ def period_to_ms(period: Column) -> Column:
     chain = F.when(period == PERIODS[0][0], F.lit(PERIODS[0][1]))
     for name, ms, _ in PERIODS[1:]:
         chain = chain.when(period == name, F.lit(ms))
-    message = F.concat(F.lit("not valid period: "), F.coalesce(period, F.lit("NULL")))
+    message = F.concat(F.lit("unknown period: "), F.coalesce(period, F.lit("NULL")))
     return chain.otherwise(F.raise_error(message).cast("bigint")).cast("bigint")
 
 
@@ -187,5 +187,5 @@ def ms_to_period(duration_ms: Column) -> Column:
 
 def check_period(period: str) -> str:
     if period not in PERIOD_MS:
-        raise ValueError(f"not valid period: {period}")
+        raise ValueError(f"unknown period: {period}")
     return period

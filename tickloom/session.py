@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_DIR_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
             raise RuntimeError(f"set {CHECKPOINT_DIR_KEY} to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="tickloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
