@@ -50,3 +50,12 @@ def sampled(df: DataFrame, rows: int, *key: str) -> DataFrame:
     if total <= rows:
         return df
     return df.where(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < int((1 << 30) * rows / total))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Whole rows as ``_row``, beside their id and text hash: joins with decisions meet no other column's name."""
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col("doc_id").alias("_id"),
+        F.xxhash64("text").alias("_hash"),
+    )

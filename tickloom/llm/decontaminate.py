@@ -7,11 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import packed
+
 WINDOW_WORDS = 13
 BROADCAST_WINDOWS = 500_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-_WORD_OR_GAP = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+|" + _BETWEEN
+# the same in a text as it is: there A-Z belong to words
+_GAP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_WORD_OR_GAP = "[^" + _GAP[1:] + "|" + _GAP
 
 
 def folded(text: Column) -> Column:
@@ -124,29 +128,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     ).drop("_copy")
 
 
+def _same(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Rows and findings of equal id and text; a NULL id meets a NULL id."""
+    found = found.withColumnsRenamed({"doc_id": "_found_id", "text_hash": "_found_hash"})
+    return rows.join(found, F.col("_id").eqNullSafe(F.col("_found_id")) & (F.col("_hash") == F.col("_found_hash")), how)
+
+
 def without_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """The documents that are not contaminated, all columns; repeated rows stay or go together."""
-    bad = contamination(docs, benchmark, window).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash"))
-    return docs.withColumn("_hash", F.xxhash64("text")).join(bad, same, "left_anti").select(*docs.columns)
+    bad = contamination(docs, benchmark, window).where("contaminated").select("doc_id", "text_hash").distinct()
+    return _same(packed(docs), bad, "left_anti").select("_row.*")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """All documents, all columns, with the hit words of contaminated ones taken out of ``text``."""
     bad = contamination(docs, benchmark, window, positions=True).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), "hit_words")
-    bad = bad.dropDuplicates(["_doc_id", "_text_hash"])
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash"))
-    marked = docs.withColumn("_hash", F.xxhash64("text")).join(bad, same, "left")
-    marked = marked.withColumn("_parts", F.regexp_extract_all("text", F.lit(_WORD_OR_GAP), F.lit(0)))
+    bad = bad.select("doc_id", "text_hash", "hit_words").dropDuplicates(["doc_id", "text_hash"])
+    rows = _same(packed(docs), bad, "left").withColumn(
+        "_parts", F.regexp_extract_all("_row.text", F.lit(f"({_WORD_OR_GAP})"), F.lit(1))
+    )
     # words and gaps alternate, so the place of a word follows from that of its part
-    gap_first = F.col("_parts")[0].rlike("^" + _BETWEEN + "$").cast("int")
-    marked = marked.withColumn("_first", gap_first)
+    rows = rows.withColumn("_first", F.get("_parts", F.lit(0)).rlike("^" + _GAP + "$").cast("int"))
     left = F.filter(
         "_parts",
         lambda part, i: ((i + F.col("_first")) % 2 == 1)
         | ~F.array_contains("hit_words", F.floor((i - F.col("_first")) / 2)),
     )
-    text = F.when(F.col("hit_words").isNull(), F.col("text")).otherwise(F.array_join(left, ""))
-    return marked.withColumn("text", text).select(*docs.columns)
+    text = F.when(F.col("hit_words").isNull(), F.col("_row.text")).otherwise(F.array_join(left, ""))
+    return rows.withColumn("_row", F.col("_row").withField("text", text)).select("_row.*")

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import byte_slices, written
+from tickloom.llm.common import byte_slices, packed, written
 
 SHINGLE_WORDS = 5
 PERCENT = 85
@@ -229,8 +229,6 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame | None:
         live = written(live.join(split.select("key"), "key", "left_semi"), "live")
         if live.isEmpty():
             return links
-        from pyspark.sql import Window
-
         rank = F.row_number().over(Window.partitionBy("key").orderBy("vertex"))
         pivots = live.withColumn("rank", rank).where(F.col("rank") <= width).drop("rank")
         pivots = written(pivots, "pivots")
@@ -309,11 +307,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     real = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("text_hash").alias("_hash"), F.count("*").alias("_rows")
     )
-    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
-    stays = marked.join(
-        real.withColumnRenamed("doc_id", "_doc_id"),
-        (F.col("doc_id") == F.col("_doc_id")) & (F.col("_text_hash") == F.col("_hash")),
-    )
-    single = stays.where("_rows = 1").select(*docs.columns)
-    repeated = stays.where("_rows > 1").dropDuplicates(["doc_id"]).select(*docs.columns)
+    kept = real.select(F.col("doc_id").alias("_id"), "_hash", "_rows")
+    stays = packed(docs).join(kept, ["_id", "_hash"])
+    single = stays.where("_rows = 1").select("_row.*")
+    repeated = stays.where("_rows > 1").dropDuplicates(["_id"]).select("_row.*")
     return single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))

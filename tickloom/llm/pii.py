@@ -331,20 +331,22 @@ def training_windows(texts: list[str], limit: int) -> list[tuple[Window, list[Sp
             if gold is None or len(window.tokens) > 60:
                 continue
             found.append((window, gold))
-            if len(gold) != 1:
-                continue
-            kind, low, high = gold[0]
-            left, right = text[window.tokens[0][0] : low], text[high : window.tokens[-1][1]]
-            cue = rng.choice(sorted(CUES[kind]) + [""] * 6)
-            left += f"{cue} " * bool(cue)
-            other = respelled(kind, text[low:high], rng)
-            for middle, label in ((other, True), (harmless(rng), False)):
-                if middle:
-                    whole = left + middle + right
-                    made = Window(whole, tuple(m.span() for m in _TOKEN.finditer(whole)))
-                    gold_here = [(kind, len(left), len(left) + len(middle))] if label else []
-                    if reachable(made, gold_here) is not None:
-                        found.append((made, gold_here))
+            edges = [window.tokens[0][0], *(x for _, low, high in sorted(gold, key=lambda g: g[1]) for x in (low, high))]
+            edges.append(window.tokens[-1][1])
+            for kind, low, high in gold:
+                before = max([e for e in edges if e <= low and e != low] + [low - 24, 0])
+                after = min([e for e in edges if e >= high and e != high] + [high + 24, len(text)])
+                left, right = text[before:low], text[high:after]
+                cue = rng.choice(sorted(CUES[kind]) + [""] * 6)
+                left += f"{cue} " * bool(cue)
+                other = respelled(kind, text[low:high], rng)
+                for middle, label in ((other, True), (harmless(rng), False)):
+                    if middle:
+                        whole = left + middle + right
+                        made = Window(whole, tuple(m.span() for m in _TOKEN.finditer(whole)))
+                        gold_here = [(kind, len(left), len(left) + len(middle))] if label else []
+                        if made.tokens and reachable(made, gold_here) is not None:
+                            found.append((made, gold_here))
     return found
 
 
