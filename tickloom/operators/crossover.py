@@ -34,6 +34,7 @@ MAC = 0
 # The grid turns each bar into thousands of pairs in the window's own stage, so its
 # blocks are small: work per task stays even, for five percent of copied rows.
 GRID_BLOCKS = Blocks(block_rows=2048)
+GRID_ROWS = 4096
 
 
 def _since(total: str, newest: int, rows: int, window) -> Column:
@@ -43,7 +44,15 @@ def _since(total: str, newest: int, rows: int, window) -> Column:
 
 
 def _mean(total: str, newest: int, rows: int, window) -> Column:
-    return _since(total, newest, rows, window).cast("double") / F.lit(float(rows))
+    """Mean of the values there are among ``rows`` bars; NULL if there is none."""
+    count = _since(f"{total}_n", newest, rows, window)
+    return F.try_divide(_since(total, newest, rows, window).cast("double"), count.cast("double"))
+
+
+def _totals(column: str, name: str, running) -> dict[str, Column]:
+    """Running sum and number of the values that are not NULL."""
+    total = F.coalesce(F.sum(column).over(running), F.lit(0).cast("decimal(38,8)"))
+    return {name: total, f"{name}_n": F.count(column).over(running)}
 
 
 def moving_average_pair(bars: DataFrame, n: int, *, blocks: Blocks = DEFAULT_BLOCKS) -> DataFrame:
@@ -58,7 +67,7 @@ def moving_average_pair(bars: DataFrame, n: int, *, blocks: Blocks = DEFAULT_BLO
     cut = split_series(slim, before=n + 1, blocks=blocks)
     w = cut.window
     rows = cut.df.withColumns(
-        {"_at": cut.position, "_total": F.sum("close_price").over(w.rowsBetween(UNBOUNDED, 0))}
+        {"_at": cut.position, **_totals("close_price", "_total", w.rowsBetween(UNBOUNDED, 0))}
     ).withColumns({"avg1": _mean("_total", 1, n, w), "avg2": _mean("_total", 0, n, w)})
     full = F.col("_at") >= n
     return cut.owned(rows).select(
@@ -81,7 +90,7 @@ def mac_crossover(
     cut = split_series(slim, before=long_term + 1, blocks=blocks)
     w = cut.window
     rows = cut.df.withColumns(
-        {"_at": cut.position, "_total": F.sum("close_price").over(w.rowsBetween(UNBOUNDED, 0))}
+        {"_at": cut.position, **_totals("close_price", "_total", w.rowsBetween(UNBOUNDED, 0))}
     )
 
     def pair(term: int) -> tuple[Column, Column]:
@@ -105,8 +114,8 @@ def _running(cut: BlockedRows, kept: Sequence[str]) -> DataFrame:
         "_own",
         "_block",
         cut.position.alias("_at"),
-        F.sum("close_price").over(running).alias("_closes"),
-        F.sum("volume").over(running).alias("_volumes"),
+        *[c.alias(n) for n, c in _totals("close_price", "_closes", running).items()],
+        *[c.alias(n) for n, c in _totals("volume", "_volumes", running).items()],
     )
 
 
@@ -182,17 +191,6 @@ def _signal_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _grid_partitions(bars: DataFrame) -> int:
-    """Tasks for the grid: four per core or the shuffle setting, whichever is more.
-
-    A stated number keeps AQE from merging partitions that hold few bytes but
-    thousands of pairs per row.
-    """
-    spark = bars.sparkSession
-    set_number = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(set_number, 4 * spark.sparkContext.defaultParallelism)
-
-
 def mac_grid(
     bars: DataFrame,
     *,
@@ -201,6 +199,7 @@ def mac_grid(
     long_terms: tuple[int, int] = LONG_TERMS,
     short_terms: tuple[int, int] = SHORT_TERMS,
     blocks: Blocks = GRID_BLOCKS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Crossover signals of every pair with short < long, for numbered bars.
 
@@ -208,37 +207,45 @@ def mac_grid(
     becomes one mean pair per term, computed once; then terms are expanded long by
     short inside generated code and only signalling pairs survive. No shuffle
     follows the window.
+
+    The output grows by up to one row for each pair, some thousands, per bar.
+    ``partitions`` is the number of tasks; by default one for GRID_ROWS bars, counted
+    from the input, and no fewer than the shuffle setting. A stated number keeps AQE
+    from merging partitions that hold few bytes but thousands of pairs per row. A NULL
+    close or volume counts as no value.
     """
     low, high = long_terms
     short_low, short_high = short_terms
     _check_terms(low, short_low)
     slim = bars.select(*keys, position, "open_time", "close_price", "volume")
     cut = split_positions(slim, position=position, keys=keys, before=high + 2, blocks=blocks)
-    cut = replace(cut, df=cut.df.repartition(_grid_partitions(bars), *keys, "_block"))
+    if partitions is None:
+        least = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-slim.count() // GRID_ROWS))
+    cut = replace(cut, df=cut.df.repartition(partitions, *keys, "_block"))
     w = cut.window
     rows = _running(cut, [*keys, "open_time", "volume", position])
     recent = w.rowsBetween(-(high + 1), 0)
     rows = rows.withColumns(
         {
-            "_closes": F.collect_list("_closes").over(recent),
-            "_volumes": F.collect_list("_volumes").over(recent),
+            name: F.collect_list(name).over(recent) for name in ("_closes", "_closes_n", "_volumes", "_volumes_n")
         }
     )
     # A term n needs position n + 2 at least; so the arrays hold n + 2 sums or more.
     rows = cut.owned(rows).filter(F.col("_at") >= low + 2)
-    closes, volumes = F.col("_closes"), F.col("_volumes")
-    size = F.size(closes)
+    size = F.size("_closes")
 
-    def back(values: Column, k: Column | int) -> Column:
-        return F.get(values, size - 1 - k)
+    def mean(name: str, newest: int, oldest: Column | int) -> Column:
+        """Mean of the values there are after ``oldest`` bars back, up to ``newest`` bars back."""
+        since = lambda x: F.get(x, size - 1 - newest) - F.get(x, size - 1 - oldest)
+        return F.try_divide(since(name).cast("double"), since(f"{name}_n").cast("double"))
 
     def term_means(n: Column) -> Column:
-        terms = (n - 1).cast("double")
         return F.struct(
             n.alias("n"),
-            ((back(closes, 2) - back(closes, n + 1)).cast("double") / terms).alias("m1"),
-            ((back(closes, 1) - back(closes, n)).cast("double") / terms).alias("m2"),
-            ((back(volumes, 0) - back(volumes, n)).cast("double") / n.cast("double")).alias("v"),
+            mean("_closes", 2, n + 1).alias("m1"),
+            mean("_closes", 1, n).alias("m2"),
+            mean("_volumes", 0, n).alias("v"),
         )
 
     last_term = F.least(F.lit(high), (F.col("_at") - 2).cast("int"))
@@ -246,7 +253,7 @@ def mac_grid(
         *keys,
         "open_time",
         F.col("volume").cast("double").alias("volume"),
-        ((back(volumes, 0) - back(volumes, 3)).cast("double") / F.lit(3.0)).alias("vol3_avg"),
+        mean("_volumes", 0, 3).alias("vol3_avg"),
         F.transform(F.sequence(F.lit(short_low), last_term), term_means).alias("_means"),
     )
     # ``inline`` turns the fields of a term into plain variables of the generated loop.
