@@ -3,6 +3,7 @@
 from tickloom.plans.queries import (  # noqa: F401
     aggregates,
     joins,
+    ranges,
     scalars,
     sources,
     streams,
