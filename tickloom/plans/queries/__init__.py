@@ -4,6 +4,7 @@ from tickloom.plans.queries import (  # noqa: F401
     aggregates,
     joins,
     ranges,
+    rejects,
     scalars,
     sources,
     streams,
