@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.times import to_epoch_ms
-from tickloom.operators.keyed import latest_per_key
+from tickloom.operators.keyed import latest_per_key, upsert
 from tickloom.schemas import BAR_KEY, BARS, MINUTE_MS, SIGNALS, check_period
 
-
-
 def read_landed_text(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON documents, one per file, as ``value``."""
     return spark.read.text(path, wholetext=True)
@@ -46,17 +44,48 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True)
 
 
+def with_day(bars: DataFrame) -> DataFrame:
+    return bars.withColumn("day", F.to_date(F.timestamp_millis("open_time")))
+
+
 def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Bars as Parquet by period, range-partitioned so that files are even in size
+    """Bars as Parquet by period and day, range-partitioned so that files are even in size
     whatever the symbol, and so that row-group statistics prune symbol and time."""
-    ordered = bars.repartitionByRange("period", "symbol", "open_time")
-    ordered.sortWithinPartitions("period", "symbol", "open_time").write.mode(mode).partitionBy(
-        "period"
-    ).parquet(path)
+    order = ("period", "day", "symbol", "open_time")
+    ordered = with_day(bars.select(*BARS.names)).repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.mode(mode).partitionBy("period", "day").parquet(path)
+
+
+def read_bars(
+    spark: SparkSession, path: str, start: dt.datetime | str | None = None, end: dt.datetime | str | None = None
+) -> DataFrame:
+    """Stored bars; with ``start`` or ``end`` only the days between them are read, whole days."""
+    rows = _stored(spark, path)
+    for bound, keep in ((start, F.col("day").__ge__), (end, F.col("day").__le__)):
+        if bound is not None:
+            rows = rows.filter(keep(F.to_date(F.timestamp_millis(F.lit(to_epoch_ms(bound))))))
+    return rows.select(*BARS.names)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(T.StructType([*BARS.fields, T.StructField("day", T.DateType())])).parquet(path)
 
 
-def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BARS).parquet(path).select(*BARS.names)
+def upsert_stored_bars(
+    spark: SparkSession, path: str, incoming: DataFrame, ingest_order: Sequence[str], scratch: str
+) -> None:
+    """Overwrite stored bars by incoming ones, the last of a key wins; only days with incoming bars are rewritten.
+
+    The new days are written to ``scratch`` first and then put in place of the old ones, so a run that fails before
+    that leaves the store as it was, and one that fails during it can be repeated.
+    """
+    arriving = with_day(incoming)
+    touched = arriving.select("period", "day").distinct()
+    stored = _stored(spark, path).join(touched, ["period", "day"], "left_semi")  # prunes directories at run time
+    merged = upsert(stored.select(*BARS.names), arriving.select(*BARS.names, *ingest_order), BAR_KEY, ingest_order)
+    write_bars(merged, scratch)
+    new = spark.read.parquet(scratch)
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period", "day").parquet(path)
 
 
 def scan_bars(
@@ -65,10 +94,12 @@ def scan_bars(
     start: dt.datetime | str,
     end: dt.datetime | str,
     symbol: str | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Bars opened from ``start`` to ``end``, both included, in time order.
+    """Bars opened from ``start`` to ``end``, both included; sorted by time and symbol only if ``ordered``.
 
-    On stored bars the period prunes directories and the bounds reach the scan.
+    On stored bars the period prunes directories and the bounds reach the scan; give
+    ``read_bars`` the same bounds to prune days as well.
     """
     rows = bars.filter(
         (F.col("period") == check_period(period))
@@ -76,7 +107,7 @@ def scan_bars(
     )
     if symbol is not None:
         rows = rows.filter(F.col("symbol") == symbol)
-    return rows.orderBy("open_time", "symbol")
+    return rows.orderBy("open_time", "symbol") if ordered else rows
 
 
 def scan_bars_lookback(

@@ -7,11 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.keyed import latest_per_key
+from tickloom.operators.keyed import latest_per_key, register_unknown_symbols
 from tickloom.schemas import BAR_KEY, BOOK_KEY
 from tickloom.sources.messages import (
     bar_event_rejects,
     depth_counts,
+    depth_element_rejects,
+    depth_rejects,
     parse_bar_events,
     parse_depth_updates,
 )
@@ -49,10 +51,12 @@ def stream_bars(
 
     def handle(batch: DataFrame, number: int) -> None:
         batch.persist()
-        rows = latest_per_key(parse_bar_events(batch), BAR_KEY, ingest_order, keep_order=False)
-        write_batch(rows, f"{path}/bars", number)
-        write_batch(bar_event_rejects(batch), f"{path}/rejects", number)
-        batch.unpersist()
+        try:
+            rows = latest_per_key(parse_bar_events(batch), BAR_KEY, ingest_order, keep_order=False)
+            write_batch(rows, f"{path}/bars", number)
+            write_batch(bar_event_rejects(batch), f"{path}/rejects", number)
+        finally:
+            batch.unpersist()
 
     return run_batches(messages, handle, f"{path}/checkpoint", available_now=available_now)
 
@@ -62,15 +66,30 @@ def stream_depth(
     path: str,
     *,
     ingest_order: Sequence[str],
+    prices: DataFrame | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Depth messages into ``path/levels``, and bids and asks per message into ``path/counts``."""
+    """Depth messages into ``path/levels``, and bids and asks per message into ``path/counts``.
+
+    Unreadable messages go to ``path/rejects``, unreadable levels to ``path/level_rejects``. With a table of
+    ``prices`` the symbols it lacks go to ``path/registered``, with price 0.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
         batch.persist()
-        rows = latest_per_key(parse_depth_updates(batch), BOOK_KEY, ingest_order, keep_order=False)
-        write_batch(rows, f"{path}/levels", number)
-        write_batch(depth_counts(batch), f"{path}/counts", number)
-        batch.unpersist()
+        try:
+            rows = latest_per_key(parse_depth_updates(batch), BOOK_KEY, ingest_order, keep_order=False)
+            write_batch(rows, f"{path}/levels", number)
+            write_batch(depth_counts(batch), f"{path}/counts", number)
+            write_batch(depth_rejects(batch), f"{path}/rejects", number)
+            write_batch(depth_element_rejects(batch), f"{path}/level_rejects", number)
+            if prices is not None:
+                listed = prices.select("symbol", "price")
+                unknown = register_unknown_symbols(listed, depth_counts(batch)).join(
+                    listed.select("symbol"), "symbol", "left_anti"
+                )
+                write_batch(unknown, f"{path}/registered", number)
+        finally:
+            batch.unpersist()
 
     return run_batches(messages, handle, f"{path}/checkpoint", available_now=available_now)
