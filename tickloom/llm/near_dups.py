@@ -174,7 +174,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small_least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(small_least, "a")
         small = (
@@ -192,21 +192,18 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("label", F.col("vertex"))
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     found = members.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left")
     return found.withColumn("label", F.coalesce("component", "vertex")).drop("component")
 
 
-def _links(members: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """Enough confirmed links (a, b) to connect all that the buckets would connect.
+def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, component) of all vertices that confirmed links within the buckets connect.
 
-    First every vertex meets the least vertex of its buckets that it is not yet known to be connected with, one pair
-    each. Then rounds: in buckets that still hold different components, the least ``width`` vertices (1, 2, 4, ...)
-    meet all members of other components, and leave. Two vertices of one bucket are compared unless they are already
-    connected, so no link between components is lost, and copies of one text or a family of near copies cost one
-    comparison each, not one for each pair.
+    First every vertex meets the least vertex of each of its buckets. Then rounds: in buckets that still hold different
+    components, the least 4, 16, 64, ... vertices meet all members of other components, and leave. Two vertices of one
+    bucket are compared unless they are already connected, so no link between components is lost, and copies of one
+    text or a family of near copies cost about one comparison each, not one for each pair.
     """
     fits = lambda x, y: (100 * F.least(x, y) >= PERCENT * F.greatest(x, y))  # noqa: E731  else sizes alone rule it out
     sizes = members.select(F.col("vertex").alias("first"), F.col("n").alias("n_first")).distinct()
@@ -216,19 +213,16 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame | None:
         .distinct()
         .join(sizes, "first")
         .where(fits(F.col("n"), F.col("n_first")))
-        .groupBy("vertex")
-        .agg(F.min("first").alias("a"))
-        .select("a", F.col("vertex").alias("b"))
+        .select(F.col("first").alias("a"), F.col("vertex").alias("b"))
     )
-    links = written(_confirmed(pairs, sets), "links")
-    labels = components(links)
-    members, width = members.drop("first"), 1
+    labels = components(_confirmed(pairs, sets))
+    members, width = members.where("vertex <> first").drop("first"), 4
     while True:
         live = _labelled(members, labels)
         split = live.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         live = written(live.join(split.select("key"), "key", "left_semi"), "live")
         if live.isEmpty():
-            return links
+            return labels
         rank = F.row_number().over(Window.partitionBy("key").orderBy("vertex"))
         pivots = live.withColumn("rank", rank).where(F.col("rank") <= width).drop("rank")
         pivots = written(pivots, "pivots")
@@ -241,10 +235,13 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame | None:
         )
         new = written(_confirmed(pairs, sets), "links")
         if not new.isEmpty():
-            links = written(links.union(new), "links")
-            labels = components(links)
+            labels = components(_edges(labels).union(new))
         members = live.drop("label").join(pivots.select("key", "vertex"), ["key", "vertex"], "left_anti")
-        width *= 2
+        width *= 4
+
+
+def _edges(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -275,12 +272,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         classes.join(members.select("vertex").distinct(), "vertex", "left_semi")
         .select("vertex", "pick.doc_id", "pick.text_hash")
     )
-    links = _links(members, written(_sets(docs, wanted), "sets"))
+    labels = _linked(members, written(_sets(docs, wanted), "sets"))
     # an id with different texts ties their vertices together
     repeated = linked.groupBy("doc_id").agg(F.min("vertex").alias("low"), F.max("vertex").alias("high")).where("low <> high")
     ties = linked.join(repeated.select("doc_id", F.col("low").alias("a")), "doc_id").select("a", F.col("vertex").alias("b"))
     ties = written(ties.where("a <> b").distinct(), "ties")
-    labels = components(links.union(ties))
+    if not ties.isEmpty():
+        labels = components(_edges(labels).union(ties))
     by_vertex = classes.select("vertex", "id").join(labels.withColumnRenamed("node", "vertex"), "vertex", "left")
     by_vertex = written(by_vertex.select("vertex", "id", F.coalesce("component", "vertex").alias("component")), "labels")
     least = by_vertex.groupBy("component").agg(F.min("id").alias("component_id"))
