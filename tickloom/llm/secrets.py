@@ -135,10 +135,8 @@ def train_forest(features: DataFrame, rows: int = TRAIN_ROWS) -> PipelineModel |
     if train.select("label").distinct().count() < 2:
         return None
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    weights = F.when(F.col("label") == 1, F.lit(1.0)).otherwise(F.lit(1.0))
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, weightCol="weight", maxMemoryInMB=64)
-    ready = assembler.transform(train.withColumn("weight", weights))
-    return PipelineModel([assembler, forest.fit(ready)])
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, maxMemoryInMB=64)
+    return PipelineModel([assembler, forest.fit(assembler.transform(train))])
 
 
 def secret_scan(docs: DataFrame, path_col: str | None = "source", findings: DataFrame | None = None) -> DataFrame:
