@@ -200,8 +200,8 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, component) of all vertices that confirmed links within the buckets connect.
 
-    First every vertex meets the least vertex of each of its buckets. Then rounds: in buckets that still hold different
-    components, the least 4, 16, 64, ... vertices meet all members of other components, and leave. Two vertices of one
+    First every vertex meets the least vertex of all its buckets, one pair each, which settles most. Then rounds: in
+    buckets that still hold different components, the least 4, 16, 64, ... vertices meet all members of other components, and leave. Two vertices of one
     bucket are compared unless they are already connected, so no link between components is lost, and copies of one
     text or a family of near copies cost about one comparison each, not one for each pair.
     """
@@ -213,10 +213,12 @@ def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
         .distinct()
         .join(sizes, "first")
         .where(fits(F.col("n"), F.col("n_first")))
-        .select(F.col("first").alias("a"), F.col("vertex").alias("b"))
+        .groupBy("vertex")
+        .agg(F.min("first").alias("a"))
+        .select("a", F.col("vertex").alias("b"))
     )
     labels = components(_confirmed(pairs, sets))
-    members, width = members.where("vertex <> first").drop("first"), 4
+    members, width = members.drop("first"), 4
     while True:
         live = _labelled(members, labels)
         split = live.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
