@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import bisect
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,7 @@ MAX_TRAIN_ROWS = 16_000
 PENALTY = 6.0
 SCRIPT_SHARE = 0.02
 CACHED = 300_000
-SLICE = 8 << 20
+SLICE = 4 << 20
 # First code points of script blocks, and the script that starts there.
 SCRIPTS = (
     (0x0000, "latin"),
@@ -55,6 +54,7 @@ SCRIPTS = (
 )
 NAMES = tuple(dict.fromkeys(name for _, name in SCRIPTS))
 _STARTS = [start for start, _ in SCRIPTS]
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -62,11 +62,30 @@ def script_of(letter: str) -> int:
     return NAMES.index(SCRIPTS[bisect.bisect_right(_STARTS, ord(letter)) - 1][1])
 
 
-def grams(word: str) -> list[int]:
-    """Hashed features of a word: itself and its character 1- to 4-grams with marked ends."""
-    marked = f"<{word}>"
-    found = [marked, *(marked[i : i + n] for n in (2, 3, 4) for i in range(len(marked) - n + 1))]
-    return [zlib.crc32(x.encode("utf-8", "replace")) >> (32 - BITS) for x in found]
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words, all at once: (features, number of the word each belongs to).
+
+    A word has itself and its character 2- to 4-grams with marked ends.
+    """
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = codes.astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    starts = np.cumsum(sizes) - sizes
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(sizes.max(initial=1)), _FACTOR, np.uint64))
+        whole = np.add.reduceat(codes * powers[np.arange(len(codes)) - starts[owner]], starts) if words else codes
+        hashes, owners = [whole], [np.arange(len(words))]
+        for n in (2, 3, 4):
+            inside = np.flatnonzero(owner[: len(owner) - n + 1] == owner[n - 1 :])
+            total = np.full(len(inside), n, np.uint64)
+            for k in range(n):
+                total = (total + codes[inside + k]) * _FACTOR
+            hashes.append(total)
+            owners.append(owner[inside])
+        joined = np.concatenate(hashes)
+        joined = (joined ^ (joined >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return (joined >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate(owners)
 
 
 def letters(chunk: str) -> str:
@@ -103,10 +122,12 @@ def train_language(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS, held_out: tu
                     own[chunk] = own.get(chunk, 0) + 1
             for lang, own in words.items():
                 table = total.setdefault(lang, np.zeros((1 << BITS) + len(NAMES), np.int64))
-                for chunk, times in own.items():
-                    if word := letters(chunk):
-                        np.add.at(table, grams(word), times)
-                        table[(1 << BITS) + script_of(word[0])] += times
+                named = [(word, times) for chunk, times in own.items() if (word := letters(chunk))]
+                found, owner = grams([word for word, _ in named])
+                weights = np.array([times for _, times in named], np.int64)
+                table[: 1 << BITS] += np.bincount(found, weights[owner], 1 << BITS).astype(np.int64)
+                scripts = [script_of(word[0]) for word, _ in named]
+                table[1 << BITS :] += np.bincount(scripts, weights, len(NAMES)).astype(np.int64)
         for lang, table in total.items():
             at = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays(
@@ -136,33 +157,42 @@ class Scorer:
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.table = np.zeros((1024, len(self.model.langs)), np.float32)
-        self.weight = np.zeros(1024, np.int32)
-        self.seen = np.zeros(1024, np.int32)
-
-    def add(self, chunk: str) -> int:
-        at = len(self.known)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.weight = np.concatenate([self.weight, np.zeros_like(self.weight)])
-            self.seen = np.concatenate([self.seen, np.zeros_like(self.seen)])
-        self.known[chunk] = at
-        if word := letters(chunk):
-            self.weight[at] = len(word)
-            allowed = self.model.scripts[script_of(word[0])]
-            if allowed.any():  # no learned language writes in this script: no evidence
-                self.seen[at] = len(word)
-                score = self.model.logp[grams(word)].sum(axis=0)
-                score -= score[allowed].max()
-                self.table[at] = np.maximum(np.where(allowed, score, -30.0), -30.0)
-        return at
+        self.table = np.zeros((0, len(self.model.langs)), np.float32)
+        self.weight = np.zeros(0, np.int32)
+        self.seen = np.zeros(0, np.int32)
+
+    def learn(self, chunks: list[str]) -> None:
+        """Score new chunks: log-probabilities relative to the best candidate of the script, -30 at least."""
+        words = [letters(c) for c in chunks]
+        lettered = np.array([i for i, w in enumerate(words) if w], np.int64)
+        own = [words[i] for i in lettered]
+        found, owner = grams(own)
+        logp = self.model.logp
+        score = np.stack([np.bincount(owner, logp[found, k], len(own)) for k in range(len(self.model.langs))], axis=1)
+        allowed = self.model.scripts[[script_of(w[0]) for w in own]].reshape(score.shape)
+        known = allowed.any(axis=1)  # else no learned language writes in this script: no evidence
+        best = np.where(allowed, score, -np.inf).max(axis=1, initial=-np.inf)
+        relative = np.maximum(np.where(allowed, score - np.where(known, best, 0)[:, None], -30.0), -30.0)
+        table = np.zeros((len(chunks), score.shape[1]), np.float32)
+        weight, seen = np.zeros(len(chunks), np.int32), np.zeros(len(chunks), np.int32)
+        table[lettered] = np.where(known[:, None], relative, 0)
+        weight[lettered] = [len(w) for w in own]
+        seen[lettered] = np.where(known, weight[lettered], 0)
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
+        self.table = np.concatenate([self.table, table])
+        self.weight = np.concatenate([self.weight, weight])
+        self.seen = np.concatenate([self.seen, seen])
 
     def predict(self, texts: list[str | None], penalty: float, with_spans: bool = True):
         """Language, share of letters and spans of each text."""
         langs = self.model.langs
         if len(self.known) > CACHED:
             self.reset()
-        rows = [self.rows(t) if t and langs else np.zeros(0, np.int32) for t in texts]
+        cut = [t.split() if t and langs else [] for t in texts]
+        if new := set().union(*cut) - self.known.keys():
+            self.learn(sorted(new))
+        known = self.known.__getitem__
+        rows = [np.fromiter(map(known, chunks), np.int32, len(chunks)) for chunks in cut]
         ends = np.cumsum([len(r) for r in rows], dtype=np.int64)
         sizes = np.diff(ends, prepend=0)
         every = np.concatenate([*rows, np.zeros(0, np.int32)])
@@ -178,14 +208,6 @@ class Scorer:
             spans.append(spans_of(text, own, langs) if total and with_spans else [])
         return names, shares, spans
 
-    def rows(self, text: str) -> np.ndarray:
-        known = self.known
-        found = []
-        for chunk in text.split():
-            at = known.get(chunk)
-            found.append(self.add(chunk) if at is None else at)
-        return np.array(found, dtype=np.int32)
-
 
 def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
     """Best label of each row of ``scores``; the rows are sequences of ``sizes`` rows, one after the other.
