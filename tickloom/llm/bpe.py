@@ -107,7 +107,13 @@ class Merges:
 
     def words(self, stretch: str) -> list[bytes]:
         """Words of a stretch, normalised and lower-cased code point by code point."""
-        folded = unicodedata.normalize("NFC", stretch).replace("Σ", "σ").lower()
+        if not stretch.isascii():
+            stretch = unicodedata.normalize("NFC", stretch).replace("Σ", "σ")
+        folded = stretch.lower()
+        if folded.isalpha():  # letters alone are one word
+            return [folded.encode()]
+        if folded[-1:] in (".", ",") and folded[:-1].isalpha():
+            return [folded[:-1].encode(), folded[-1:].encode()]
         return [w.encode() for w in self.pattern.findall(folded)]
 
 
@@ -227,11 +233,15 @@ class Transducer:
 
 
 class Codec:
-    """Texts to little-endian ids and back; each distinct stretch between white space once while it is cached."""
+    """Texts to little-endian ids and back; each distinct stretch between white space once while it is cached.
+
+    The cache has two generations: when the new one is full it becomes the old one, and what is met again moves back.
+    """
 
     def __init__(self, merges: Merges, lexicon: Transducer) -> None:
         self.merges, self.lexicon = merges, lexicon
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def learn(self, chunks) -> None:
         """Encode chunks: their words go through the transducer together, those it lacks are merged."""
@@ -257,9 +267,11 @@ class Codec:
                     parts.append(special)
             cut.append(parts)
         if len(self.known) > CACHED:
-            self.known.clear()
-        wanted = set().union(*(p for parts in cut for p in parts if not isinstance(p, int)))
-        self.learn(wanted - self.known.keys())
+            self.known, self.old = {}, self.known
+        wanted = set().union(*(p for parts in cut for p in parts if not isinstance(p, int))) - self.known.keys()
+        met = wanted & self.old.keys()
+        self.known.update((c, self.old[c]) for c in met)
+        self.learn(wanted - met)
         known = self.known.__getitem__
         return [
             b"".join(struct.pack("<I", p) if isinstance(p, int) else b"".join(map(known, p)) for p in parts) for parts in cut
