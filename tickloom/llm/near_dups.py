@@ -255,13 +255,22 @@ def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
         )
         new = written(_confirmed(pairs, sets), "links")
         if not new.isEmpty():
-            labels = components(_edges(labels).union(new))
+            labels = _merged(labels, new)
         members = live.drop("label").join(pivots.select("key", "vertex"), ["key", "vertex"], "left_anti")
         width *= 4
 
 
-def _edges(labels: DataFrame) -> DataFrame:
-    return labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: only the components that the links join are worked on, then renamed."""
+    ends = links
+    for end in "ab":
+        own = labels.select(F.col("node").alias(end), F.col("component").alias(f"to_{end}"))
+        ends = ends.join(own, end, "left")
+    edges = ends.select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b"))
+    roots = components(edges.where("a <> b").distinct())
+    renamed = labels.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
+    renamed = renamed.select("node", F.coalesce("root", "component").alias("component"))
+    return written(renamed.unionByName(roots), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -300,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ties = linked.join(repeated.select("doc_id", F.col("low").alias("a")), "doc_id").select("a", F.col("vertex").alias("b"))
     ties = written(ties.where("a <> b").distinct(), "ties")
     if not ties.isEmpty():
-        labels = components(_edges(labels).union(ties))
+        labels = _merged(labels, ties)
     by_vertex = classes.select("vertex", "id").join(labels.withColumnRenamed("node", "vertex"), "vertex", "left")
     by_vertex = written(by_vertex.select("vertex", "id", F.coalesce("component", "vertex").alias("component")), "labels")
     least = by_vertex.groupBy("component").agg(F.min("id").alias("component_id"))
