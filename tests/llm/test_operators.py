@@ -401,3 +401,16 @@ def test_secret_candidates_of_odd_rows(docs):
     found = {r.doc_id: r for r in secrets.secret_scan(docs).collect()}
     assert set(found) == {11, 17} and found[17].secret
     assert found[17].word_at == 2 and found[17].length == 40
+
+
+def found_in(spark, *texts):
+    rows = secrets.candidates(data.documents(spark, list(enumerate(texts)))).collect()
+    return [[r for r in rows if r.doc_id == i] for i in range(len(texts))]
+
+
+def test_every_secret_candidate_of_a_word(spark):
+    keys = [f"{i}9f8e7d6c5b4a39281706f5e4d3c2b1a" for i in range(3)]
+    one, line = found_in(spark, f'x {{"a_token":"{keys[0]}","b_token":"{keys[1]}"}} y', ",".join(keys))
+    assert [(r.candidate, r.prefix, r.word_at) for r in one] == [(keys[0], '{"a_token":"', 1), (keys[1], '","b_token":"', 1)]
+    assert (one[0].before, one[1].before, one[1].after) == ("x", keys[0], "y")
+    assert [r.candidate for r in line] == keys

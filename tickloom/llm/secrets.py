@@ -22,6 +22,8 @@ KEEP_FROM = 0.5
 KEY_WORDS = "token|secret|passw|passphrase|api_?key|access_?key|private_?key|credential|auth|bearer|apikey"
 PATH_WORDS = "test|example|sample|mock|fixture|doc|readme"
 _CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % LEAST_LENGTH
+# the text up to a candidate, and the candidate
+_EACH = "(?s)(.*?)(" + _CANDIDATE + ")"
 FEATURES = (
     "length", "transitions", "distinct", "digits", "uppers", "symbols", "hex", "coverage",
     "quoted", "assigned", "key_before", "key_near", "path_example", "path_depth", "word_after",
@@ -29,9 +31,10 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, path_col: str | None = "source") -> DataFrame:
-    """(doc_id, path, word_at, candidate, quoted, before, before2, after): long strings of key-like characters.
+    """(doc_id, path, word_at, candidate, prefix, before, before2, after): long strings of key-like characters.
 
-    One row for each word between white space that holds one, with its neighbours. A NULL or empty text has none.
+    One row for each of them, several to a word between white space, with the text before and after it: the neighbours of
+    a word's first and last one are the words around, of the others those in the word. A NULL or empty text has none.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     rows = docs.select("doc_id", path.alias("path"), F.split(F.coalesce("text", F.lit("")), "\\s+").alias("w"))
@@ -57,15 +60,20 @@ def candidates(docs: DataFrame, path_col: str | None = "source") -> DataFrame:
             )
         ).alias("f"),
     )
-    return found.select("doc_id", "path", "f.*").select(
-        "doc_id",
-        "path",
-        "word_at",
-        F.regexp_extract("word", _CANDIDATE, 0).alias("candidate"),
-        F.regexp_extract("word", "^(.*?)" + _CANDIDATE, 1).alias("prefix"),
-        "before",
-        "before2",
-        "after",
+    part = lambda group: F.regexp_extract_all("f.word", F.lit(_EACH), F.lit(group))
+    matched = found.select("doc_id", "path", "f", part(1).alias("p"), part(2).alias("c"))
+    each = F.transform(
+        "c",
+        lambda c, k: F.struct(
+            c.alias("candidate"),
+            F.get("p", k).alias("prefix"),
+            F.when(k == 0, F.col("f.before")).otherwise(F.get("c", k - 1)).alias("before"),
+            F.when(k == 0, F.col("f.before2")).otherwise(F.get("p", k - 1)).alias("before2"),
+            F.coalesce(F.concat(F.get("p", k + 1), F.get("c", k + 1)), F.col("f.after")).alias("after"),
+        ),
+    )
+    return matched.select("doc_id", "path", F.col("f.word_at").alias("word_at"), F.explode(each).alias("m")).select(
+        "doc_id", "path", "word_at", "m.*"
     )
 
 
@@ -142,7 +150,7 @@ def train_forest(features: DataFrame, rows: int = TRAIN_ROWS) -> PipelineModel |
 def secret_scan(docs: DataFrame, path_col: str | None = "source", findings: DataFrame | None = None) -> DataFrame:
     """Secrets in every whole text, with false positives marked by the forest.
 
-    Columns: ``doc_id``, ``word_at`` (place of the word, from 0), ``candidate_sha256``, ``length``, ``score`` (the
+    Columns: ``doc_id``, ``word_at`` (place of the word, from 0; candidates of one word share it), ``candidate_sha256``, ``length``, ``score`` (the
     forest's probability of a secret), ``secret`` (score >= 0.5), ``candidate``. One row for each candidate; documents
     without one, NULL and empty texts give none. ``findings``: labelled findings with the columns of ``candidates``
     and ``label``; without them those that :func:`labelled` is certain of. If they lack one of the labels, nothing can
