@@ -19,11 +19,19 @@ TREES = 24
 DEPTH = 6
 KEEP_FROM = 0.5
 # Words that name a secret, and parts of paths that hold examples.
-KEY_WORDS = "token|secret|passw|passphrase|api_?key|access_?key|private_?key|credential|auth|bearer|apikey"
+KEY_WORDS = "token|secret|passw|passphrase|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential|auth|bearer|apikey"
 PATH_WORDS = "test|example|sample|mock|fixture|doc|readme"
-_CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % LEAST_LENGTH
+# A name ends at its "="; one or two more pad a candidate where no value follows them.
+_CANDIDATE = "[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]|[\"'`][^\\s\"'`,;:)}\\]]))?" % LEAST_LENGTH
+# The words of a private key block are marked, so that each line of it is known by itself; \n may be spelled out.
+_MARK = "\ue000"
+_BLOCK = (
+    "(-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----|\\G(?!\\A)[A-Za-z0-9+/=:,-]++)((?:\\s|\\\\[nr])++)(?!-----)(?=[A-Za-z0-9+/=:,-])"
+)
+_LINE = "(?<=" + _MARK + ")[A-Za-z0-9+/=]+(?![A-Za-z0-9+/=:,-])"
+_FOUND = _LINE + "|" + _CANDIDATE
 # the text up to a candidate, and the candidate
-_EACH = "(?s)(.*?)(" + _CANDIDATE + ")"
+_EACH = "(?s)(.*?)(" + _FOUND + ")"
 FEATURES = (
     "length", "transitions", "distinct", "digits", "uppers", "symbols", "hex", "coverage",
     "quoted", "assigned", "key_before", "key_near", "path_example", "path_depth", "word_after",
@@ -34,10 +42,13 @@ def candidates(docs: DataFrame, path_col: str | None = "source") -> DataFrame:
     """(doc_id, path, word_at, candidate, prefix, before, before2, after): long strings of key-like characters.
 
     One row for each of them, several to a word between white space, with the text before and after it: the neighbours of
-    a word's first and last one are the words around, of the others those in the word. A NULL or empty text has none.
+    a word's first and last one are the words around, of the others those in the word. All words in a private key block
+    are candidates. A NULL or empty text has none.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
-    rows = docs.select("doc_id", path.alias("path"), F.split(F.coalesce("text", F.lit("")), "\\s+").alias("w"))
+    text = F.coalesce("text", F.lit(""))
+    text = F.when(text.contains("PRIVATE KEY-----"), F.regexp_replace(text, _BLOCK, "$1$2" + _MARK)).otherwise(text)
+    rows = docs.select("doc_id", path.alias("path"), F.split(text, "\\s+").alias("w"))
     found = rows.select(
         "doc_id",
         "path",
@@ -46,7 +57,7 @@ def candidates(docs: DataFrame, path_col: str | None = "source") -> DataFrame:
                 F.transform(
                     "w",
                     lambda x, i: F.when(
-                        (F.octet_length(x) >= LEAST_LENGTH) & x.rlike(_CANDIDATE),
+                        ((F.octet_length(x) >= LEAST_LENGTH) | x.contains(_MARK)) & x.rlike(_FOUND),
                         F.struct(
                             i.cast("long").alias("word_at"),
                             x.alias("word"),
@@ -97,9 +108,10 @@ def with_features(found: DataFrame, parts: list[str]) -> DataFrame:
     c = F.col("candidate")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]", "a"), "[A-Z]", "B"), "[0-9]", "0")
     kinds = F.regexp_replace(kinds, "[^aB0]", "s")
-    grams = F.transform(F.sequence(F.lit(1), F.length(c) - GRAM + 1), lambda i: F.lower(F.substring(c, i, F.lit(GRAM))))
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - GRAM + 1, F.lit(1))), lambda i: F.lower(F.substring(c, i, F.lit(GRAM))))
     covered = F.size(F.filter(grams, lambda g: g.isin(parts))) / F.size(grams) if parts else F.lit(0.0)
     near = F.concat_ws(" ", "before2", "before", "prefix")
+    block = F.col("prefix").endswith(_MARK)
     path = F.coalesce("path", F.lit(""))
     flag = lambda x: F.coalesce(x, F.lit(False)).cast("double")
     return found.select(
@@ -113,9 +125,9 @@ def with_features(found: DataFrame, parts: list[str]) -> DataFrame:
         flag(c.rlike("^([0-9a-f]+|[0-9A-F]+)$")).alias("hex"),
         covered.cast("double").alias("coverage"),
         flag(F.col("prefix").rlike("[\"'`]$")).alias("quoted"),
-        flag(F.concat("before", "prefix").rlike("[:=]")).alias("assigned"),
-        flag(F.lower(F.concat_ws(" ", "before", "prefix")).rlike(KEY_WORDS)).alias("key_before"),
-        flag(F.lower(near).rlike(KEY_WORDS)).alias("key_near"),
+        flag(block | F.concat("before", "prefix").rlike("[:=]")).alias("assigned"),
+        flag(block | F.lower(F.concat_ws(" ", "before", "prefix")).rlike(KEY_WORDS)).alias("key_before"),
+        flag(block | F.lower(near).rlike(KEY_WORDS)).alias("key_near"),
         flag(F.lower(path).rlike(PATH_WORDS)).alias("path_example"),
         _share(path, "[^/]").alias("path_depth"),
         flag(F.col("after").rlike("^[A-Za-z]")).alias("word_after"),
@@ -123,13 +135,16 @@ def with_features(found: DataFrame, parts: list[str]) -> DataFrame:
 
 
 def labelled(found: DataFrame) -> DataFrame:
-    """Findings with a certain label: 1 if a name of a secret is assigned a string of letters and digits, 0 for one
-    without any digit or any letter, or in running text without an assignment; the others have none and are left out."""
+    """Findings with a certain label: 1 if a name of a secret is assigned a string of letters and digits, or if a private
+    key block holds one; 0 for one without any digit or any letter, or in running text without an assignment, where no
+    name of a secret stands in it or around it; the others have none and are left out."""
     c = F.col("candidate")
-    named = F.lower(F.concat_ws(" ", "before2", "before", "prefix")).rlike(KEY_WORDS)
-    given = F.concat("before", "prefix").rlike("[:=]")
+    block = F.col("prefix").endswith(_MARK)
+    named = block | F.lower(F.concat_ws(" ", "before2", "before", "prefix")).rlike(KEY_WORDS)
+    given = block | F.concat("before", "prefix").rlike("[:=]")
     mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
-    label = F.when(named & given & mixed, 1.0).when(~mixed | ~(named | given), 0.0)
+    around = named | F.lower(F.concat_ws(" ", "candidate", "after")).rlike(KEY_WORDS)
+    label = F.when(named & given & mixed, 1.0).when((~mixed | ~given) & ~around, 0.0)
     return found.withColumn("label", label).where("label IS NOT NULL")
 
 
