@@ -434,3 +434,18 @@ def test_names_are_not_part_of_secret_candidates(spark):
     assert all(labels[k, line] == 1 for k in (3, 4) for line in lines)
     assert (5, key) not in labels and labels[6, "x1" * 10] == 0
     assert labels[3, "internationalisations"] == 0
+
+
+def test_short_values_after_a_key_word_are_candidates(spark):
+    texts = ['password = "hunter2!Kx" end', "export DB_PASSWORD=hu.nt$er2!Kx", "passphrase: s3cr.et%x", '{"api_key":"a.b!c@d#1","n":1}',
+             "password = 'it\"s!me22' x", "AWS_SECRET_ACCESS_KEY='wJ.l!r7'", 'the private key = "a.b!c9"', '{\\"token\\":\\"ab.cd!9\\"}',
+             "credential =x.y!z12 t", "the author: of.this text", "no secret here at.all! x", "u?token=ab.cd.1&auth=zz.yy.2",
+             "auth=eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dozjgNryP4J3jVmNHl0w5N", "token = 12"]
+    values = [["hunter2!Kx"], ["hu.nt$er2!Kx"], ["s3cr.et%x"], ["a.b!c@d#1"], ['it"s!me22'], ["wJ.l!r7"], ["a.b!c9"], ["ab.cd!9"],
+              ["x.y!z12"], [], [], ["ab.cd.1", "zz.yy.2"], [texts[12][5:]], []]
+    assert [[r.candidate for r in rows] for rows in found_in(spark, *texts)] == values
+    rng = np.random.default_rng(8)
+    rows = [(1000 + i, f"{data.prose(i, 20)} token = \"{''.join(rng.choice(list('0123456789abcdef'), 40))}\" x") for i in range(60)]
+    rows += [(2000 + i, f"{data.prose(i, 20)} studentgroupcountryfamily world {i}{i:016d} end") for i in range(60)]
+    found = secrets.secret_scan(data.documents(spark, [*rows, *enumerate(texts[:3])])).collect()
+    assert {(r.doc_id, r.candidate) for r in found if r.secret and r.doc_id < 1000} == {(i, values[i][0]) for i in range(3)}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import sampled, written
 
 LEAST_LENGTH = 16
+LEAST_VALUE = 6
 DICTIONARY_WORDS = 5_000
 GRAM = 4
 TRAIN_ROWS = 20_000
@@ -29,9 +30,18 @@ _BLOCK = (
     "(-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----|\\G(?!\\A)[A-Za-z0-9+/=:,-]++)((?:\\s|\\\\[nr])++)(?!-----)(?=[A-Za-z0-9+/=:,-])"
 )
 _LINE = "(?<=" + _MARK + ")[A-Za-z0-9+/=]+(?![A-Za-z0-9+/=:,-])"
-_FOUND = _LINE + "|" + _CANDIDATE
-# the text up to a candidate, and the candidate
-_EACH = "(?s)(.*?)(" + _FOUND + ")"
+# A value after the name of a secret: any visible characters, to its quote or to what ends an unquoted one.
+_NAME = "[A-Za-z0-9_]*?(?:" + KEY_WORDS.replace("|auth|", "|auth(?!ors?(?![A-Za-z]))|") + ")[A-Za-z0-9_.-]*+[\"'`\\\\)\\]]*+"
+_SET = "(?:=>|:?={1,3}|:)"
+_GIVEN = "(?i:" + _NAME + "\\s*+(?:" + _SET + "\\s*+\\\\?[\"'`]?|(?<=\\s)[\"'`]))"
+_LEAD = "(?i)" + _NAME + " ?(?:" + _SET + " )?$"
+_VALUE = "(?:{}|(?<![\"'`])[^\\s\"'`,;&<>(){{}}\\[\\]\\\\]{{{n},}})".format(
+    "|".join(f"(?<={q})[^\\s{q}]{{{LEAST_VALUE},}}" for q in "\"'`"), n=LEAST_VALUE
+)
+_FOUND = _GIVEN + _VALUE + "|" + _LINE + "|" + _CANDIDATE
+_PLAIN = "^[A-Za-z0-9+/_=-]{%d,}$" % LEAST_LENGTH
+# the text up to a candidate, the name it is given to, and the candidate: a value or another
+_EACH = "(?s)(.*?)(?:(" + _GIVEN + ")(" + _VALUE + ")|(" + _LINE + "|" + _CANDIDATE + "))"
 FEATURES = (
     "length", "transitions", "distinct", "digits", "uppers", "symbols", "hex", "coverage",
     "quoted", "assigned", "key_before", "key_near", "path_example", "path_depth", "word_after",
@@ -39,7 +49,8 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, path_col: str | None = "source") -> DataFrame:
-    """(doc_id, path, word_at, candidate, prefix, before, before2, after): long strings of key-like characters.
+    """(doc_id, path, word_at, candidate, prefix, before, before2, after): long strings of key-like characters, and what
+    is given to the name of a secret, to its quote or white space, from 6 characters on.
 
     One row for each of them, several to a word between white space, with the text before and after it: the neighbours of
     a word's first and last one are the words around, of the others those in the word. All words in a private key block
@@ -48,21 +59,35 @@ def candidates(docs: DataFrame, path_col: str | None = "source") -> DataFrame:
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     text = F.coalesce("text", F.lit(""))
     text = F.when(text.contains("PRIVATE KEY-----"), F.regexp_replace(text, _BLOCK, "$1$2" + _MARK)).otherwise(text)
-    rows = docs.select("doc_id", path.alias("path"), F.split(text, "\\s+").alias("w"))
+    keyed = F.col("keyed")
+    rows = docs.select(
+        "doc_id", path.alias("path"), F.split(text, "\\s+").alias("w"), text.rlike("(?i)" + KEY_WORDS).alias("keyed")
+    )
+    def before(i: Column, n: int) -> Column:
+        return F.coalesce(F.get("w", i - n), F.lit(""))
+
+    def joined(x: Column, i: Column) -> Column:
+        """The word, after the name in front of it if it holds the value."""
+        lead = F.regexp_extract(F.concat_ws(" ", before(i, 3), before(i, 2), before(i, 1), F.lit("")), _LEAD, 0)
+        near = before(i, 1).rlike("[:=>]$") | x.rlike("^[\"'`:=]")
+        whole = F.when(keyed & (F.octet_length(x) >= LEAST_VALUE) & near, F.concat(lead, x))
+        return F.when(whole.rlike("^" + _GIVEN + _VALUE), whole).otherwise(x)
+
+    long = lambda x: F.octet_length(x) >= F.when(keyed, LEAST_VALUE).otherwise(LEAST_LENGTH)
     found = rows.select(
         "doc_id",
         "path",
         F.explode(
             F.filter(
                 F.transform(
-                    "w",
+                    F.transform("w", joined),
                     lambda x, i: F.when(
-                        ((F.octet_length(x) >= LEAST_LENGTH) | x.contains(_MARK)) & x.rlike(_FOUND),
+                        (long(x) | x.contains(_MARK)) & x.rlike(_FOUND),
                         F.struct(
                             i.cast("long").alias("word_at"),
                             x.alias("word"),
-                            F.coalesce(F.get("w", i - 1), F.lit("")).alias("before"),
-                            F.coalesce(F.get("w", i - 2), F.lit("")).alias("before2"),
+                            before(i, 1).alias("before"),
+                            before(i, 2).alias("before2"),
                             F.coalesce(F.get("w", i + 1), F.lit("")).alias("after"),
                         ),
                     ),
@@ -72,7 +97,10 @@ def candidates(docs: DataFrame, path_col: str | None = "source") -> DataFrame:
         ).alias("f"),
     )
     part = lambda group: F.regexp_extract_all("f.word", F.lit(_EACH), F.lit(group))
-    matched = found.select("doc_id", "path", "f", part(1).alias("p"), part(2).alias("c"))
+    both = lambda x, y: F.zip_with(x, y, lambda a, b: F.concat(a, b))
+    # a value in escaped quotes leaves the escape of the closing one
+    values = F.transform(part(3), lambda v: F.regexp_replace(v, "\\\\+$", ""))
+    matched = found.select("doc_id", "path", "f", both(part(1), part(2)).alias("p"), both(values, part(4)).alias("c"))
     each = F.transform(
         "c",
         lambda c, k: F.struct(
@@ -136,7 +164,7 @@ def with_features(found: DataFrame, parts: list[str]) -> DataFrame:
 
 def labelled(found: DataFrame) -> DataFrame:
     """Findings with a certain label: 1 if a name of a secret is assigned a string of letters and digits, or if a private
-    key block holds one; 0 for one without any digit or any letter, or in running text without an assignment, where no
+    key block holds one (strings of key-like characters only); 0 for one without any digit or any letter, or in running text without an assignment, where no
     name of a secret stands in it or around it; the others have none and are left out."""
     c = F.col("candidate")
     block = F.col("prefix").endswith(_MARK)
@@ -145,7 +173,7 @@ def labelled(found: DataFrame) -> DataFrame:
     mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
     around = named | F.lower(F.concat_ws(" ", "candidate", "after")).rlike(KEY_WORDS)
     label = F.when(named & given & mixed, 1.0).when((~mixed | ~given) & ~around, 0.0)
-    return found.withColumn("label", label).where("label IS NOT NULL")
+    return found.withColumn("label", label).where(F.col("label").isNotNull() & (block | c.rlike(_PLAIN)))
 
 
 def train_forest(features: DataFrame, rows: int = TRAIN_ROWS) -> PipelineModel | None:
