@@ -449,3 +449,15 @@ def test_short_values_after_a_key_word_are_candidates(spark):
     rows += [(2000 + i, f"{data.prose(i, 20)} studentgroupcountryfamily world {i}{i:016d} end") for i in range(60)]
     found = secrets.secret_scan(data.documents(spark, [*rows, *enumerate(texts[:3])])).collect()
     assert {(r.doc_id, r.candidate) for r in found if r.secret and r.doc_id < 1000} == {(i, values[i][0]) for i in range(3)}
+
+
+def test_contamination_by_an_item_without_id(spark, monkeypatch):
+    passage = " ".join(f"alpha{i}" for i in range(14))
+    docs = data.documents(spark, [(1, f"so {passage} it is"), (2, f"{passage} {data.PASSAGE}"), (3, "none of them")])
+    bench = data.benchmark(spark, [(None, passage), (1, data.PASSAGE)])
+    ids = {1: (14, 0, sha(""), True), 2: (29, 1, sha("1"), True), 3: (0, 0, sha(""), False)}
+    for limit in (500_000, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", limit)
+        found = decontaminate.contamination(docs, bench).collect()
+        assert {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found} == ids
+    assert [r.doc_id for r in decontaminate.without_documents(docs, bench).collect()] == [3]

@@ -31,7 +31,7 @@ def words(text: Column) -> Column:
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """Distinct (hash, size, gram, item_id): every ``window`` consecutive words, or all of a shorter item."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w"))
-    rows = rows.where("size(w) > 0 AND item_id IS NOT NULL").withColumn("size", F.least(F.size("w"), F.lit(window)))
+    rows = rows.where("size(w) > 0").withColumn("size", F.least(F.size("w"), F.lit(window)))
     cut = rows.select("item_id", "size", "w", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("size") + 1)).alias("at"))
     return (
         cut.select("item_id", "size", F.slice("w", F.col("at"), F.col("size")).alias("gram"))
@@ -67,10 +67,11 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
         F.when(F.col("at").isNull(), F.size("w")).cast("long").alias("n_words"),
         F.when(F.col("at").isNotNull(), F.expr("slice(w, cast(at + 1 AS INT), size)")).alias("g"),
     ).withColumn("hash", F.coalesce(F.xxhash64("g"), F.col("text_hash")))
+    grams = grams.withColumn("found", F.lit(True))  # the id of an item may be NULL
     if sum(by_size.values()) <= BROADCAST_WINDOWS:  # counted just now; a larger set meets the windows in a shuffle
         grams = F.broadcast(grams)
     found = scan.alias("s").join(grams.alias("b"), F.expr("s.hash = b.hash AND s.size = b.size AND s.g = b.gram"), "left")
-    return found.where("s.at IS NULL OR b.item_id IS NOT NULL").select("doc_id", "text_hash", "at", "s.size", "n_words", "item_id")
+    return found.where("s.at IS NULL OR b.found").select("doc_id", "text_hash", "at", "s.size", "n_words", "item_id")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, positions: bool = False) -> DataFrame:
@@ -80,7 +81,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     comma-joined), ``contaminated`` (n_hit > 0 and 20 * n_hit >= n_words), ``text_hash`` (xxhash64 of the text), and
     with ``positions`` also ``hit_words`` (their places from 0, at most a document's words). One row per input row;
     rows that repeat id and text get equal results. A NULL text has no words. A NULL id is an id like others.
-    Benchmark items without words or id give no window; an empty benchmark gives no hit. Other columns are not read.
+    Items with a NULL id have windows like others, so their words count for ``n_hit``; having no id, they count neither
+    for ``n_items`` nor in ``items_sha256``. Benchmark items without words give no window; an empty benchmark gives no hit. Other columns are not read.
     """
     scanned = _scanned(docs, benchmark, window)
     # a place becomes its words, an item one more row; equal ones fall together before the shuffle
