@@ -461,3 +461,25 @@ def test_contamination_by_an_item_without_id(spark, monkeypatch):
         found = decontaminate.contamination(docs, bench).collect()
         assert {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found} == ids
     assert [r.doc_id for r in decontaminate.without_documents(docs, bench).collect()] == [3]
+
+
+def test_rare_personal_data_teaches_the_field(spark):
+    rows = [(i, f"plain words {i}") for i in range(9000)]
+    for k in range(30):
+        i = 300 * k + 7
+        rows[i] = (i, f"please mail user{k}@mail{k % 7}.example.com or call +1 ({200 + k}) 555-{1000 + k} today ok")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    known = {w for k in range(30) for w in [f"user{k}@mail{k % 7}.example.com"]}
+    seen = []
+    field = pii.fit
+
+    def fit(examples, **options):
+        seen.extend(w.text for w, _ in examples)
+        return field(examples, **options)
+
+    pii.fit = fit
+    try:
+        assert pii.train_pii(docs).weights
+    finally:
+        pii.fit = field
+    assert all(any(k in text for text in seen) for k in known)

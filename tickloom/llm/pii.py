@@ -15,10 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import byte_slices, sampled
+from tickloom.llm.common import byte_slices, written
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_ROWS = 6_000
 TRAIN_WINDOWS = 600
 MAX_TOKENS = 5
 MAX_CHARS = 80
@@ -350,33 +349,42 @@ def training_windows(texts: list[str], limit: int) -> list[tuple[Window, list[Sp
     return found
 
 
-def train_pii(docs: DataFrame, rows: int = TRAIN_ROWS, limit: int = TRAIN_WINDOWS) -> Field:
-    """Fit the field on windows around pattern spans in a bounded sample of documents.
+def chosen(parts: set[str], limit: int) -> list[str]:
+    """The ``limit`` of them whose digests are lowest, by digest."""
+    return sorted(parts, key=lambda p: (hashlib.blake2b(p.encode("utf-8", "surrogatepass"), digest_size=8).digest(), p))[:limit]
 
-    ``rows`` bounds the documents (those whose ids and texts hash lowest), ``limit`` the windows; what reaches the
-    driver are at most ``limit`` windows of bounded length. Without a pattern span the field is empty and adds nothing.
+
+def train_pii(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> Field:
+    """Fit the field on windows around pattern spans, looked for in all documents.
+
+    Of each kind the windows whose digests are lowest are taken in turn, ``limit`` in all: a rare kind gives all it has.
+    A task passes on at most ``limit`` of each kind, and so many reach the driver, all of bounded length. Without a
+    pattern span in any document the field is empty and adds nothing.
     """
-    sample = sampled(docs.select("doc_id", "text"), rows, "doc_id").where(F.col("text").isNotNull())
 
     def around(batches):
+        found: dict[str, set[str]] = {k: set() for k in KINDS}
         for batch in byte_slices(batches):
-            found = []
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text)
                 for w in windows(text) if spans else ():
                     low, high = w.tokens[0][0], w.tokens[-1][1]
-                    if any(s[1] >= low and s[2] <= high for s in spans) and high - low <= 400:
-                        found.append(text[low:high])
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["part"])
-
-    parts = (
-        sample.select("text")
-        .mapInArrow(around, "part string")
-        .distinct()
-        .orderBy(F.xxhash64("part"), "part")
-        .limit(limit)
-    )
-    return fit(training_windows([r.part for r in parts.collect()], 3 * limit))
+                    if high - low <= 400:
+                        for kind in {k for k, a, b in spans if a >= low and b <= high}:
+                            found[kind].add(text[low:high])
+                            if len(found[kind]) > 2 * limit:
+                                found[kind] = set(chosen(found[kind], limit))
+        rows = [(kind, part) for kind, parts in found.items() for part in chosen(parts, limit)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], ["kind", "part"])
+
+    labelled = docs.select("text").where(F.col("text").isNotNull()).mapInArrow(around, "kind string, part string")
+    labelled = written(labelled, "windows")
+    ranked: dict[tuple[int, str], str] = {}
+    for kind in KINDS:
+        mine = labelled.where(F.col("kind") == kind).select("part").distinct().orderBy(F.xxhash64("part"), "part").limit(limit)
+        ranked |= {(i, kind): r.part for i, r in enumerate(mine.collect())}
+    parts = list(dict.fromkeys(ranked[k] for k in sorted(ranked)))[:limit]
+    return fit(training_windows(parts, 3 * limit))
 
 
 def all_spans(text: str, field: Field, confidence: float = CONFIDENCE) -> tuple[list[Span], list[Span]]:
