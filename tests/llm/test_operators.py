@@ -483,3 +483,24 @@ def test_rare_personal_data_teaches_the_field(spark):
     finally:
         pii.fit = field
     assert all(any(k in text for text in seen) for k in known)
+
+
+def test_field_finds_long_spellings_and_glued_numbers():
+    texts = [f"please mail user{i}@mail{i % 7}.example.com or call +1 ({200 + i}) 555-{1000 + i} today ok" for i in range(80)]
+    texts += [f"seen at 10.{i}.3.{i} in row {i} of version {i}.2" for i in range(60)]
+    field = pii.fit(pii.training_windows(texts, 400))
+    cases = {
+        "x jane [at] mail [dot] corp [dot] com y": ["jane [at] mail [dot] corp [dot] com"],
+        "mail jane ( at ) mail ( dot ) com y": ["jane ( at ) mail ( dot ) com"],
+        "a tel:614-555-8001 b": ["614-555-8001"],
+        '{"name":"x","phone":"614-555-8001","n":3}': ["614-555-8001"],
+        "v 3.1415926535 w 2021-10-12 id a1234567890b /item/6145558001/ x": [],
+    }
+    for text, found in cases.items():
+        assert [text[a:b] for _, a, b in pii.all_spans(text, field)[1]] == found, text
+    for n in range(560, 760, 9):  # around the end of a window
+        text = "31 " * n + "x call (614) 555-8001 now " + "31 " * 900
+        assert "(614) 555-8001" in [text[a:b] for _, a, b in pii.all_spans(text, field)[1]], n
+    local = "a" * 60
+    text = f"x {local} [at] {'sub [dot] ' * 20}com y"
+    assert [text[a:b] for _, a, b in pii.all_spans(text, field)[1]] == [text[2:-2]]

@@ -93,6 +93,11 @@ _MAIL_WORD = re.compile(r"[\[({]?(at|dot)[\])}]?$", re.I)
 _MAIL_WORDS = re.compile(
     r"[A-Za-z0-9._%+-]+ ?(?:[\[({] ?at ?[\])}]|@) ?[A-Za-z0-9-]+(?: ?(?:[\[({] ?dot ?[\])}]|\.) ?[A-Za-z0-9-]+)+$", re.I
 )
+# A spelled-out address: the local part with its "at", the labels; a domain name has at most 127 of them.
+_MAIL_AT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:[\[({] ?at ?[\])}]|@) ?[A-Za-z0-9-]++", re.I)
+_MAIL_DOT = re.compile(r"(?: ?[\[({] ?dot ?[\])}] ?|\.)[A-Za-z0-9-]++", re.I)
+MAX_LABELS = 127
+MAX_DIGITS = 19
 _PHONE_FORM = re.compile(r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-][0-9]{2,4}){1,4}$")
 _NUMBERS = re.compile(r"[0-9]+")
 _SEED = 7
@@ -100,10 +105,13 @@ _SEED = 7
 
 @dataclass(frozen=True)
 class Window:
-    """Neighbouring tokens of a text, as (start, end) code points."""
+    """Neighbouring tokens of a text, as (start, end) code points; spans that start from ``since`` on and before ``until``
+    are its own, the others those of the windows it overlaps."""
 
     text: str
     tokens: tuple[tuple[int, int], ...]
+    since: int = 0
+    until: int = 1 << 62
 
 
 def tokens_around(text: str, hint: tuple[int, int]) -> tuple[int, int]:
@@ -119,58 +127,123 @@ def tokens_around(text: str, hint: tuple[int, int]) -> tuple[int, int]:
 
 
 _HINT = re.compile(r"[0-9@][^\s]{0,79}|[\[({]\s?(?:at|dot)\s?[\])}]", re.I)
-_TOKEN = re.compile(r"\S{1,160}")
+_TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\x00-\x7F\s]+|[^\sA-Za-z0-9]")
+_WORD = re.compile(r"\S+")
+_CUE = re.compile(r"[^\s\"'<>{}\[\]|:=,;()]+")
+OVERLAP = 4 * MAX_CHARS
 
 
 def windows(text: str) -> Iterator[Window]:
-    """Groups of nearby tokens that hold a digit, an ``@`` or a spelled-out one, with a little context."""
-    near = 48
+    """Groups of nearby tokens that hold a digit, an ``@`` or a spelled-out one, with a little context.
+
+    A long group is cut into windows that overlap by more than the longest segment of numbers.
+    """
+    near = MAX_CHARS
+    hints = [tokens_around(text, m.span()) for m in _HINT.finditer(text)]
+    hints += [(m.start(), _labels(text, m.end())[-1]) for m in _MAIL_AT.finditer(text)]
     groups: list[list[int]] = []
-    for m in _HINT.finditer(text):
-        low, high = tokens_around(text, m.span())
-        if groups and low <= groups[-1][1] + near and high - groups[-1][0] <= 2000:
+    for low, high in sorted(hints):
+        if groups and low <= groups[-1][1] + near:
             groups[-1][1] = max(high, groups[-1][1])
         else:
             groups.append([low, high])
     previous = 0
     for low, high in groups:
         left, right = max(previous, low - near), min(len(text), high + near)
-        found = tuple(m.span() for m in _TOKEN.finditer(text, left, right))
-        if found:
-            yield Window(text, found)
+        since = left
+        while True:
+            end = right if right - left <= 2000 + OVERLAP else left + 2000
+            until = right if end == right else end - OVERLAP // 2
+            if found := tuple(m.span() for m in _TOKEN.finditer(text, left, end)):
+                yield Window(text, found, since, until)
+            if end == right:
+                break
+            left, since = end - OVERLAP, until
         previous = high
 
 
+def _labels(text: str, at: int) -> list[int]:
+    """The end of an address's first label, and of each label after it."""
+    ends = [at]
+    while len(ends) < MAX_LABELS and (m := _MAIL_DOT.match(text, ends[-1])):
+        ends.append(m.end())
+    return ends
+
+
+def _edges(text: str, low: int, high: int) -> bool:
+    """Whether a run of numbers stands by itself: between spaces, or punctuation that does not go on with digits."""
+    left, right = text[max(0, low - 2) : low], text[high : high + 2]
+    free = not left or left[-1].isspace() or left[-1] in _TRIM_LEFT + "(>" and not left[0].isdigit()
+    return free and (not right or right[0].isspace() or right[0] in _TRIM_RIGHT + "<" and not right[-1].isdigit())
+
+
 def candidates(window: Window) -> list[list[tuple[int, int, int]]]:
-    """By first token: (last token + 1, start, end) of segments that could be an entity."""
+    """By first token: (last token + 1, start, end) of segments that could be an entity.
+
+    These are neighbouring words, numbers with what stands between their digits, and spelled-out addresses, the last two
+    also inside of words.
+    """
     text, tokens = window.text, window.tokens
-    found: list[list[tuple[int, int, int]]] = [[] for _ in tokens]
-    plain = [not _DIGIT.search(text, *t) and "@" not in text[t[0] : t[1]] for t in tokens]
-    for i, (start, _) in enumerate(tokens):
+    first = {a: i for i, (a, _) in enumerate(tokens)}
+    after = {b: i + 1 for i, (_, b) in enumerate(tokens)}
+    start, end = tokens[0][0], tokens[-1][1]
+    spans: set[tuple[int, int]] = set()
+    words = [m.span() for m in _WORD.finditer(text, start, end)]
+    plain = [not _DIGIT.search(text, *t) and text.find("@", *t) < 0 for t in words]
+    for i, (low, _) in enumerate(words):
         spelled = False
-        for j in range(i, min(i + MAX_TOKENS, len(tokens))):
-            if tokens[j][1] - start > MAX_CHARS:
+        for j in range(i, min(i + MAX_TOKENS, len(words))):
+            if words[j][1] - low > MAX_CHARS:
+                break
+            spelled = spelled or bool(_MAIL_WORD.match(text[words[j][0] : words[j][1]]))
+            if spelled or not (plain[i] or plain[j]):
+                whole = text[low : words[j][1]]
+                spans.add((
+                    low + len(whole) - len(whole.lstrip(_TRIM_LEFT)),
+                    words[j][1] - (len(whole) - len(whole.rstrip(_TRIM_RIGHT))),
+                ))
+    for i, (low, high) in enumerate(tokens):
+        if not (text[low] in "+(" or text[low].isdigit() and text[low].isascii()):
+            continue
+        digits = 0
+        for a, b in tokens[i:]:
+            gap = text[a - 1] if a > low else ""
+            if b - low > MAX_CHARS or not (text[a] in "+().-" or "0" <= text[a] <= "9") or gap.isspace() and gap != " ":
                 break
-            spelled = spelled or bool(_MAIL_WORD.match(text[tokens[j][0] : tokens[j][1]]))
-            whole = text[start : tokens[j][1]]
-            low = start + len(whole) - len(whole.lstrip(_TRIM_LEFT))
-            high = tokens[j][1] - (len(whole) - len(whole.rstrip(_TRIM_RIGHT)))
-            if high > low and (spelled or not (plain[i] or plain[j])):
-                found[i].append((j + 1, low, high))
+            if "0" <= text[a] <= "9":
+                digits += b - a
+                if digits > MAX_DIGITS:
+                    break
+                if digits >= 7 and _edges(text, low, b):
+                    spans.add((low, b))
+    for m in _MAIL_AT.finditer(text, start, end):
+        if len(ends := _labels(text, m.end())) > 1:
+            whole = (m.start(), ends[-1])  # an address is no address of its parts
+            spans = {x for x in spans if x[0] < whole[0] or x[1] > whole[1]} | {whole}
+    found: list[list[tuple[int, int, int]]] = [[] for _ in tokens]
+    for low, high in sorted(spans):
+        if high > low and low in first and high in after:
+            found[first[low]].append((after[high], low, high))
     return found
 
 
-def features(window: Window, first: int, low: int, high: int) -> tuple[str, ...]:
+def cues(window: Window, low: int) -> tuple[str, ...]:
+    """Features of the words before a place."""
+    near = _CUE.findall(window.text, max(window.tokens[0][0], low - MAX_CHARS), low)
+    before = {w.strip(_TRIM_LEFT + _TRIM_RIGHT).lower() for w in near[-CONTEXT:]}
+    return tuple(f"cue={kind}" for kind in KINDS if before & CUES[kind])
+
+
+def features(window: Window, low: int, high: int) -> tuple[str, ...]:
     """Features of a whole span; the field crosses each with the kind."""
     span = window.text[low:high]
     numbers = [len(x) for x in _NUMBERS.findall(span)]
     n = sum(numbers)
     other = re.sub(r"[0-9 ().+-]", "", span)
-    before = {window.text[a:b].strip(_TRIM_LEFT + _TRIM_RIGHT + "()").lower() for a, b in window.tokens[max(0, first - CONTEXT) : first]}
     out = [
         f"digits={min(n, 20)}",
         f"groups={min(len(numbers), 6)}",
-        f"tokens={len(span.split())}",
+        f"tokens={min(len(span.split()), MAX_TOKENS)}",
         f"form={'mail' if _MAIL_WORDS.match(span) else 'phone' if _PHONE_FORM.match(span) and 7 <= n <= 15 else '-'}",
         f"other={bool(other)}",
     ]
@@ -178,11 +251,12 @@ def features(window: Window, first: int, low: int, high: int) -> tuple[str, ...]
         out.append(f"luhn={luhn(digits_of(span))}")
     if re.fullmatch(r"[0-9]+(\.[0-9]+){3}", span):
         out.append(f"octets={octets(span)}")
+    if out[3] == "form=mail":
+        out.append(f"open={bool(_MAIL_DOT.match(window.text, high))}")
     if span.startswith("+"):
         out.append("plus")
     if "(" in span and ")" in span:
         out.append("brackets")
-    out.extend(f"cue={kind}" for kind in KINDS if before & CUES[kind])
     return tuple(out)
 
 
@@ -196,8 +270,11 @@ class Field:
         rows = []
         for i, options in enumerate(candidates(window)):
             row = []
+            before: dict[int, tuple[str, ...]] = {}
             for j, low, high in options:
-                own = features(window, i, low, high)
+                if low not in before:
+                    before[low] = cues(window, low)
+                own = features(window, low, high) + before[low]
                 for kind in KINDS:
                     row.append((j, kind, sum(self.weights.get((kind, f), 0.0) for f in own), own, low, high))
             rows.append(row)
@@ -287,11 +364,13 @@ def respelled(kind: str, span: str, rng: random.Random) -> str | None:
     """The same datum in a spelling that the patterns do not know."""
     if kind == "email":
         left, right = rng.choice((("[", "]"), ("(", ")")))
-        return span.replace("@", f" {left}at{right} ").replace(".", f" {left}dot{right} ") if span.count(".") <= 1 else (
-            span.replace("@", f" {left}at{right} ")
-        )
+        local, domain = span.split("@")
+        pad = rng.choice(("", "", " "))
+        at, dot = (f" {left}{pad}{x}{pad}{right} " for x in ("at", "dot"))
+        return local + at + (domain.replace(".", dot) if rng.random() < 0.7 else domain)
     if kind == "phone":
-        return re.sub(r"^\+[0-9]{1,3} ?", "", span)
+        own = re.sub(r"^\+[0-9]{1,3} ?", "", span)
+        return own if rng.random() < 0.6 else re.sub(r"[ ().-]+", rng.choice("-."), own).strip("-.")
     return None
 
 
@@ -327,7 +406,7 @@ def training_windows(texts: list[str], limit: int) -> list[tuple[Window, list[Sp
             if len(found) >= limit:
                 return found
             gold = reachable(window, spans)
-            if gold is None or len(window.tokens) > 60:
+            if gold is None or len(window.tokens) > 240:
                 continue
             found.append((window, gold))
             edges = [window.tokens[0][0], *(x for _, low, high in sorted(gold, key=lambda g: g[1]) for x in (low, high))]
@@ -337,7 +416,7 @@ def training_windows(texts: list[str], limit: int) -> list[tuple[Window, list[Sp
                 after = min([e for e in edges if e >= high and e != high] + [high + 24, len(text)])
                 left, right = text[before:low], text[high:after]
                 cue = rng.choice(sorted(CUES[kind]) + [""] * 6)
-                left += f"{cue} " * bool(cue)
+                left += cue + rng.choice((" ", " ", ":", '":"')) if cue else ""
                 other = respelled(kind, text[low:high], rng)
                 for middle, label in ((other, True), (harmless(rng), False)):
                     if middle:
@@ -399,7 +478,7 @@ def all_spans(text: str, field: Field, confidence: float = CONFIDENCE) -> tuple[
     for window in windows(text):
         for (kind, low, high), sure in field.decode(window):
             before = bisect.bisect_left(taken, (high,))
-            if sure >= confidence and not (before and highest[before - 1] > low):
+            if sure >= confidence and window.since <= low < window.until and not (before and highest[before - 1] > low):
                 added.append((kind, low, high))
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted({*base, *added}, key=lambda s: (order[s[0]], s[1], s[2]))
