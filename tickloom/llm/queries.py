@@ -1,4 +1,4 @@
-"""Checked queries of the ten operators, each over its whole table, and SQL where it can state the result."""
+"""Checked queries of the operators, each over its whole table, and SQL where it can state the result."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from tickloom.llm import (
     pii,
     quality,
     secrets,
+    sentence_pieces,
     token_counts,
 )
 from tickloom.llm.common import read_table
@@ -93,6 +94,11 @@ def op10_pii(spark, sf_dir):
     return pii.pii_spans(docs, pii.train_pii(docs)).drop("redacted")
 
 
+@query
+def op11_sentence_pieces(spark, sf_dir):
+    return sentence_pieces.sentence_piece_round_trip(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 ORACLES["op4_decontaminate"] = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
