@@ -18,6 +18,7 @@ from tickloom.llm import (
     secrets,
     sentence_pieces,
     token_counts,
+    whitening,
 )
 from tickloom.llm.common import read_table
 from tickloom.session import prepare
@@ -99,6 +100,11 @@ def op11_sentence_pieces(spark, sf_dir):
     return sentence_pieces.sentence_piece_round_trip(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 ORACLES["op4_decontaminate"] = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
