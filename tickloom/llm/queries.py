@@ -13,6 +13,7 @@ from tickloom.llm import (
     language,
     licenses,
     near_dups,
+    phrases,
     pii,
     quality,
     secrets,
@@ -100,6 +101,11 @@ def op11_sentence_pieces(spark, sf_dir):
     return sentence_pieces.sentence_piece_round_trip(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op12_phrases(spark, sf_dir):
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_whitening(spark, sf_dir):
     return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
@@ -153,3 +159,32 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.d
   d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON least_of.a = d.doc_id
 """
+
+ORACLES["op12_phrases"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, w[i:i + k - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) sizes(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, g, f AS a FROM f WHERE len(g) > 1),
+inner_of AS (
+  SELECT lang, g[i:j] AS g, max(a) AS longer
+  FROM (SELECT lang, g, a, i, unnest(range(i, len(g) + 1)) AS j FROM (SELECT lang, g, a, unnest(range(1, len(g) + 1)) AS i FROM c))
+  WHERE j - i + 1 < len(g) GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN inner_of o USING (lang, g) WHERE o.longer IS NULL OR 100 * o.longer < 100 * c.a),
+cut AS (
+  SELECT k.lang, k.g, k.a, k.k, x.f AS l, y.f AS r, t.n,
+    (CAST(1000 AS HUGEINT) * k.a * t.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM kept) k
+  JOIN f x ON x.lang = k.lang AND x.g = k.g[1:k.k] JOIN f y ON y.lang = k.lang AND y.g = k.g[k.k + 1:] JOIN totals t ON t.lang = k.lang),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS first FROM cut),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank,
+    array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM best WHERE first = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
