@@ -73,8 +73,18 @@ def test_the_filter_only_prunes(spark):
     rows = [("en", data.prose(k % 7, 50) + " one two three") for k in range(30)]
     wanted = plain(rows, 4, 5, 2000)
     assert len(wanted) > 50
-    for bits in (6, 8, 26):
-        assert run(spark, rows, least=4, filter_bits=bits) == wanted
+    for bits in (14, 18, 27):
+        assert run(spark, rows, least=4, bucket_bits=bits) == wanted
+
+
+def test_counts_sent_in_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "byte_slices", lambda batches, column: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    monkeypatch.setattr(phrases, "HELD_BUCKETS", 20)
+    monkeypatch.setattr(phrases, "HELD_ELEMENTS", 20)
+    rows = [("en" if k % 3 else "fr", data.prose(k % 7, 50)) for k in range(40)]
+    assert run(spark, rows, least=4) == plain(rows, 4, 5, 2000)
+    rows = [("en", "a b c. " * 50)] * 12
+    assert run(spark, rows, least=300) == plain(rows, 300, 5, 2000) != []
 
 
 def test_a_hot_prefix_and_a_long_text(spark):

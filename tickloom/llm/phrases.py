@@ -17,7 +17,11 @@ from tickloom.llm.near_dups import mixed
 LEAST_COUNT = 100
 MOST_WORDS = 5
 TOP = 2000
-FILTER_BITS = 26
+FILTER_BITS = 26  # a filter has 8 MB
+CHUNK_BITS = 8
+WORDS_A_BUCKET = 8
+HELD_BUCKETS = 6_000_000
+HELD_ELEMENTS = 1_000_000
 SALTS = 256
 NO_LANGUAGE = "und"
 _U = np.uint64
@@ -40,8 +44,8 @@ def _hashes(words) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def _slots(hashes: list[np.ndarray], lang: str, bits: int) -> np.ndarray:
-    """The place in the filter of phrases whose words have these hashes."""
+def _buckets(hashes: list[np.ndarray], lang: str, bits: int) -> np.ndarray:
+    """The bucket, one of 2 ** bits, of phrases whose words have these hashes."""
     total = np.full(len(hashes[0]), xxhash.xxh64_intdigest(lang.encode()), np.uint64)
     for place, h in zip(_PLACES, hashes, strict=False):
         total += h * place
@@ -83,76 +87,167 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def frequent_filter(frequent: DataFrame, words: int, bits: int) -> np.ndarray:
-    """A bit for the hash of every frequent phrase of so many words: of fixed size, without false negatives."""
+class Filter:
+    """A bit for the bucket of every phrase that may be frequent: of fixed size, without false negatives."""
+
+    def __init__(self, flags: DataFrame, words: int, bits: int) -> None:
+        self.words, self.bits, self.shift = words, bits, max(0, bits - FILTER_BITS)
+        found = flags.groupBy("slot").agg(F.bit_or("flags").alias("flags")).toArrow()
+        self.table = np.zeros(1 << (bits - self.shift - 6), np.uint64)
+        self.table[found["slot"].to_numpy()] = found["flags"].to_numpy().view(np.uint64)
+
+    def passes(self, ids: np.ndarray, hashes: np.ndarray, lang: str) -> np.ndarray:
+        """Whether the phrase at each place lies within one piece and passes."""
+        size = max(0, len(ids) - self.words + 1)
+        places = _buckets([hashes[t : t + size] for t in range(self.words)], lang, self.bits) >> self.shift
+        good = (self.table[places >> 6] >> (places & 63).astype(np.uint64)) & _U(1) > 0
+        for t in range(self.words):
+            good &= ids[t : t + size] > 0
+        return good
+
+
+def _flags(buckets: np.ndarray, bits: int) -> pa.RecordBatch:
+    places = buckets >> max(0, bits - FILTER_BITS)
+    flags = np.left_shift(_U(1), (places & 63).astype(np.uint64)).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(places >> 6), pa.array(flags)], ["slot", "flags"])
+
+
+def word_filter(frequent: DataFrame, bits: int) -> Filter:
+    """The filter of the words (lang, phrase)."""
 
     def place(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
                 langs = np.array(batch.column(0).to_pylist(), object)
-                flat = [w for p in batch.column(1).to_pylist() for w in p.encode().split(b" ")]
-                table = _hashes(flat).reshape(-1, words)
-                slots = np.zeros(len(langs), np.int64)
+                words = _hashes([w.encode() for w in batch.column(1).to_pylist()])
                 for lang in dict.fromkeys(langs.tolist()):
-                    own = langs == lang
-                    slots[own] = _slots(list(table[own].T), lang, bits)
-                flags = np.left_shift(_U(1), (slots & 63).astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(slots >> 6), pa.array(flags)], ["slot", "flags"])
+                    yield _flags(_buckets([words[langs == lang]], lang, bits), bits)
 
-    placed = frequent.select("lang", "phrase").mapInArrow(place, "slot bigint, flags bigint")
-    found = placed.groupBy("slot").agg(F.bit_or("flags").alias("flags")).toArrow()
-    table = np.zeros(1 << (bits - 6), np.uint64)
-    table[found["slot"].to_numpy()] = found["flags"].to_numpy().view(np.uint64)
-    return table
+    return Filter(frequent.select("lang", "phrase").mapInArrow(place, "slot bigint, flags bigint"), 1, bits)
 
 
-def stripes(docs: DataFrame, words: int, seen: np.ndarray, bits: int) -> DataFrame:
-    """(lang, prefix, next, n): counters of the words after each prefix of ``words - 1`` words, one for each slice of texts.
+def phrase_filter(docs: DataFrame, before: Filter, least: int) -> Filter:
+    """The filter of phrases one word longer, from hashed counts: a bucket of fewer than ``least`` has no frequent phrase.
 
-    Only phrases whose first and last ``words - 1`` words pass the filter of frequent phrases are counted; the others
-    cannot be frequent.
+    Only phrases whose first and last words pass the filter ``before`` are counted. Each task sends the counts of its
+    buckets in CHUNKS or more runs of consecutive buckets, packed as differences and capped counts; a run's counters
+    are added up in an array of fixed size, one run after the other.
     """
+    bits, words = before.bits, before.words + 1
+    run_bits = min(22, bits - CHUNK_BITS)
+    kind = np.dtype(np.uint8 if least < 256 else np.uint32)
+
+    def packed(buckets: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        runs = buckets >> run_bits
+        edges = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]])
+        gaps, widths = [], []
+        within = buckets & ((1 << run_bits) - 1)
+        ends = np.r_[edges[1:], len(buckets)]
+        for start, end in zip(edges, ends, strict=True):
+            steps = np.diff(within[start:end], prepend=0)
+            width = 1 if steps.max() < 1 << 8 else 2 if steps.max() < 1 << 16 else 4
+            widths.append(width)
+            gaps.append(steps.astype(f"<u{width}").tobytes())
+        counts = np.minimum(counts, least).astype(kind)
+        columns = [
+            pa.array(runs[edges], pa.int64()),
+            pa.array(widths, pa.int32()),
+            pa.array(gaps, pa.binary()),
+            pa.array([counts[i:j].tobytes() for i, j in zip(edges, ends, strict=True)], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["run", "width", "gaps", "counts"])
 
     def count(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def gathered():
+            buckets, at = np.unique(np.concatenate([b for b, _ in held]), return_inverse=True)
+            return buckets, np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
+
         with np.errstate(over="ignore"):
             for batch in byte_slices(batches, column=1):
                 for lang, known, ids in _tokens(batch):
-                    if (found := one_slice(lang, known, ids)) is not None:
-                        yield found
-
-    def one_slice(lang, known, ids):
-        size = len(ids) - words + 2  # places of phrases one word shorter
-        if size < 2:
-            return None
-        hashes = _hashes(known)[ids]
-        slots = _slots([hashes[t : t + size] for t in range(words - 1)], lang, bits)
-        good = (seen[slots >> 6] >> (slots & 63).astype(np.uint64)) & _U(1) > 0
-        for t in range(words - 1):
-            good &= ids[t : t + size] > 0
-        starts = np.flatnonzero(good[:-1] & good[1:])
-        if not len(starts):
-            return None
-        code = ids[starts]
-        for t in range(1, words - 1):  # an exact number for each prefix
-            code = np.unique(code * len(known) + ids[starts + t], return_inverse=True)[1]
-        both = code * len(known) + ids[starts + words - 1]
-        _, first, counts = np.unique(both, return_index=True, return_counts=True)
-        prefixes = code[first]
-        edges = np.flatnonzero(np.r_[True, prefixes[1:] != prefixes[:-1]])
-        places = starts[first[edges]]
-        spelled = [known[i] for i in ids[places]]
-        for t in range(1, words - 1):
-            spelled = [b"%b %b" % (p, known[i]) for p, i in zip(spelled, ids[places + t], strict=True)]
-        ends = pa.array(np.r_[edges, len(first)].astype(np.int32))
-        following = _strings(known).take(pa.array(ids[starts[first] + words - 1]))
+                    hashes = _hashes(known)[ids]
+                    good = before.passes(ids, hashes, lang)
+                    starts = np.flatnonzero(good[:-1] & good[1:])
+                    if len(starts):
+                        found = _buckets([hashes[starts + t] for t in range(words)], lang, bits)
+                        held.append(np.unique(found, return_counts=True))
+                if sum(len(b) for b, _ in held) > HELD_BUCKETS:
+                    yield packed(*gathered())
+                    held = []
+            if held:
+                yield packed(*gathered())
+
+    def add_up(batches):
+        run, totals = None, np.zeros(1 << run_bits, np.uint32)
+
+        def frequent():
+            return _flags((run << run_bits) + np.flatnonzero(totals >= least), bits)
+
+        for batch in batches:
+            for at, width, gaps, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != run:
+                    if run is not None:
+                        yield frequent()
+                        totals[:] = 0
+                    run = at
+                places = np.cumsum(np.frombuffer(gaps, f"<u{width}"), dtype=np.int64)
+                totals[places] = np.minimum(totals[places] + np.frombuffer(counts, kind), least)
+        if run is not None:
+            yield frequent()
+
+    counted = _texts(docs).mapInArrow(count, "run bigint, width int, gaps binary, counts binary")
+    dealt = counted.repartition("run").sortWithinPartitions("run")
+    return Filter(dealt.mapInArrow(add_up, "slot bigint, flags bigint"), words, bits)
+
+
+def stripes(docs: DataFrame, filters: list[Filter]) -> DataFrame:
+    """(lang, prefix, next, n): counters of the words after each prefix, for all phrases that pass the filter of their length.
+
+    Within a task, stripes of a prefix are added up element by element.
+    """
+
+    def sent(held: dict[tuple[str, bytes], dict[bytes, int]]) -> pa.RecordBatch:
+        ends = pa.array(np.cumsum([0, *map(len, held.values())]).astype(np.int32))
+        counts = pa.array([n for stripe in held.values() for n in stripe.values()], pa.int64())
         columns = [
-            pa.array([lang] * len(edges), pa.string()),
-            _strings(spelled),
-            pa.ListArray.from_arrays(ends, following),
-            pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())),
+            pa.array([lang for lang, _ in held], pa.string()),
+            _strings([prefix for _, prefix in held]),
+            pa.ListArray.from_arrays(ends, _strings([w for stripe in held.values() for w in stripe])),
+            pa.ListArray.from_arrays(ends, counts),
         ]
         return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "next", "n"])
 
+    def add(held, lang, known, ids, hashes, own: Filter) -> int:
+        """Add the phrases of one slice; returns the number of elements touched."""
+        starts = np.flatnonzero(own.passes(ids, hashes, lang))
+        if not len(starts):
+            return 0
+        code = ids[starts]
+        for t in range(1, own.words):  # an exact number for each phrase
+            code = np.unique(code, return_inverse=True)[1] * len(known) + ids[starts + t]
+        _, first, counts = np.unique(code, return_index=True, return_counts=True)
+        for at, n in zip(starts[first].tolist(), counts.tolist(), strict=True):
+            *prefix, following = (known[i] for i in ids[at : at + own.words].tolist())
+            stripe = held.setdefault((lang, b" ".join(prefix)), {})
+            stripe[following] = stripe.get(following, 0) + n
+        return len(first)
+
+    def count(batches):
+        held: dict[tuple[str, bytes], dict[bytes, int]] = {}
+        touched = 0
+        with np.errstate(over="ignore"):
+            for batch in byte_slices(batches, column=1):
+                for lang, known, ids in _tokens(batch):
+                    hashes = _hashes(known)[ids]
+                    touched += sum(add(held, lang, known, ids, hashes, own) for own in filters)
+                if touched > HELD_ELEMENTS:
+                    yield sent(held)
+                    held, touched = {}, 0
+        if held:
+            yield sent(held)
+
     return _texts(docs).mapInArrow(count, "lang string, prefix string, next array<string>, n array<bigint>")
 
 
@@ -183,7 +278,7 @@ SCORE = (
 
 
 def collocations(
-    docs: DataFrame, least: int = LEAST_COUNT, most_words: int = MOST_WORDS, top: int = TOP, filter_bits: int = FILTER_BITS
+    docs: DataFrame, least: int = LEAST_COUNT, most_words: int = MOST_WORDS, top: int = TOP, bucket_bits: int | None = None
 ) -> DataFrame:
     """The strongest phrases of 2 to ``most_words`` words of every language.
 
@@ -194,24 +289,25 @@ def collocations(
 
     A-Z are folded; ``.,;:!?`` and line ends part pieces, spaces and tabs part words, and no phrase passes the end of a
     piece or text. A NULL text counts as empty, a NULL language as ``und``; repeated rows count each. No words, or an
-    empty table, give no rows. Only lang and text are read, once for each length. A part of a frequent phrase is
-    frequent, so each length is counted only where the filter of the length before lets it pass; the filter's size is
-    fixed by ``filter_bits``, and where it is too small for a corpus it only prunes less.
+    empty table, give no rows. Only lang and text are read.
+
+    A part of a frequent phrase is frequent, and so is the bucket that a hash puts it into: for each length, hashed
+    counts of the phrases whose parts pass the filter of the length before give the filter of this one; then all
+    phrases that pass are counted exactly, in stripes. There are about as many buckets as an eighth of the words of the
+    corpus (2 ** bucket_bits if given); filters have a fixed size, and one too small for a corpus only prunes less.
     """
     if not 2 <= most_words <= MOST_WORDS:
         raise ValueError(f"phrases have 2 to {MOST_WORDS} words")
     every = written(word_counts(docs), "words")
     totals = written(every.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-    levels = [written(every.where(F.col("f") >= least), "frequent")]
-    for words in range(2, most_words + 1):
-        seen = frequent_filter(levels[-1], words - 1, filter_bits)
-        if not seen.any():
-            break
-        levels.append(written(merged(stripes(docs, words, seen, filter_bits), least), "stripes"))
-    counts = levels[0]
-    found = counts.where("false").select("lang", "phrase", *[F.col("phrase").alias(c) for c in ("prefix", "rest")], "f")
-    for level in levels[1:]:
-        found = found.unionByName(level)
+    frequent = written(every.where(F.col("f") >= least), "frequent")
+    all_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = bucket_bits or max(FILTER_BITS, (all_words // WORDS_A_BUCKET).bit_length())
+    filters = [word_filter(frequent, bits)]
+    while filters[-1].table.any() and len(filters) < most_words:
+        filters.append(phrase_filter(docs, filters[-1], least))
+    found = written(merged(stripes(docs, [x for x in filters[1:] if x.table.any()]), least), "stripes")
+    counts = frequent
     counts = counts.unionByName(found.select("lang", "phrase", "f"))
 
     # the largest count of a phrase one word longer, on either side; longer ones have no more
