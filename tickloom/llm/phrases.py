@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import byte_slices, written
@@ -20,6 +21,7 @@ TOP = 2000
 FILTER_BITS = 26  # a filter has 8 MB
 CHUNK_BITS = 8
 WORDS_A_BUCKET = 8
+FILTERED_WORDS = 3
 HELD_BUCKETS = 6_000_000
 HELD_ELEMENTS = 1_000_000
 SALTS = 256
@@ -76,12 +78,22 @@ def _texts(docs: DataFrame) -> DataFrame:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, phrase, f) of all single words."""
 
+    def sent(held: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
+            columns = [pa.array([lang] * len(counts), pa.string()), _strings(list(counts)), pa.array(list(counts.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f"])
+
     def count(batches):
+        held: dict[str, dict[bytes, int]] = {}
         for batch in byte_slices(batches, column=1):
             for lang, words, ids in _tokens(batch):
-                counts = np.bincount(ids, minlength=len(words))[1:]
-                columns = [pa.array([lang] * len(counts), pa.string()), _strings(words[1:]), pa.array(counts, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f"])
+                own = held.setdefault(lang, {})
+                for word, n in zip(words[1:], np.bincount(ids, minlength=len(words))[1:].tolist(), strict=True):
+                    own[word] = own.get(word, 0) + n
+            if sum(map(len, held.values())) > HELD_ELEMENTS:
+                yield from sent(held)
+                held = {}
+        yield from sent(held)
 
     counted = _texts(docs).mapInArrow(count, "lang string, phrase string, f bigint")
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
@@ -202,34 +214,45 @@ def phrase_filter(docs: DataFrame, before: Filter, least: int) -> Filter:
     return Filter(dealt.mapInArrow(add_up, "slot bigint, flags bigint"), words, bits)
 
 
-def stripes(docs: DataFrame, filters: list[Filter]) -> DataFrame:
-    """(lang, prefix, next, n): counters of the words after each prefix, for all phrases that pass the filter of their length.
+def stripes(docs: DataFrame, filters: list[Filter], most_words: int, least: int) -> DataFrame:
+    """(lang, phrase, prefix, rest, f): the phrases of ``least`` occurrences or more; ``rest`` is without the first word.
 
-    Within a task, stripes of a prefix are added up element by element.
+    A prefix keys a stripe, the counter of its next words. Only phrases that pass the filter of their length are
+    counted, longer ones if all their parts of the longest filtered length pass. Each task adds up its stripes element
+    by element and sends them in as many runs as counters were sent (see phrase_filter). A run holds the elements of
+    one hash range, so that a prefix with any number of next words is dealt out over all runs; within a run stripes
+    are added up element by element again.
     """
+    bits = filters[-1].bits
+    runs = 1 << (bits - min(22, bits - CHUNK_BITS))
 
     def sent(held: dict[tuple[str, bytes], dict[bytes, int]]) -> pa.RecordBatch:
-        ends = pa.array(np.cumsum([0, *map(len, held.values())]).astype(np.int32))
-        counts = pa.array([n for stripe in held.values() for n in stripe.values()], pa.int64())
-        columns = [
-            pa.array([lang for lang, _ in held], pa.string()),
-            _strings([prefix for _, prefix in held]),
-            pa.ListArray.from_arrays(ends, _strings([w for stripe in held.values() for w in stripe])),
-            pa.ListArray.from_arrays(ends, counts),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "next", "n"])
-
-    def add(held, lang, known, ids, hashes, own: Filter) -> int:
-        """Add the phrases of one slice; returns the number of elements touched."""
-        starts = np.flatnonzero(own.passes(ids, hashes, lang))
+        dealt: dict[int, list[list]] = {}
+        for (lang, prefix), stripe in held.items():
+            own: dict[int, list[tuple[bytes, int]]] = {}
+            for following, n in stripe.items():
+                own.setdefault(xxhash.xxh64_intdigest(prefix + b" " + following) % runs, []).append((following, n))
+            for run, elements in own.items():
+                row = dealt.setdefault(run, [[], [], [], [], []])
+                row[0].append(lang)
+                row[1].append(prefix)
+                row[2].append(len(elements))
+                row[3] += [w for w, _ in elements]
+                row[4] += [n for _, n in elements]
+        kinds = [pa.string(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+        columns = [pa.array([row[i] for row in dealt.values()], pa.list_(kind)) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([pa.array(list(dealt), pa.int64()), *columns], ["run", "langs", "prefixes", "sizes", "words", "counts"])
+
+    def add(held, known, lang, ids, starts, words: int) -> int:
+        """Add the phrases at these places of one slice; returns the number of elements touched."""
         if not len(starts):
             return 0
         code = ids[starts]
-        for t in range(1, own.words):  # an exact number for each phrase
+        for t in range(1, words):  # an exact number for each phrase
             code = np.unique(code, return_inverse=True)[1] * len(known) + ids[starts + t]
         _, first, counts = np.unique(code, return_index=True, return_counts=True)
         for at, n in zip(starts[first].tolist(), counts.tolist(), strict=True):
-            *prefix, following = (known[i] for i in ids[at : at + own.words].tolist())
+            *prefix, following = (known[i] for i in ids[at : at + words].tolist())
             stripe = held.setdefault((lang, b" ".join(prefix)), {})
             stripe[following] = stripe.get(following, 0) + n
         return len(first)
@@ -241,26 +264,52 @@ def stripes(docs: DataFrame, filters: list[Filter]) -> DataFrame:
             for batch in byte_slices(batches, column=1):
                 for lang, known, ids in _tokens(batch):
                     hashes = _hashes(known)[ids]
-                    touched += sum(add(held, lang, known, ids, hashes, own) for own in filters)
+                    for own in filters:
+                        good = own.passes(ids, hashes, lang)
+                        touched += add(held, known, lang, ids, np.flatnonzero(good), own.words)
+                    for words in range(filters[-1].words + 1, most_words + 1):
+                        good = good[:-1] & good[1:]
+                        touched += add(held, known, lang, ids, np.flatnonzero(good), words)
                 if touched > HELD_ELEMENTS:
                     yield sent(held)
                     held, touched = {}, 0
         if held:
             yield sent(held)
 
-    return _texts(docs).mapInArrow(count, "lang string, prefix string, next array<string>, n array<bigint>")
+    def add_up(batches):
+        run, totals = None, {}
 
+        def frequent():
+            rows = [(lang, prefix, w, n) for (lang, prefix), stripe in totals.items() for w, n in stripe.items() if n >= least]
+            phrases = [prefix + b" " + w for _, prefix, w, _ in rows]
+            columns = [
+                pa.array([r[0] for r in rows], pa.string()),
+                _strings(phrases),
+                _strings([r[1] for r in rows]),
+                _strings([p.split(b" ", 1)[1] for p in phrases]),
+                pa.array([r[3] for r in rows], pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "prefix", "rest", "f"])
 
-def merged(found: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, prefix, rest, f): stripes added up element by element, entries of at least ``least``.
+        for batch in batches:
+            for at, langs, prefixes, sizes, words, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != run:
+                    if run is not None:
+                        yield frequent()
+                        totals.clear()
+                    run = at
+                elements = zip(words, counts, strict=True)
+                for lang, prefix, size in zip(langs, prefixes, sizes, strict=True):
+                    stripe = totals.setdefault((lang, prefix), {})
+                    for following, n in itertools.islice(elements, size):
+                        stripe[following] = stripe.get(following, 0) + n
+        if run is not None:
+            yield frequent()
 
-    A counter's elements are dealt out by prefix and next word, so that a prefix with any number of next words is no
-    single group. ``rest`` is the phrase without its first word.
-    """
-    entries = found.select("lang", "prefix", F.inline(F.arrays_zip("next", "n")).alias("next", "n"))
-    phrase = F.concat_ws(" ", "prefix", "next")
-    counted = entries.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return counted.select("lang", phrase.alias("phrase"), "prefix", phrase.substr(F.instr(phrase, " ") + 1, F.length(phrase)).alias("rest"), "f")
+    parts = "langs array<string>, prefixes array<binary>, sizes array<bigint>, words array<binary>, counts array<bigint>"
+    counted = _texts(docs).mapInArrow(count, f"run bigint, {parts}")
+    dealt = counted.repartition("run").sortWithinPartitions("run")
+    return dealt.mapInArrow(add_up, "lang string, phrase string, prefix string, rest string, f bigint")
 
 
 def _cuts(phrase: str) -> Column:
@@ -292,8 +341,8 @@ def collocations(
     empty table, give no rows. Only lang and text are read.
 
     A part of a frequent phrase is frequent, and so is the bucket that a hash puts it into: for each length, hashed
-    counts of the phrases whose parts pass the filter of the length before give the filter of this one; then all
-    phrases that pass are counted exactly, in stripes. There are about as many buckets as an eighth of the words of the
+    counts of the phrases whose parts pass the filter of the length before give the filter of this one, up to
+    FILTERED_WORDS; then all phrases that pass are counted exactly, in stripes. There are about as many buckets as an eighth of the words of the
     corpus (2 ** bucket_bits if given); filters have a fixed size, and one too small for a corpus only prunes less.
     """
     if not 2 <= most_words <= MOST_WORDS:
@@ -304,9 +353,9 @@ def collocations(
     all_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = bucket_bits or max(FILTER_BITS, (all_words // WORDS_A_BUCKET).bit_length())
     filters = [word_filter(frequent, bits)]
-    while filters[-1].table.any() and len(filters) < most_words:
+    while len(filters) < min(most_words, FILTERED_WORDS):
         filters.append(phrase_filter(docs, filters[-1], least))
-    found = written(merged(stripes(docs, [x for x in filters[1:] if x.table.any()]), least), "stripes")
+    found = written(stripes(docs, filters[1:], most_words, least), "stripes")
     counts = frequent
     counts = counts.unionByName(found.select("lang", "phrase", "f"))
 
