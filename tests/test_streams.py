@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -73,7 +74,10 @@ def test_depth_feed(spark, tmp_path):
     assert spark.read.parquet(f"{path}/counts").agg(F.sum("bids_affected"), F.sum("asks_affected")).first() == (3, 2)
 
 
-@pytest.mark.parametrize("duration", [S.HOUR_MS, 5 * S.HOUR_MS, S.DAY_MS, 3 * S.DAY_MS, 7 * S.DAY_MS])
+DURATIONS = [S.HOUR_MS, 5 * S.HOUR_MS, S.DAY_MS, 3 * S.DAY_MS, 7 * S.DAY_MS, 30 * S.DAY_MS]
+
+
+@pytest.mark.parametrize("duration", DURATIONS)
 def test_ohlc_stream(spark, tables, tmp_path, duration):
     ticks = tables.ticks.select("symbol", "ts", "id", "price")
     stream = land(ticks, str(tmp_path / "in"), 4, "ts")
@@ -83,9 +87,28 @@ def test_ohlc_stream(spark, tables, tmp_path, duration):
     assert rows(ohlc.read_ohlc(spark, path)) == rows(expected)
 
 
-def test_ohlc_stream_has_no_months(spark, tables):
-    with pytest.raises(ValueError):
-        ohlc.stream_ohlc(tables.ticks, 30 * S.DAY_MS, "unused")
+def test_ohlc_stream_takes_ticks_of_any_lateness_and_twice(spark, tables, tmp_path):
+    ticks = tables.ticks.select("symbol", "ts", "id", "price")
+    again = ticks.unionByName(ticks.where("id % 5 = 0"))
+    stream = land(again.withColumn("mix", F.xxhash64("id", "price")), str(tmp_path / "in"), 4, ["mix", "id"])
+    path = str(tmp_path / "out")
+    ohlc.stream_ohlc(stream.drop("mix"), 30 * S.DAY_MS, path, order=("ts", "id")).awaitTermination()
+    expected = rows(bar_ops.ohlc_by_clock(ticks, 30 * S.DAY_MS, order=("ts", "id")))
+    assert rows(ohlc.read_ohlc(spark, path)) == expected
+    for upto in (1, 3):  # parts merged once for all, in two steps
+        ohlc.compact_ohlc(spark, path, upto)
+        assert rows(ohlc.read_ohlc(spark, path)) == expected
+
+
+def test_ohlc_without_symbol_or_time(spark, tmp_path):
+    feed = spark.createDataFrame(
+        [("A", as_utc("2024-01-01"), 1, Decimal(1)), ("A", None, 2, Decimal(2)), (None, as_utc("2024-01-01"), 3, Decimal(3)), ("A", as_utc("2024-01-01T00:30:00"), 4, None)],
+        "symbol string, ts timestamp, id bigint, price decimal(18,8)",
+    )
+    path = str(tmp_path / "out")
+    ohlc.stream_ohlc(land(feed, str(tmp_path / "in"), 2, "id"), S.HOUR_MS, path, order=("ts", "id")).awaitTermination()
+    batch = bar_ops.ohlc_by_clock(feed.where("symbol IS NOT NULL AND ts IS NOT NULL"), S.HOUR_MS, order=("ts", "id"))
+    assert rows(ohlc.read_ohlc(spark, path)) == rows(batch)
 
 
 def test_alert_stream_fires_once(spark, tmp_path):
@@ -108,38 +131,86 @@ def test_alert_stream_fires_once(spark, tmp_path):
     assert [r.id for r in alerts_hit(held, newest).collect()] == [2]
 
 
+def signals_of(spark, minutes, pairs, sizes):
+    """The batch job's result over all minutes at once."""
+    folded = bar_ops.resample_by_count(minutes, sizes)
+    if pairs is None:
+        found = crossover.mac_grid(folded, position="bar_index", keys=("symbol", "size"), long_terms=(10, 14), short_terms=(6, 9))
+    else:
+        found = crossover.mac_signals(folded, pairs, position="bar_index", keys=("symbol", "size"))
+    return rows(crossover.as_signals(found, sizes))
+
+
+def drain_signals(spark, batches, tmp_path, pairs, sizes, compacted=(), compared=(), **options):
+    """Stream one file after the other; compact after some batches, compare with the batch job after others and the last."""
+    landed, path = str(tmp_path / "in"), str(tmp_path / "out")
+    seen = {}
+    for number, batch in enumerate(batches):
+        bars_frame(spark, batch).coalesce(1).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(S.BARS).parquet(landed)
+        signal_jobs.stream_signals(
+            stream, path, pairs, sizes=sizes, long_terms=(10, 14), short_terms=(6, 9), **options
+        ).awaitTermination()
+        seen.update({(r["symbol"], r["open_time"]): r for r in batch})
+        if number in compacted:
+            signal_jobs.compact_stream_signals(spark, path, number, minute_chunk=options["minute_chunk"])
+            assert signal_jobs.signals_table(path).compacted_to(spark) == number
+        if number not in compared and number < len(batches) - 1:
+            continue
+        expected = signals_of(spark, bars_frame(spark, list(seen.values())), pairs, sizes)
+        assert rows(signal_jobs.read_stream_signals(spark, path)) == expected, number
+    return path
+
+
+def as_dicts(found):
+    return [r if isinstance(r, dict) else r.asDict() for r in found]
+
+
 def test_signal_stream_equals_batch(spark, tmp_path):
     minutes = bars_frame(spark, random_rows(11, {"HOT": 500, "B": 120}, gap=0.2))
     pairs, sizes = [(10, 6), (12, 9)], (1, 5, 10)
     path = str(tmp_path / "out")
     stream = land(minutes, str(tmp_path / "in"), 5, "open_time")
     signal_jobs.stream_signals(stream, path, pairs, sizes=sizes).awaitTermination()
-    folded = bar_ops.resample_by_count(minutes, sizes)
-    batch = crossover.mac_signals(folded, pairs, position="bar_index", keys=("symbol", "size"))
-    expected = crossover.as_signals(batch, sizes)
     got = signal_jobs.read_stream_signals(spark, path)
-    assert got.count() > 50 and rows(got) == rows(expected)
-    kept = spark.read.parquet(f"{path}/kept/batch=4").groupBy("symbol", "size").count()
-    assert kept.agg(F.max("count")).first()[0] <= 12 + 4
+    assert got.count() > 50 and rows(got) == signals_of(spark, minutes, pairs, sizes)
+
+
+def resent(spark, seed):
+    """Batches with the open minute again, changed old minutes, late minutes, a late symbol and nothing new."""
+    found = as_dicts(bars_frame(spark, random_rows(seed, {"HOT": 260, "B": 90, "C": 40}, gap=0.1)).orderBy("open_time").collect())
+    rng = random.Random(seed)
+    late = [r for i, r in enumerate(found) if i % 37 == 5]
+    soon = [r for r in found if r not in late]
+    third = len(soon) // 3
+    changed = lambda r: r | {"close_price": r["close_price"] + rng.randrange(-3, 4), "volume": r["volume"] + 1}
+    return [
+        [changed(r) for r in soon[:third]],
+        soon[third - 1 : 2 * third] + soon[third // 2 : third // 2 + 4],
+        [changed(r) for r in late[: len(late) // 2]] + [changed(soon[3])],
+        soon[2 * third :] + late,
+        soon[:third],
+        [],
+    ]
 
 
-def test_signal_stream_sets_late_minutes_aside(spark, tmp_path):
-    minutes = bars_frame(spark, random_rows(12, {"A": 60}, gap=0)).orderBy("open_time").collect()
-    landed, path = str(tmp_path / "in"), str(tmp_path / "out")
-    bars_frame(spark, minutes[:40]).coalesce(1).write.parquet(landed)
+def test_signals_are_taken_back(spark, tmp_path):
+    path = drain_signals(spark, resent(spark, 21), tmp_path, [(10, 6), (12, 9)], (1, 5, 10), minute_chunk=16, compacted=(1,), compared=(2, 3))
+    changes = spark.read.schema("withdrawn boolean, batch bigint").parquet(f"{path}/changes")
+    assert changes.where("withdrawn").select("batch").distinct().count() >= 2
 
-    def drain():
-        stream = spark.readStream.schema(S.BARS).parquet(landed)
-        signal_jobs.stream_signals(stream, path, [(10, 6)], sizes=(1, 5)).awaitTermination()
-
-    drain()
-    bars_frame(spark, minutes[30:]).coalesce(1).write.mode("append").parquet(landed)
-    drain()
-    assert spark.read.parquet(f"{path}/late").count() == 10
-    assert spark.read.parquet(f"{path}/progress/batch=1").first().next_position == 60
-    folded = bar_ops.resample_by_count(bars_frame(spark, minutes), (1, 5))
-    batch = crossover.mac_signals(folded, [(10, 6)], position="bar_index", keys=("symbol", "size"))
-    assert rows(signal_jobs.read_stream_signals(spark, path)) == rows(crossover.as_signals(batch, (1, 5)))
+
+def test_grid_signals_are_taken_back(spark, tmp_path):
+    batches = resent(spark, 22)
+    drain_signals(spark, [batches[0], batches[2], batches[1] + batches[3]], tmp_path, None, (1, 5), minute_chunk=16)
+
+
+def test_a_resent_minute_reads_the_last_runs_alone(spark, tmp_path):
+    found = as_dicts(bars_frame(spark, random_rows(5, {"A": 200}, gap=0)).orderBy("open_time").collect())
+    path = drain_signals(spark, [found, found[-2:]], tmp_path, [(10, 6)], (1, 5), minute_chunk=16)
+    touched = spark.read.schema(S.BARS).parquet(f"{path}/merged/batch=1").count()
+    assert touched <= 2 * 16
+    assert spark.read.parquet(f"{path}/minutes/batch=1").count() == 2  # no other minute moved
 
 
 def test_dates_are_utc():

@@ -50,6 +50,34 @@ def ohlc_by_clock(
     )
 
 
+def ohlc_parts(ticks: DataFrame, duration_ms: int, *, order: Sequence[str] = ("ts",)) -> DataFrame:
+    """As ``ohlc_by_clock``, with the orders of the first and last tick: bars that can be merged with later parts."""
+    by = F.struct(*order)
+    return ticks.groupBy("symbol", start_of_period(F.col("ts"), duration_ms).alias("period_start")).agg(
+        F.min_by("price", by).alias("open_price"),
+        F.max("price").alias("high_price"),
+        F.min("price").alias("low_price"),
+        F.max_by("price", by).alias("close_price"),
+        F.min(by).alias("open_order"),
+        F.max(by).alias("close_order"),
+    )
+
+
+def merge_ohlc(parts: DataFrame) -> DataFrame:
+    """Parts of bars (``ohlc_parts``) to one per symbol and bucket: the bar of all their ticks.
+
+    Ticks may be of any lateness and in parts of any cut; ticks that come twice change nothing.
+    """
+    return parts.groupBy("symbol", "period_start").agg(
+        F.min_by("open_price", "open_order").alias("open_price"),
+        F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"),
+        F.max_by("close_price", "close_order").alias("close_price"),
+        F.min("open_order").alias("open_order"),
+        F.max("close_order").alias("close_order"),
+    )
+
+
 def rollup_ohlc(ohlc: DataFrame, duration_ms: int) -> DataFrame:
     """Fold clock bars into longer clock bars (days into months, for instance)."""
     longer = start_of_period(F.col("period_start"), duration_ms)
@@ -104,16 +132,23 @@ def fold_bars(df: DataFrame, keys: Sequence[str], at: str, *extra: Column) -> Da
 
 
 def fold_positions(
-    numbered: DataFrame, sizes: Sequence[int] = SIGNAL_PERIOD_MINUTES, *, at: str = "position"
+    numbered: DataFrame,
+    sizes: Sequence[int] = SIGNAL_PERIOD_MINUTES,
+    *,
+    at: str = "position",
+    greatest: Sequence[str] = (),
 ) -> DataFrame:
     """Fold numbered minute bars into every size at once; see ``resample_by_count``.
 
+    ``greatest`` names further columns of which a bar gets its greatest value.
+
     When all larger sizes are multiples of the smallest one above 1, minutes are
     first folded into that size and only the folded bars are copied per size.
     """
     sizes = sorted(set(sizes))
     kept = ["symbol", "open_time", "open_price", "high_price", "low_price", "close_price", "close_time"]
-    columns = [*kept, *SUMMED]
+    columns = [*kept, *SUMMED, *greatest]
+    extra = [F.max(c).alias(c) for c in greatest]
     minutes = numbered.select(at, *columns)
     parts = []
     if sizes[0] == 1:
@@ -125,11 +160,11 @@ def fold_positions(
         base = sizes[0] if all(n % sizes[0] == 0 for n in sizes) else 1
         if base > 1:
             minutes = fold_bars(
-                minutes.withColumn("_base", F.floor(F.col(at) / base)), ["symbol", "_base"], at
+                minutes.withColumn("_base", F.floor(F.col(at) / base)), ["symbol", "_base"], at, *extra
             ).withColumnRenamed("_base", at)
         copies = minutes.withColumn("size", F.explode(F.array(*[F.lit(n) for n in sizes])))
         copies = copies.withColumn("bar_index", F.floor(F.col(at) * base / F.col("size")))
-        parts.append(fold_bars(copies, ["symbol", "size", "bar_index"], at).select("size", "bar_index", *columns))
+        parts.append(fold_bars(copies, ["symbol", "size", "bar_index"], at, *extra).select("size", "bar_index", *columns))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

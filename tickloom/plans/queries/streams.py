@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schemas as S
+from tickloom.operators import bars
+from tickloom.operators.bars import ohlc_parts
 from tickloom.plans.fixtures import AS_OF_EVENTS, Tables, with_ctes
 from tickloom.plans.queries.aggregates import OHLC_SQL
-from tickloom.plans.queries.base import BAR_SQL, query
+from tickloom.plans.queries.base import BAR_SQL, ORACLES, query
 from tickloom.plans.queries.joins import ARCHIVE_SQL, HIT_SQL
 from tickloom.plans.queries.sources import DEPTH_SQL
-from tickloom.plans.queries.windows import PAIRS, RULE_SQL, folded_sql
+from tickloom.plans.queries.windows import PAIRS, RULE_SQL, folded_sql, grid_report
 from tickloom.session import scratch_dir
 from tickloom.sources import storage
 from tickloom.streaming import alerts as alert_jobs
@@ -31,7 +33,27 @@ def stream_bars(t: Tables):
     t.as_bar_events(t.bars("1h")).write.parquet(landed)
     messages = t.spark.readStream.schema("value string, seq bigint").parquet(landed)
     feeds.stream_bars(messages, path, ingest_order=["seq"]).awaitTermination()
-    return storage.latest_from_log(t.spark, f"{path}/bars", S.BARS)
+    return feeds.read_stream_bars(t.spark, path)
+
+
+@query(
+    "stream_bars_days",
+    with_ctes(f"SELECT {BAR_SQL} FROM bars_1h WHERE open_time >= 1705276800000 AND open_time < 1705622400000", "bars_1h"),
+)
+def stream_bars_days(t: Tables):
+    """Bars sent twice over three batches and compacted after the first two: four days of them."""
+    landed, path = scratch_dir(t.spark, "messages"), scratch_dir(t.spark, "stream-bars")
+    hours = t.bars("1h")
+    partial = hours.where("open_time % 7200000 = 0").withColumn("volume", F.lit(0).cast(S.VOLUME))
+    parts = [partial, hours.where("open_time < 1705500000000"), hours.where("open_time >= 1705500000000")]
+    for number, part in enumerate(parts):
+        t.as_bar_events(part).coalesce(1).write.mode("append").parquet(landed)
+        messages = t.spark.readStream.schema("value string, seq bigint").parquet(landed)
+        feeds.stream_bars(messages, path, ingest_order=["seq"]).awaitTermination()
+        if number == 1:
+            feeds.compact_stream_bars(t.spark, path, number)
+    day = F.col("day")
+    return feeds.read_stream_bars(t.spark, path, (F.col("period") == "1h") & day.between("2024-01-15", "2024-01-18"))
 
 
 @query("late_data", with_ctes(f"SELECT {BAR_SQL} FROM bars_1h", "bars_1h"))
@@ -43,7 +65,7 @@ def late_data(t: Tables):
         t.as_bar_events(drop).write.mode("append").parquet(landed)
         messages = t.spark.readStream.schema("value string, seq bigint").parquet(landed)
         feeds.stream_bars(messages, path, ingest_order=["seq"]).awaitTermination()
-    return storage.latest_from_log(t.spark, f"{path}/bars", S.BARS)
+    return feeds.read_stream_bars(t.spark, path)
 
 
 @query(
@@ -62,7 +84,20 @@ def stream_depth(t: Tables):
     path = scratch_dir(t.spark, "stream-depth")
     messages = t.as_depth(t.as_ticks(event_stream(t)))
     feeds.stream_depth(messages, path, ingest_order=["seq", "id"]).awaitTermination()
-    return storage.latest_from_log(t.spark, f"{path}/levels", S.BOOK, S.BOOK_KEY)
+    return feeds.read_stream_levels(t.spark, path)
+
+
+@query(
+    "stream_depth_registered",
+    with_ctes("""SELECT DISTINCT upper(symbol) AS symbol, CAST(0 AS DOUBLE) AS price FROM ticks WHERE upper(symbol) >= 'P'""", "ticks"),
+)
+def stream_depth_registered(t: Tables):
+    """Symbols that a depth feed brings and the price table lacks."""
+    path = scratch_dir(t.spark, "stream-depth")
+    prices = t.prices.select(F.upper("symbol").alias("symbol"), "price").where("symbol < 'P'")
+    messages = t.as_depth(t.as_ticks(event_stream(t)))
+    feeds.stream_depth(messages, path, ingest_order=["seq", "id"], prices=prices).awaitTermination()
+    return storage.read_log(t.spark, f"{path}/registered", S.PRICES).select("symbol", "price").distinct()
 
 
 @query("stream_ohlc", with_ctes(OHLC_SQL + "bars_1h", "bars_1h"))
@@ -73,6 +108,33 @@ def stream_ohlc(t: Tables):
     return ohlc.read_ohlc(t.spark, path)
 
 
+MONTHS_SQL = """SELECT symbol, date_trunc('month', ts) AS period_start, CAST(arg_min(price, row(ts, id)) AS DOUBLE) AS open_price,
+  CAST(max(price) AS DOUBLE) AS high_price, CAST(min(price) AS DOUBLE) AS low_price, CAST(arg_max(price, row(ts, id)) AS DOUBLE) AS close_price
+FROM ticks GROUP BY ALL"""
+
+
+@query("stream_ohlc_late", with_ctes(MONTHS_SQL, "ticks"))
+def stream_ohlc_late(t: Tables):
+    """Months of ticks that come in no order over three batches, a tenth of them twice."""
+    landed, path = scratch_dir(t.spark, "ticks"), scratch_dir(t.spark, "stream-ohlc")
+    ticks = t.ticks.select("symbol", "ts", "id", "price")
+    for part in range(3):
+        ticks.where(f"hash(id) % 3 IN ({part}, {-part}) OR id % 10 = 0").coalesce(1).write.mode("append").parquet(landed)
+        stream = t.spark.readStream.schema(ticks.schema).parquet(landed)
+        ohlc.stream_ohlc(stream, 30 * S.DAY_MS, path, order=("ts", "id")).awaitTermination()
+        if part == 1:
+            ohlc.compact_ohlc(t.spark, path, part)
+    return ohlc.read_ohlc(t.spark, path)
+
+
+@query("merge_ohlc", with_ctes(OHLC_SQL + "bars_1h", "bars_1h"))
+def merge_ohlc(t: Tables):
+    """Stored parts of bars, met by the parts of later ticks."""
+    cut = lambda rule: ohlc_parts(t.ticks.where(rule), S.HOUR_MS, order=("ts", "id"))
+    merged = bars.merge_ohlc(cut("id % 3 = 0").unionByName(cut("id % 3 = 1")))
+    return bars.merge_ohlc(merged.unionByName(cut("id % 3 = 2"))).select(*ohlc.OHLC.names)
+
+
 @query("stream_alerts", with_ctes(ARCHIVE_SQL, "alerts", "prices", extra={"hit": HIT_SQL}))
 def stream_alerts(t: Tables):
     path = scratch_dir(t.spark, "stream-alerts")
@@ -117,3 +179,35 @@ def stream_signals(t: Tables):
     minutes = t.spark.readStream.schema(S.BARS).parquet(landed)
     signal_jobs.stream_signals(minutes, path, PAIRS).awaitTermination()
     return signal_jobs.read_stream_signals(t.spark, path)
+
+
+def resent_minutes(t: Tables):
+    """Three batches: wrong minutes and gaps, then the right ones and newer minutes, then those left out."""
+    minutes = t.minute_bars
+    late, wrong = F.pmod(F.xxhash64("symbol", "open_time"), F.lit(11)) == 0, F.col("num_trades") % 2 == 0
+    early = F.col("open_time") < 1705622400000
+    altered = minutes.where(early & ~late).withColumns({c: F.when(wrong, F.col(c) + 1).otherwise(F.col(c)).cast(S.BARS[c].dataType) for c in ("close_price", "volume")})
+    yield altered
+    yield minutes.where(~late & (~early | wrong))
+    yield minutes.where(late)
+
+
+def drained_signals(t: Tables, **options):
+    landed, path = scratch_dir(t.spark, "minutes"), scratch_dir(t.spark, "stream-signals")
+    for part in resent_minutes(t):
+        part.write.mode("append").parquet(landed)
+        minutes = t.spark.readStream.schema(S.BARS).parquet(landed)
+        signal_jobs.stream_signals(minutes, path, **options).awaitTermination()
+    return signal_jobs.read_stream_signals(t.spark, path)
+
+
+@query("stream_signals_resent", _stream_signals_sql())
+def stream_signals_resent(t: Tables):
+    """Signals that are taken back when minutes are sent again or come late."""
+    return drained_signals(t, pairs=PAIRS)
+
+
+@query("stream_grid_resent", ORACLES["mac_grid_signals"])
+def stream_grid_resent(t: Tables):
+    """The whole grid over re-sent and late minutes, reported like the batch job."""
+    return grid_report(drained_signals(t))

@@ -290,7 +290,10 @@ WHERE indicator_id IS NOT NULL GROUP BY symbol, period, indicator_id""",
 )
 def mac_grid_signals(t: Tables):
     """The whole signal job on all minutes, reported per symbol, period and indicator."""
-    found = crossover.mac_grid_signals(t.minute_bars)
+    return grid_report(crossover.mac_grid_signals(t.minute_bars))
+
+
+def grid_report(found):
     return found.groupBy("symbol", "period", "indicator_id").agg(
         F.count(F.lit(1)).alias("signals"),
         F.min("open_time").alias("first_time"),

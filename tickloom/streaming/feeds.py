@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.keyed import latest_per_key, register_unknown_symbols
-from tickloom.schemas import BAR_KEY, BOOK_KEY
+from tickloom.schemas import BAR_KEY, BARS, BOOK, BOOK_KEY
+from tickloom.sources.logged import LoggedTable, logged
 from tickloom.sources.messages import (
     bar_event_rejects,
     depth_counts,
@@ -35,6 +37,32 @@ def run_batches(
     return writer.foreachBatch(handle).start()
 
 
+def bars_table(path: str) -> LoggedTable:
+    """Streamed bars by period and day."""
+    day = F.to_date(F.timestamp_millis("open_time"))
+    return logged(f"{path}/bars", BARS, BAR_KEY, period=F.col("period"), day=day)
+
+
+def read_stream_bars(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    """The bars as of the last batch; ``where`` on ``period`` and ``day`` reads only the partitions asked for."""
+    return bars_table(path).read(spark, where)
+
+
+def compact_stream_bars(spark: SparkSession, path: str, upto: int) -> None:
+    """Compact the days that batches up to ``upto`` have touched, and no others."""
+    bars_table(path).compact(spark, upto)
+
+
+def levels_table(path: str) -> LoggedTable:
+    """Streamed book levels by day."""
+    return logged(f"{path}/levels", BOOK, BOOK_KEY, day=F.to_date("ptime"))
+
+
+def read_stream_levels(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    """The book levels as of the last batch; ``where`` on ``day`` reads only the days asked for."""
+    return levels_table(path).read(spark, where)
+
+
 def stream_bars(
     messages: DataFrame,
     path: str,
@@ -46,14 +74,15 @@ def stream_bars(
 
     The last message of a key wins, whenever it arrives: there is no watermark,
     so a bar sent again days later still replaces the stored one. Messages that
-    hold no bar go to ``path/rejects``.
+    hold no bar go to ``path/rejects``. The table is laid out by period and day
+    (``read_stream_bars``, ``compact_stream_bars``).
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
             rows = latest_per_key(parse_bar_events(batch), BAR_KEY, ingest_order, keep_order=False)
-            write_batch(rows, f"{path}/bars", number)
+            bars_table(path).append(rows, number)
             write_batch(bar_event_rejects(batch), f"{path}/rejects", number)
         finally:
             batch.unpersist()
@@ -79,7 +108,7 @@ def stream_depth(
         batch.persist()
         try:
             rows = latest_per_key(parse_depth_updates(batch), BOOK_KEY, ingest_order, keep_order=False)
-            write_batch(rows, f"{path}/levels", number)
+            levels_table(path).append(rows, number)
             write_batch(depth_counts(batch), f"{path}/counts", number)
             write_batch(depth_rejects(batch), f"{path}/rejects", number)
             write_batch(depth_element_rejects(batch), f"{path}/level_rejects", number)

@@ -1,18 +1,17 @@
-"""Running open/high/low/close per symbol and clock bucket."""
+"""Running open/high/low/close per symbol and clock bucket, of ticks of any lateness."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions.times import BIN_ORIGIN
-from tickloom.operators.keyed import order_key
-from tickloom.schemas import DAY_MS, PRICE
-from tickloom.sources.storage import latest_from_log, write_batch
+from tickloom.operators.bars import merge_ohlc, ohlc_parts
+from tickloom.schemas import PRICE
+from tickloom.sources.logged import LoggedTable, logged
 from tickloom.streaming.feeds import run_batches
 
 OHLC = T.StructType(
@@ -25,16 +24,14 @@ OHLC = T.StructType(
 OHLC_KEY = ("symbol", "period_start")
 
 
-def _window_offset_ms(duration_ms: int) -> int:
-    """Offset of tumbling windows, counted from 1970, that gives the buckets of
-    ``start_of_period``."""
-    if duration_ms == 30 * DAY_MS:
-        raise ValueError("months are not equal windows: stream days and roll them up")
-    if duration_ms == DAY_MS:
-        return 0
-    if duration_ms == 7 * DAY_MS:
-        return 4 * DAY_MS  # 1970-01-05 was a Monday
-    return int(BIN_ORIGIN.timestamp()) * 1000 % duration_ms
+def ohlc_table(path: str, order: T.StructType) -> LoggedTable:
+    """Parts of bars by day of their bucket; ``order`` is the type of a tick's order."""
+    parts = T.StructType([*OHLC.fields, T.StructField("open_order", order), T.StructField("close_order", order)])
+    return logged(f"{path}/ohlc", parts, OHLC_KEY, merge_ohlc, day=F.to_date("period_start"))
+
+
+def order_type(ticks: DataFrame, order: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, ticks.schema[c].dataType) for c in order])
 
 
 def stream_ohlc(
@@ -43,36 +40,34 @@ def stream_ohlc(
     path: str,
     *,
     order: Sequence[str] = ("ts",),
-    delay: str = "1 hour",
     available_now: bool = True,
 ) -> StreamingQuery:
     """Ticks (symbol, ts, price) to bars that grow as ticks arrive, in ``path/ohlc``.
 
-    State holds one row per symbol and open bucket, combined map-side before the
-    shuffle. Ticks later than ``delay`` behind the newest one are dropped; bars
-    kept by upsert (``stream_bars``) have no such limit.
+    Each batch adds a part for every symbol and bucket it touches, aggregated map-side before the shuffle; parts are
+    merged when read, and by ``compact_ohlc`` once for all. Nothing else is kept, so there is no watermark: a tick
+    counts however late it is, and one that is sent again changes nothing. Any period will do, months included. Ticks
+    without a symbol or a time are left out.
     """
-    bucket = F.window(
-        "ts", f"{duration_ms} milliseconds", startTime=f"{_window_offset_ms(duration_ms)} milliseconds"
-    )
-    by = order_key(order)
-    grown = (
-        ticks.withWatermark("ts", delay)
-        .groupBy(bucket.alias("_window"), "symbol")
-        .agg(
-            F.min_by("price", by).alias("open_price"),
-            F.max("price").alias("high_price"),
-            F.min("price").alias("low_price"),
-            F.max_by("price", by).alias("close_price"),
-        )
-    )
-    rows = grown.withColumn("period_start", F.col("_window.start")).select(*OHLC.names)
+    table = ohlc_table(path, order_type(ticks, order))
 
     def handle(batch: DataFrame, number: int) -> None:
-        write_batch(batch, f"{path}/ohlc", number)
+        dated = batch.where("symbol IS NOT NULL AND ts IS NOT NULL")
+        table.append(ohlc_parts(dated, duration_ms, order=order), number)
+
+    return run_batches(ticks, handle, f"{path}/checkpoint", available_now=available_now)
+
+
+def _orders(spark: SparkSession, path: str) -> T.StructType:
+    """The type of the order, from the files' own schema."""
+    return spark.read.parquet(f"{path}/ohlc").schema["open_order"].dataType
+
 
-    return run_batches(rows, handle, f"{path}/checkpoint", available_now=available_now, mode="update")
+def read_ohlc(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    """The bars; ``where`` on ``day`` reads only the days asked for."""
+    return ohlc_table(path, _orders(spark, path)).read(spark, where).select(*OHLC.names)
 
 
-def read_ohlc(spark: SparkSession, path: str) -> DataFrame:
-    return latest_from_log(spark, f"{path}/ohlc", OHLC, OHLC_KEY)
+def compact_ohlc(spark: SparkSession, path: str, upto: int) -> None:
+    """Merge the parts of the days that batches up to ``upto`` have touched."""
+    ohlc_table(path, _orders(spark, path)).compact(spark, upto)

@@ -1,21 +1,26 @@
-"""Crossover signals from a growing stream of minute bars."""
+"""Crossover signals from a stream of minute bars that are re-sent, late or new: signals can be taken back."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.bars import SUMMED, fold_bars, fold_positions
-from tickloom.operators.blocks import DEFAULT_BLOCKS, Blocks, with_position
-from tickloom.operators.crossover import as_signals, mac_signals
+from tickloom.operators.bars import SUMMED, fold_positions
+from tickloom.operators.blocks import DEFAULT_BLOCKS, SERIES, Blocks, split_positions, with_position
+from tickloom.operators.crossover import LONG_TERMS, SHORT_TERMS, as_signals, mac_grid, mac_signals
+from tickloom.operators.keyed import latest_per_key
 from tickloom.schemas import BARS, SIGNAL_PERIOD_MINUTES, SIGNALS
-from tickloom.sources.storage import latest_from_log, write_batch
+from tickloom.sources.logged import LoggedTable, logged
+from tickloom.sources.storage import write_batch
 from tickloom.streaming.feeds import run_batches
 
+SIGNAL_KEY = ("symbol", "period", "open_time", "indicator_id")
+BAR_OF = ("symbol", "size")
+NUMBERED = T.StructType([*BARS.fields, T.StructField("position", T.LongType(), False)])
 FOLDED = T.StructType(
     [
         T.StructField("symbol", T.StringType(), False),
@@ -25,94 +30,183 @@ FOLDED = T.StructType(
         *[BARS[c] for c in SUMMED],
     ]
 )
-PROGRESS = T.StructType(
+STARTS = T.StructType(
     [
         T.StructField("symbol", T.StringType(), False),
-        T.StructField("next_position", T.LongType(), False),
-        T.StructField("last_open", T.LongType(), False),
+        T.StructField("chunk", T.LongType(), False),
+        T.StructField("first_open", T.LongType(), False),
     ]
 )
-SIGNAL_KEY = ("symbol", "period", "open_time", "indicator_id")
+STATED = T.StructType([*SIGNALS.fields, T.StructField("withdrawn", T.BooleanType(), False)])
+MINUTE_CHUNK = 1 << 14
+BAR_CHUNK = 1 << 12
+
+
+def minutes_table(path: str, chunk: int = MINUTE_CHUNK) -> LoggedTable:
+    """Minutes with their position in the series, by runs of positions."""
+    return logged(f"{path}/minutes", NUMBERED, ("symbol", "position"), chunk=F.floor(F.col("position") / chunk))
+
+
+def starts_table(path: str) -> LoggedTable:
+    """The first minute of each run of positions: one row for thousands of minutes."""
+    return logged(f"{path}/starts", STARTS, ("symbol", "chunk"), part=F.floor(F.col("chunk") / 4096))
+
+
+def folded_table(path: str) -> LoggedTable:
+    return logged(
+        f"{path}/folded", FOLDED, (*BAR_OF, "bar_index"), size=F.col("size"), part=F.floor(F.col("bar_index") / BAR_CHUNK)
+    )
+
+
+def signals_table(path: str) -> LoggedTable:
+    day = F.to_date(F.timestamp_millis("open_time"))
+    return logged(f"{path}/signals", STATED, SIGNAL_KEY, period=F.col("period"), day=day)
 
 
 def stream_signals(
     minute_bars: DataFrame,
     path: str,
-    pairs: Sequence[tuple[int, int]],
+    pairs: Sequence[tuple[int, int]] | None = None,
     *,
     sizes: Sequence[int] = SIGNAL_PERIOD_MINUTES,
+    long_terms: tuple[int, int] = LONG_TERMS,
+    short_terms: tuple[int, int] = SHORT_TERMS,
+    ingest_order: Sequence[str] = ("close_time", "num_trades"),
     blocks: Blocks = DEFAULT_BLOCKS,
+    minute_chunk: int = MINUTE_CHUNK,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Minute bars, in time order over the batches, to signals in ``path/signals``.
-
-    Between batches two tables are kept: the minutes seen per symbol, and per
-    symbol and bar size the last bars the longest average reaches, the unfinished
-    one included. Both are bounded by symbols * sizes * terms, whatever the length
-    of the history. A batch is numbered on from there, folded, merged with the
-    kept bars and evaluated like a batch job, split in blocks; a symbol with most
-    of the bars is spread over tasks as well.
-
-    A bar that is still open is evaluated too; its row is replaced as it grows.
-    A batch holds each minute once, as the stored bars do; minutes not newer than
-    the last one of their symbol in earlier batches go to ``path/late``.
-    """
-    reach = max(long_term for long_term, _ in pairs) + 4
+    """Minute bars to crossover signals that equal the batch job's after every batch, whatever the order of arrival.
+
+    ``pairs`` are (long, short) terms; without them the whole grid is evaluated. A minute that comes again replaces the
+    stored one; one that is older than others takes its place among them, and all later positions move. Of equal
+    minutes in a batch the last by ``ingest_order`` counts. Minutes without a symbol or time are left out.
 
+    Kept are four tables, laid out so that a batch reads only what it touches: the numbered minutes, the first minute
+    of each run of positions, the folded bars, and the signals. A batch reads the minutes from the run of its oldest
+    minute on, numbers and folds them again from there, and evaluates the bars whose averages reach a bar that has
+    changed: work grows with how far back its oldest minute lies, not with the history, and the feed's usual case, new
+    minutes and the open one again, reads the last runs alone.
+
+    ``path/changes`` gets, per batch, the signals that are ``withdrawn`` and those that are new; ``path/signals`` is the
+    table they add up to (``read_stream_signals``). A replayed batch replaces its own rows everywhere.
+    """
+    if minute_chunk < max(sizes):
+        raise ValueError("a run of positions must hold a bar of the largest size")
+    longest = max(long_term for long_term, _ in pairs) if pairs is not None else long_terms[1]
+    reach = longest + 2
     spark = minute_bars.sparkSession
+    minutes, starts = minutes_table(path, minute_chunk), starts_table(path)
+    folded, signals = folded_table(path), signals_table(path)
+    ordered = [c for c in ingest_order if c not in BARS.names]
+
+    def landed(rows: DataFrame, name: str, number: int) -> DataFrame:
+        # Adaptive execution is off in a stream's own session; written rows are read in the caller's, with their size.
+        write_batch(rows, f"{path}/{name}", number)
+        return spark.read.schema(rows.schema).parquet(f"{path}/{name}/batch={number}")
+
+    def evaluated(bars: DataFrame) -> DataFrame:
+        if pairs is not None:
+            return mac_signals(bars, pairs, position="bar_index", keys=BAR_OF, blocks=blocks)
+        return mac_grid(bars, position="bar_index", keys=BAR_OF, long_terms=long_terms, short_terms=short_terms)
 
     def handle(batch: DataFrame, number: int) -> None:
-        # Landed first: adaptive execution is off in a stream's own session, and the
-        # files tell the caller's session how large the batch is.
-        write_batch(batch.select(*BARS.names), f"{path}/minutes", number)
-        batch = spark.read.schema(BARS).parquet(f"{path}/minutes/batch={number}")
-        if number == 0:
-            progress = spark.createDataFrame([], PROGRESS)
-            known = batch.withColumns({"next_position": F.lit(0), "last_open": F.lit(None)})
-        else:
-            progress = spark.read.schema(PROGRESS).parquet(f"{path}/progress/batch={number - 1}")
-            known = batch.join(progress, "symbol", "left")
-            known = known.fillna(0, ["next_position"])
-            late = known.filter(F.col("open_time") <= F.col("last_open"))
-            write_batch(late.select(*batch.columns), f"{path}/late", number)
-            known = known.filter(F.col("last_open").isNull() | (F.col("open_time") > F.col("last_open")))
-
-        numbered = with_position(known, blocks=blocks)
-        numbered = numbered.withColumn("position", F.col("position") + F.col("next_position"))
-        merged = fold_positions(numbered, sizes)
-        fresh = F.lit(True)
-        if number > 0:
-            kept = spark.read.schema(FOLDED).parquet(f"{path}/kept/batch={number - 1}")
-            both = kept.withColumn("_fresh", F.lit(False)).unionByName(
-                merged.select(*FOLDED.names, F.lit(True).alias("_fresh"))
-            )
-            touched = F.max("_fresh").alias("_fresh")
-            merged = fold_bars(both, ["symbol", "size", "bar_index"], "open_time", touched)
-            fresh = F.col("_fresh")
-        # Written once, as the signals and the kept bars both read it.
-        write_batch(merged.select(*FOLDED.names, fresh.alias("_fresh")), f"{path}/merged", number)
-        merged = spark.read.parquet(f"{path}/merged/batch={number}")
-
-        found = mac_signals(merged, pairs, position="bar_index", keys=("symbol", "size"), blocks=blocks)
-        if number > 0:
-            first = merged.filter("_fresh").groupBy("symbol", "size").agg(F.min("open_time").alias("_from"))
-            found = found.join(first, ["symbol", "size"]).filter(F.col("open_time") >= F.col("_from"))
-        write_batch(as_signals(found, sizes), f"{path}/signals", number)
-
-        newest = merged.groupBy("symbol", "size").agg(F.max("bar_index").alias("_newest"))
-        tail = merged.join(newest, ["symbol", "size"]).filter(
-            F.col("bar_index") > F.col("_newest") - reach
+        named = batch.select(*BARS.names, *ordered).where("symbol IS NOT NULL AND open_time IS NOT NULL")
+        order = [F.col(c).alias(f"_order{i}") for i, c in enumerate(ingest_order)]
+        arrivals = named.select(*BARS.names, *order)
+        last = latest_per_key(arrivals, ("symbol", "open_time"), [f"_order{i}" for i in range(len(order))], keep_order=False)
+        incoming = landed(last.select(*BARS.names), "incoming", number)
+
+        # 1. where each touched symbol begins to change, as a run of positions
+        touched = incoming.groupBy("symbol").agg(F.min("open_time").alias("_first"))
+        known = starts.read(spark, before=number).join(touched, "symbol")
+        run = F.max(F.when(F.col("first_open") <= F.col("_first"), F.col("chunk")))
+        begins = known.groupBy("symbol").agg(F.greatest(F.coalesce(run, F.lit(0)) - 1, F.lit(0)).alias("_run"))
+        begins = touched.join(begins, "symbol", "left").select("symbol", F.coalesce("_run", F.lit(0)).alias("_run"))
+        begins = landed(begins, "begins", number)
+        least = begins.agg(F.min("_run")).first()[0]
+        if least is None:
+            for table in (minutes, starts, folded, signals):
+                table.append(spark.createDataFrame([], table.schema), number)
+            write_batch(spark.createDataFrame([], STATED), f"{path}/changes", number)
+            return
+
+        # 2. the minutes from there on, numbered anew
+        stored = minutes.read(spark, F.col("chunk") >= least, before=number).join(begins, "symbol")
+        stored = stored.where(F.col("position") >= F.col("_run") * minute_chunk).drop("_run")
+        both = stored.withColumn("_new", F.lit(False)).unionByName(
+            incoming.withColumns({"position": F.lit(None).cast("bigint"), "_new": F.lit(True)})
+        )
+        values = [c for c in BARS.names if c not in ("symbol", "open_time")]
+        one = both.groupBy("symbol", "open_time").agg(
+            F.max_by(F.struct(*values), "_new").alias("_row"), F.max("position").alias("_old"), F.max("_new").alias("_new")
         )
-        write_batch(tail.select(*FOLDED.names), f"{path}/kept", number)
-        seen = known.groupBy("symbol").agg(
-            (F.max("next_position") + F.count(F.lit(1))).alias("next_position"),
-            F.max("open_time").alias("last_open"),
+        one = one.select("symbol", "open_time", "_row.*", "_old", "_new").join(begins, "symbol")
+        numbered = with_position(one, keys=SERIES, blocks=blocks)
+        numbered = numbered.withColumn("position", F.col("position") + F.col("_run") * minute_chunk)
+        moved = F.col("_new") | ~F.col("position").eqNullSafe(F.col("_old"))
+        merged = landed(numbered.select(*NUMBERED.names, moved.alias("_changed")), "merged", number)
+        minutes.append(merged.where("_changed"), number)
+        runs = merged.groupBy("symbol", F.floor(F.col("position") / minute_chunk).alias("chunk"))
+        starts.append(runs.agg(F.min("open_time").alias("first_open")), number)
+
+        # 3. bars that hold a changed minute; the first of them begins within the minutes read
+        refolded = fold_positions(merged, sizes, greatest=["_changed"]).where("_changed")
+        refolded = landed(refolded.select(*FOLDED.names), "refolded", number)
+        folded.append(refolded, number)
+
+        # 4. the bars around them: those that reach back to a changed bar, and what these reach back to
+        lowest = refolded.groupBy(*BAR_OF).agg((F.min("bar_index") - reach).alias("_low"))
+        lowest = landed(lowest, "lowest", number)
+        by_size = lowest.groupBy("size").agg(F.floor(F.min("_low") / BAR_CHUNK).alias("part")).collect()
+        near = F.lit(False)
+        for r in by_size:  # one for each size of bars
+            near = near | ((F.col("size") == r["size"]) & (F.col("part") >= r["part"]))
+        before = folded.read(spark, near, before=number).join(lowest, list(BAR_OF)).where("bar_index >= _low").drop("_low")
+        fresh = refolded.withColumn("_changed", F.lit(True))
+        bars = before.join(refolded.select(*BAR_OF, "bar_index"), [*BAR_OF, "bar_index"], "left_anti")
+        bars = bars.withColumn("_changed", F.lit(False)).unionByName(fresh)
+        cut = split_positions(bars, position="bar_index", keys=BAR_OF, before=reach, after=reach, blocks=blocks)
+        flagged = cut.df.withColumns(
+            {
+                "_affected": F.max("_changed").over(cut.window.rowsBetween(-reach, 0)),
+                "_needed": F.max("_changed").over(cut.window.rowsBetween(-reach, reach)),
+            }
         )
-        moved = progress.join(seen.select("symbol"), "symbol", "left_anti").unionByName(seen)
-        write_batch(moved.select(*PROGRESS.names), f"{path}/progress", number)
+        around = landed(cut.owned(flagged).where("_needed").select(*FOLDED.names, "_affected"), "around", number)
+
+        # 5. their signals now, and those they had
+        affected = around.where("_affected").select(*BAR_OF, "bar_index", "open_time")
+        found = evaluated(around.select(*FOLDED.names)).join(affected.select(*BAR_OF, "open_time"), [*BAR_OF, "open_time"], "left_semi")
+        now = landed(as_signals(found, sizes), "now", number)
+        had_bars = before.join(affected.select(*BAR_OF, "bar_index"), [*BAR_OF, "bar_index"], "left_semi")
+        had_bars = as_bars(had_bars, sizes)
+        earliest = had_bars.agg(F.to_date(F.timestamp_millis(F.min("open_time")))).first()[0]
+        if earliest is None:
+            changes = now.withColumn("withdrawn", F.lit(False))
+        else:
+            had = signals.read(spark, F.col("day") >= F.lit(earliest), before=number).where("NOT withdrawn").drop("withdrawn")
+            had = had.join(had_bars, ["symbol", "period", "open_time"], "left_semi").select(*SIGNALS.names)
+            gone = had.join(now.select(*SIGNAL_KEY), list(SIGNAL_KEY), "left_anti").withColumn("withdrawn", F.lit(True))
+            changes = now.subtract(had).withColumn("withdrawn", F.lit(False)).unionByName(gone)
+        changes = landed(changes.select(*STATED.names), "changes", number)
+        signals.append(changes, number)
 
     return run_batches(minute_bars, handle, f"{path}/checkpoint", available_now=available_now)
 
 
-def read_stream_signals(spark: SparkSession, path: str) -> DataFrame:
-    return latest_from_log(spark, f"{path}/signals", SIGNALS, SIGNAL_KEY)
+def as_bars(rows: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """(symbol, period, open_time) of bars, the period as an index like that of their signals."""
+    listed: Column = F.array(*[F.lit(n) for n in sizes])
+    return rows.select("symbol", (F.array_position(listed, F.col("size")) - 1).cast("int").alias("period"), "open_time")
+
+
+def read_stream_signals(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    """The signals as of the last batch; ``where`` on ``period`` and ``day`` reads only the partitions asked for."""
+    return signals_table(path).read(spark, where).where("NOT withdrawn").select(*SIGNALS.names)
+
+
+def compact_stream_signals(spark: SparkSession, path: str, upto: int, minute_chunk: int = MINUTE_CHUNK) -> None:
+    """Compact the partitions of all tables that batches up to ``upto`` have touched."""
+    for table in (minutes_table(path, minute_chunk), starts_table(path), folded_table(path), signals_table(path)):
+        table.compact(spark, upto)
