@@ -15,7 +15,7 @@ from tickloom.llm.common import byte_slices, packed, written
 SHINGLE_WORDS = 5
 PERCENT = 85
 HALVES = 12
-HASHES = 3
+HASHES = 4
 SKETCH_BITS = 128
 SKETCH_APART = 27
 CACHED = 500_000
@@ -109,14 +109,17 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, vertex, n, s0, s1, first) of every table key that two or more vertices share.
+    """(key, vertex, n, s0, s1, i, j, marks, first) of every table key (i, j) that two or more vertices share.
+
+    ``marks`` are 31 bits of each half key, by which a pair is known at its first shared key and met there only.
 
     A left half key that only one vertex has cannot be part of a shared table key, so it is dropped before the pairs
     are formed: most documents never reach the product.
     """
     sketch = [F.get("halves", F.lit(2 * HALVES + i)).alias(f"s{i}") for i in range(2)]
+    marks = F.transform(F.slice("halves", 1, 2 * HALVES), lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
     lefts = classes.select(
-        "vertex", "n", *sketch, "halves", F.posexplode(F.slice("halves", 1, HALVES)).alias("i", "left")
+        "vertex", "n", *sketch, marks.alias("marks"), "halves", F.posexplode(F.slice("halves", 1, HALVES)).alias("i", "left")
     )
     shared = (
         lefts.groupBy("i", "left")
@@ -126,8 +129,8 @@ def _buckets(classes: DataFrame) -> DataFrame:
     )
     keys = (
         lefts.join(shared, ["i", "left"])
-        .select("vertex", "n", "s0", "s1", "i", "left", F.posexplode(F.slice("halves", HALVES + 1, HALVES)).alias("j", "right"))
-        .select(F.xxhash64("i", "left", "j", "right").alias("key"), "vertex", "n", "s0", "s1")
+        .select("vertex", "n", "s0", "s1", "marks", "i", "left", F.posexplode(F.slice("halves", HALVES + 1, HALVES)).alias("j", "right"))
+        .select(F.xxhash64("i", "left", "j", "right").alias("key"), "vertex", "n", "s0", "s1", "i", "j", "marks")
     )
     keys = written(keys, "keys")
     common = keys.groupBy("key").agg(F.min("vertex").alias("low"), F.max("vertex").alias("high")).where("low <> high")
@@ -170,37 +173,52 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the least node reachable over the edges (a, b), by alternating large and small stars.
+def _roots(parents: DataFrame) -> DataFrame:
+    """(node, component) of a forest (node, parent), parents less than nodes, by doubling the pointers.
 
-    Each step hooks every neighbour to a node's least neighbour; only minima per node are aggregated, never lists of
-    neighbours, so a hub of any degree is one aggregated row.
+    A node whose parent is a root is settled and takes part no more.
     """
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    named = parents.select("node", F.col("parent").alias("component"))
+    settled, open_nodes = None, named
     while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_least, "a")
-        small = (
-            small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(small_least.select("a", F.col("m").alias("b")))
-            .where("a <> b")
-            .distinct()
-        )
-        edges = written(small, "edges")
-        if _are_stars(edges):
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        above = open_nodes.select(F.col("node").alias("component"), F.col("component").alias("higher"))
+        if settled is not None:
+            above = above.unionByName(settled.select(F.col("node").alias("component"), F.col("component").alias("higher")))
+        jumped = written(open_nodes.join(above, "component", "left"), "jumped")
+        done = jumped.where("higher IS NULL").select("node", "component")
+        settled = done if settled is None else settled.unionByName(done)
+        open_nodes = jumped.where("higher IS NOT NULL").select("node", F.col("higher").alias("component"))
+        if open_nodes.isEmpty():
+            return settled
 
 
-def _are_stars(edges: DataFrame) -> bool:
-    """Whether every node has one edge to a centre, and no centre has one itself: then the centres are the least nodes."""
-    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("centre")).union(
-        edges.select(F.col("b").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("centre"))
-    )
-    odd = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("centre").alias("centre"))
-    return odd.where("out > 1 OR (out = 1 AND centre = 1)").isEmpty()
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the least node reachable over the edges (a, b), for all nodes but the least ones themselves.
+
+    Every node hooks onto its least neighbour if that is less than itself; the trees this makes are contracted to their
+    roots, and only edges between different roots stay for the next round. Nothing but minima is aggregated, so a hub
+    of any degree is one row, and nodes and edges that are settled take part no more: rounds add up to a constant
+    factor. The rounds' maps are put together from the last one back.
+    """
+    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rounds: list[DataFrame] = []
+    while True:
+        parents = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
+        rounds.append(_roots(written(parents, "parents")))
+        for end in "ab":
+            to = rounds[-1].select(F.col("node").alias(end), F.col("component").alias(f"to_{end}"))
+            edges = edges.join(to, end, "left")
+        ends = F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b")
+        edges = edges.select(*ends).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        edges = written(edges.distinct(), "edges")
+        if edges.isEmpty():
+            break
+    found = rounds.pop()
+    while rounds:
+        later = found.select(F.col("node").alias("component"), F.col("component").alias("root"))
+        earlier = rounds.pop().join(later, "component", "left")
+        found = written(earlier.select("node", F.coalesce("root", "component").alias("component")).unionByName(found), "rounds")
+    return found
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -214,16 +232,25 @@ _MAY_LINK = (
     f"AND bit_count(s0 ^ s0_a) + bit_count(s1 ^ s1_a) <= {SKETCH_APART}"
 )
 
+# No key before this one is shared: pairs of keys are shared where the left and the right half are.
+_FIRST_SHARED = " AND ".join(
+    f"NOT ({at} > {k} AND marks[{k + offset}] = marks_a[{k + offset}])"
+    for at, offset in (("i", 0), ("j", HALVES))
+    for k in range(HALVES - 1)
+)
+
 
 def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, component) of all vertices that confirmed links within the buckets connect.
 
     First every vertex meets the least vertex of all its buckets, one pair each, which settles most. Then rounds: in
-    buckets that still hold different components, the least 4, 16, 64, ... vertices meet all members of other components, and leave. Two vertices of one
-    bucket are compared unless they are already connected, so no link between components is lost, and copies of one
-    text or a family of near copies cost about one comparison each, not one for each pair.
+    buckets that still hold different components, the least 4, 16, 64, ... vertices meet all members of other
+    components, and leave. Two vertices meet in the bucket of their first shared key alone, unless they are already
+    connected, so no link between components is lost, and copies of one text or a family of near copies cost about one
+    comparison each, not one for each pair.
     """
     own = [F.col(c).alias(f"{c}_a") for c in ("n", "s0", "s1")]
+    marks = F.col("marks").alias("marks_a")
     sizes = members.select(F.col("vertex").alias("first"), *own).distinct()
     pairs = (
         members.where("vertex <> first")
@@ -246,10 +273,10 @@ def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy("key").orderBy("vertex"))
         pivots = live.withColumn("rank", rank).where(F.col("rank") <= width).drop("rank")
         pivots = written(pivots, "pivots")
-        other = pivots.select("key", F.col("vertex").alias("a"), F.col("label").alias("label_a"), *own)
+        other = pivots.select("key", F.col("vertex").alias("a"), F.col("label").alias("label_a"), *own, marks)
         pairs = (
             live.join(other, "key")
-            .where(f"vertex > a AND label <> label_a AND {_MAY_LINK}")
+            .where(f"vertex > a AND label <> label_a AND {_MAY_LINK} AND {_FIRST_SHARED}")
             .select("a", F.col("vertex").alias("b"))
             .distinct()
         )
@@ -282,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing. Rows that repeat an id are one document, linked by what any of their texts is linked with. A NULL id is
     linked with nothing, its component is NULL and it is kept. An empty table gives no rows. Only id and text are read.
 
-    A pair of likeness s shares a table key with probability (1 - (1 - s**3)**12)**2: 0.99998 at 0.85, more above it.
+    A pair of likeness s shares a table key with probability (1 - (1 - s**4)**12)**2: 0.9997 at 0.85, more above it.
     Before sets are fetched, sketches of 128 bits are compared: those of a pair at 0.85 differ in 9.6 bits on average and
     in more than 27 once in a million pairs, those of a pair at 0.3 in 45.
     Equal sets always meet: they are one vertex.
