@@ -18,8 +18,10 @@ HALVES = 12
 HASHES = 4
 SKETCH_BITS = 128
 SKETCH_APART = 27
+PARITY_BITS = 512
 CACHED = 500_000
 ROWS_AT_ONCE = 8192
+SKETCH = [*[f"s{i}" for i in range(SKETCH_BITS // 64)], *[f"p{i}" for i in range(PARITY_BITS // 64)]]
 _U = np.uint64
 _RNG = np.random.default_rng(20240229)
 _FACTORS = _RNG.integers(1, 1 << 63, SKETCH_BITS, dtype=np.uint64) * _U(2) + _U(1)
@@ -63,7 +65,8 @@ class Shingles:
 def half_keys(shingles: np.ndarray) -> np.ndarray:
     """Two collections of half keys, each of which joins a few minima; a table key later pairs one of either.
 
-    Two more longs follow, a sketch: one bit of each minimum.
+    Then follow two sketches: one bit of each minimum, and the parities of the numbers of shingles in PARITY_BITS
+    classes. Each shingle that only one of two sets has flips one parity.
     """
     least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), ROWS_AT_ONCE):
@@ -73,7 +76,8 @@ def half_keys(shingles: np.ndarray) -> np.ndarray:
     for k in range(HASHES):
         joined = mixed(joined + least[k : 2 * HALVES * HASHES : HASHES])
     sketch = np.packbits((mixed(least) >> _U(63)).astype(np.uint8)).view(np.uint64)
-    return np.concatenate([joined, sketch]).view(np.int64)
+    parities = np.bincount((shingles >> _U(64 - PARITY_BITS.bit_length() + 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.concatenate([joined, sketch, np.packbits(parities.astype(np.uint8)).view(np.uint64)]).view(np.int64)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -81,7 +85,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches) -> Iterator[pa.RecordBatch]:
-        shingles, width = Shingles(), 2 * HALVES + SKETCH_BITS // 64
+        shingles, width = Shingles(), 2 * HALVES + len(SKETCH)
         with np.errstate(over="ignore"):
             for batch in byte_slices(batches, column=2):
                 sizes, vertices, keys = [], [], []
@@ -109,14 +113,14 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, vertex, n, s0, s1, i, j, marks, first) of every table key (i, j) that two or more vertices share.
+    """(key, vertex, n, SKETCH, i, j, marks, first) of every table key (i, j) that two or more vertices share.
 
     ``marks`` are 31 bits of each half key, by which a pair is known at its first shared key and met there only.
 
     A left half key that only one vertex has cannot be part of a shared table key, so it is dropped before the pairs
     are formed: most documents never reach the product.
     """
-    sketch = [F.get("halves", F.lit(2 * HALVES + i)).alias(f"s{i}") for i in range(2)]
+    sketch = [F.get("halves", F.lit(2 * HALVES + i)).alias(c) for i, c in enumerate(SKETCH)]
     marks = F.transform(F.slice("halves", 1, 2 * HALVES), lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
     lefts = classes.select(
         "vertex", "n", *sketch, marks.alias("marks"), "halves", F.posexplode(F.slice("halves", 1, HALVES)).alias("i", "left")
@@ -129,8 +133,8 @@ def _buckets(classes: DataFrame) -> DataFrame:
     )
     keys = (
         lefts.join(shared, ["i", "left"])
-        .select("vertex", "n", "s0", "s1", "marks", "i", "left", F.posexplode(F.slice("halves", HALVES + 1, HALVES)).alias("j", "right"))
-        .select(F.xxhash64("i", "left", "j", "right").alias("key"), "vertex", "n", "s0", "s1", "i", "j", "marks")
+        .select("vertex", "n", *SKETCH, "marks", "i", "left", F.posexplode(F.slice("halves", HALVES + 1, HALVES)).alias("j", "right"))
+        .select(F.xxhash64("i", "left", "j", "right").alias("key"), "vertex", "n", *SKETCH, "i", "j", "marks")
     )
     keys = written(keys, "keys")
     common = keys.groupBy("key").agg(F.min("vertex").alias("low"), F.max("vertex").alias("high")).where("low <> high")
@@ -226,12 +230,18 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return found.withColumn("label", F.coalesce("component", "vertex")).drop("component")
 
 
-# Sizes that alone rule a link out, or sketches further apart than those of linked sets ever are (see near_duplicates).
-_MAY_LINK = (
-    f"100 * least(n, n_a) >= {PERCENT} * greatest(n, n_a) "
-    f"AND bit_count(s0 ^ s0_a) + bit_count(s1 ^ s1_a) <= {SKETCH_APART}"
-)
+def _may_link() -> str:
+    """False where sizes rule a link out, or sketches further apart than those of linked sets are (see near_duplicates)."""
+    apart = lambda names: " + ".join(f"bit_count({c} ^ {c}_a)" for c in names)
+    most = f"({(100 - PERCENT) / (100 + PERCENT)}D * (n + n_a))"  # shingles that only one of two linked sets has
+    spread = f"{PARITY_BITS / 2}D * (1 - exp(-{2 / PARITY_BITS}D * {most})) + {5 * PARITY_BITS**0.5 / 2}D"
+    return (
+        f"100 * least(n, n_a) >= {PERCENT} * greatest(n, n_a) AND {apart(SKETCH[:2])} <= {SKETCH_APART} "
+        f"AND {apart(SKETCH[2:])} <= least({most} + 1e-6D, {spread})"
+    )
+
 
+_MAY_LINK = _may_link()
 # No key before this one is shared: pairs of keys are shared where the left and the right half are.
 _FIRST_SHARED = " AND ".join(
     f"NOT ({at} > {k} AND marks[{k + offset}] = marks_a[{k + offset}])"
@@ -249,12 +259,12 @@ def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
     connected, so no link between components is lost, and copies of one text or a family of near copies cost about one
     comparison each, not one for each pair.
     """
-    own = [F.col(c).alias(f"{c}_a") for c in ("n", "s0", "s1")]
+    own = [F.col(c).alias(f"{c}_a") for c in ("n", *SKETCH)]
     marks = F.col("marks").alias("marks_a")
     sizes = members.select(F.col("vertex").alias("first"), *own).distinct()
     pairs = (
         members.where("vertex <> first")
-        .select("vertex", "first", "n", "s0", "s1")
+        .select("vertex", "first", "n", *SKETCH)
         .distinct()
         .join(sizes, "first")
         .where(_MAY_LINK)
