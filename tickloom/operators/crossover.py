@@ -7,6 +7,7 @@ become double just before the division.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -284,12 +285,16 @@ def mac_grid_signals(
     Each bar is evaluated once.
     """
     folded = resample_by_count(minute_bars, sizes, blocks=blocks)
+    # Counted on the minutes: counting the folded bars would fold them twice.
+    least = int(minute_bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bars = minute_bars.count() * sum(1 / size for size in sizes)
     grid = mac_grid(
         folded,
         position="bar_index",
         keys=("symbol", "size"),
         long_terms=long_terms,
         short_terms=short_terms,
+        partitions=max(least, math.ceil(bars / GRID_ROWS)),
     )
     return as_signals(grid, sizes)
 

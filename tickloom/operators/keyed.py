@@ -25,17 +25,27 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the greatest ``order`` for each key; the order must be unique per key.
 
-    A NULL in the order is its lowest value, whatever the types: the whole row is
-    picked by one comparison of the order columns as a struct.
+    A NULL in the order is its lowest value, whatever the types. With one order column each value is picked by that
+    scalar, so that fixed-width values stay in hash aggregation; several columns are compared as a struct, which Spark
+    aggregates by sorting.
     """
     dropped = () if keep_order else tuple(order)
     values = [c for c in df.columns if c not in keys and c not in dropped]
     if not values:
         return df.select(*keys).distinct()
+    shown = [c for c in df.columns if c not in dropped]
+    if len(order) == 1:
+        by = F.col(order[0])
+        # max_by skips rows without an order: they count where a key has no other (then there is one, as orders are unique)
+        picked = df.groupBy(*keys).agg(
+            F.max(by).alias("_order"),
+            *[F.max_by(c, by).alias(f"_v{i}") for i, c in enumerate(values)],
+            *[F.first(F.when(by.isNull(), F.col(c)), ignorenulls=True).alias(f"_n{i}") for i, c in enumerate(values)],
+        )
+        rows = [F.when(F.col("_order").isNull(), F.col(f"_n{i}")).otherwise(F.col(f"_v{i}")).alias(c) for i, c in enumerate(values)]
+        return picked.select(*keys, *rows).select(*shown)
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values]).select(
-        *[c for c in df.columns if c not in dropped]
-    )
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values]).select(*shown)
 
 
 def upsert(
