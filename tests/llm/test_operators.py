@@ -232,6 +232,47 @@ def test_fingerprints(docs, none, rows):
     assert fingerprints.fingerprints(none).collect() == []
 
 
+def plain_print(text: str) -> str:
+    """The fingerprint from its definition, one bin after the other."""
+    import xxhash
+
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOW)) if w]
+    if not words:
+        return ""
+
+    def chained(shingle):
+        h = 42
+        for word in shingle:
+            h = xxhash.xxh64_intdigest(word.encode(), seed=h)
+        return h
+
+    held = {}
+    for i in range(max(1, len(words) - 4)):
+        h = chained(words[i : i + 5])
+        signed = h - (1 << 64) if h >> 63 else h
+        held[h >> 56] = min(held.get(h >> 56, signed), signed)
+
+    def draws(b):
+        yield b
+        for k in range(16):
+            yield (((b + 1) * (0x9E3779B1 + 0x3C6EF372 * k | 1) + 0x7F4A7C15 * (k + 1) % (1 << 31)) >> 11) & 255
+        for t in range(256):
+            yield (((b * 2654435761 + 374761393) >> 9) + t * (2 * ((b * 2246822519 + 3266489917) >> 7) + 1)) & 255
+
+    values = [held[next(x for x in draws(b) if x in held)] & 15 for b in range(256)]
+    return "".join(f"{sum(v << 4 * k for k, v in enumerate(values[16 * j : 16 * j + 16])):016X}" for j in range(16))
+
+
+def test_fingerprints_from_their_definition(docs, rows):
+    found = {(r.doc_id, r.n_chars): r.fingerprint for r in fingerprints.fingerprints(docs).collect()}
+    checked = 0
+    for i, text in rows:
+        if (i, len(text or "")) in found:
+            assert found[i, len(text or "")] == plain_print(text), i
+            checked += 1
+    assert checked == len(rows)
+
+
 def test_fingerprint_of_one_document(spark):
     (r,) = fingerprints.fingerprints(data.documents(spark, [(5, "abcdef")])).collect()
     assert (r.edited_sha256, r.near_next) == (sha("abcdab"), 1.0)

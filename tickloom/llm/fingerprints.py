@@ -1,7 +1,7 @@
 """Document fingerprints: one-permutation MinHash, optimal densification, packed low-order bits.
 
-Everything is exploded rows and aggregates over them, so that it runs in generated code. The texts are dealt out by
-their key once; all aggregations of a text happen where it lies, without another shuffle.
+Exploded rows and aggregates over them run in generated code. The texts are dealt out by their key once; all
+aggregations of a text and of its edited version happen where it lies, without another shuffle.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ FLAGS = BINS // PER_FLAGS
 PROBES = 16
 BLOCK_ROWS = 500_000
 KEY = ["kid", "text_hash"]
+VERSION = [*KEY, "edit"]  # whether it is the edited text
 PRINT = [f"p{j}" for j in range(LONGS)]
 _NIBBLES = 0x1111111111111111
 
@@ -48,17 +49,11 @@ def _low(at: str) -> str:
     return f"shiftrightunsigned(low[{at} div {PER_LONG}], {LOW_BITS} * ({at} % {PER_LONG})) & {(1 << LOW_BITS) - 1}L"
 
 
-def _next_held(at: str) -> str:
-    """The first bin with shingles from ``at`` on, around the end."""
-
-    def first(word: str, index: str) -> str:
-        return f"CASE WHEN {word} <> 0 THEN {index} * {PER_FLAGS} + bit_count(({word} & -{word}) - 1L) END"
-
-    steps = [first(f"(held[{at} div {PER_FLAGS}] & shiftleft(-1L, {at} % {PER_FLAGS}))", f"({at} div {PER_FLAGS})")]
-    for k in range(1, FLAGS + 1):
-        index = f"(({at} div {PER_FLAGS} + {k}) % {FLAGS})"
-        steps.append(first(f"held[{index}]", index))
-    return f"cast(coalesce({', '.join(steps)}) as int)"
+def _last_resort() -> str:
+    """The first held bin on the way of bin ``bin`` around all bins, by a step of its own; odd, so that it misses none."""
+    start, step = "(bin * 2654435761L + 374761393L) >> 9", "2L * ((bin * 2246822519L + 3266489917L) >> 7) + 1L"
+    at = f"cast((({start}) + t * ({step})) & {BINS - 1} as int)"
+    return f"transform(filter(sequence(0L, {BINS - 1}L), t -> {_held(at)}), t -> {at})[0]"
 
 
 def _packed(value: str, longs: int, per_long: int, bits: int, prefix: str) -> list[Column]:
@@ -73,36 +68,34 @@ def _packed(value: str, longs: int, per_long: int, bits: int, prefix: str) -> li
 
 
 def prints(texts: DataFrame) -> DataFrame:
-    """Fingerprints (KEY, PRINT) of texts (KEY, w: words); texts without words have none.
+    """Fingerprints (VERSION, PRINT) of texts (VERSION, w: words); texts without words have none.
 
-    The rows of a key must lie together, and each key must be there once. Each shingle is hashed once: its top bits
-    choose the bin, the least hash of a bin is its value, of which the low bits are kept. A bin without shingles takes
-    the value of the first bin with shingles among its own draws, which do not depend on the text; after PROBES
-    draws, which only texts of few shingles need, of the next one after its last draw. Equal sets of shingles give
-    equal fingerprints.
+    The rows of a key must lie together. Each shingle is hashed once: its top bits choose the bin, the least hash of a
+    bin is its value, of which the low bits are kept. A bin without shingles takes the value of the first bin with
+    shingles among its own draws, which do not depend on the text: PROBES hashed ones, then, for texts of few
+    shingles, all bins in an order of its own. Equal sets of shingles give equal fingerprints.
     """
     places = texts.where("size(w) > 0").select(
-        *KEY, "w", F.explode(F.expr(f"sequence(1, greatest(size(w) - {SHINGLE_WORDS - 1}, 1))")).alias("at")
+        *VERSION, "w", F.explode(F.expr(f"sequence(1, greatest(size(w) - {SHINGLE_WORDS - 1}, 1))")).alias("at")
     )
-    hashed = places.select(*KEY, F.xxhash64(F.slice("w", F.col("at"), F.lit(SHINGLE_WORDS))).alias("h"))
-    binned = hashed.select(*KEY, F.expr(f"cast(shiftrightunsigned(h, {64 - BIN_BITS}) as int)").alias("bin"), "h")
-    least = binned.groupBy(*KEY, "bin").agg(F.min("h").alias("h"))
+    hashed = places.select(*VERSION, F.xxhash64(F.slice("w", F.col("at"), F.lit(SHINGLE_WORDS))).alias("h"))
+    binned = hashed.select(*VERSION, F.expr(f"cast(shiftrightunsigned(h, {64 - BIN_BITS}) as int)").alias("bin"), "h")
+    least = binned.groupBy(*VERSION, "bin").agg(F.min("h").alias("h"))
     mask = (1 << LOW_BITS) - 1
-    packed = least.groupBy(*KEY).agg(
+    packed = least.groupBy(*VERSION).agg(
         *_packed(f"(h & {mask}L)", LONGS, PER_LONG, LOW_BITS, "l"), *_packed("1L", FLAGS, PER_FLAGS, 1, "h")
     )
     arrays = packed.select(
-        *KEY,
+        *VERSION,
         F.array(*[f"l{j}" for j in range(LONGS)]).alias("low"),
         F.array(*[f"h{j}" for j in range(FLAGS)]).alias("held"),
     )
-    bins = arrays.select(*KEY, "low", "held", F.explode(F.sequence(F.lit(0), F.lit(BINS - 1))).alias("bin"))
+    bins = arrays.select(*VERSION, "low", "held", F.explode(F.sequence(F.lit(0), F.lit(BINS - 1))).alias("bin"))
     cases = " ".join(f"WHEN {_held(at)} THEN {at}" for at in ["bin", *map(_draw, range(PROBES))])
-    source = bins.select(*KEY, "low", "held", "bin", F.expr(f"CASE {cases} END").alias("source"))
-    last = _draw(PROBES - 1)
-    source = source.select(*KEY, "low", "bin", F.expr(f"coalesce(source, {_next_held(last)})").alias("source"))
-    values = source.select(*KEY, "bin", F.expr(_low("source")).alias("value"))
-    return values.groupBy(*KEY).agg(*_packed("value", LONGS, PER_LONG, LOW_BITS, "p"))
+    source = bins.select(*VERSION, "low", "held", "bin", F.expr(f"CASE {cases} END").alias("source"))
+    source = source.select(*VERSION, "low", "bin", F.expr(f"coalesce(source, {_last_resort()})").alias("source"))
+    values = source.select(*VERSION, "bin", F.expr(_low("source")).alias("value"))
+    return values.groupBy(*VERSION).agg(*_packed("value", LONGS, PER_LONG, LOW_BITS, "p"))
 
 
 def as_text(prefix: str = "") -> Column:
@@ -182,31 +175,28 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     small = written(small, "keys")
     order = written(successors(small), "order")
 
-    # the texts move once, to their keys; both uses read the same exchange
-    texts = rows.select(*KEY, "text").repartition(*KEY)
-    own = written(prints(texts.dropDuplicates(KEY).select(*KEY, words(F.col("text")).alias("w"))), "prints")
+    # the texts move once, to their keys, where everything is made in one run: all uses read the same exchange
+    texts = rows.groupBy(*KEY).agg(F.first("text").alias("text"))
     asks = order.select(
         F.col("next_kid").alias("kid"), F.col("next_hash").alias("text_hash"),
         F.struct(*KEY).alias("for"), "need",
     )
-    heads = (
-        texts.dropDuplicates(KEY)
-        .join(asks, KEY)
-        .select("for.kid", "for.text_hash", F.expr("substring(text, 1, need)").alias("head"), "need")
+    heads = texts.join(asks, KEY).select("for.kid", "for.text_hash", F.expr("substring(text, 1, need)").alias("head"), "need")
+    edited = texts.join(heads, KEY).select(
+        *KEY, "text", F.expr("concat(substring(text, 1, length(text) - need), head)").alias("edited")
     )
-    edited = texts.dropDuplicates(KEY).join(heads, KEY).select(
-        *KEY, F.expr("concat(substring(text, 1, length(text) - need), head)").alias("edited")
-    )
-    edited = edited.select(*KEY, "edited", words(F.col("edited")).alias("w"))
+    versions = F.array(F.struct(F.lit(False).alias("edit"), F.col("text").alias("of")), F.struct(F.lit(True).alias("edit"), F.col("edited").alias("of")))
+    made = prints(edited.select(*KEY, F.inline(versions)).select(*VERSION, words(F.col("of")).alias("w")))
     digests = edited.select(*KEY, F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    other = prints(edited.select(*KEY, "w"))
-    rename = lambda df, prefix: df.select(*KEY, *[F.col(p).alias(f"{prefix}{p}") for p in PRINT])
+    made = written(made.unionByName(digests, allowMissingColumns=True), "prints")
+
+    of = lambda edit, prefix: made.where(edit).select(*KEY, *[F.col(p).alias(f"{prefix}{p}") for p in PRINT])
     following = order.select(*KEY, "next_kid", "next_hash")
-    nexts = rename(own, "n").withColumnsRenamed({"kid": "next_kid", "text_hash": "next_hash"})
+    nexts = of("edit = false", "n").withColumnsRenamed({"kid": "next_kid", "text_hash": "next_hash"})
     found = (
-        small.join(digests, KEY)
-        .join(rename(other, "e"), KEY, "left")
-        .join(rename(own, "o"), KEY, "left")
+        small.join(made.where("edited_sha256 IS NOT NULL").select(*KEY, "edited_sha256"), KEY)
+        .join(of("edit = true", "e"), KEY, "left")
+        .join(of("edit = false", "o"), KEY, "left")
         .join(following, KEY)
         .join(nexts, ["next_kid", "next_hash"], "left")
     )
