@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schemas as S
 from tickloom.operators import bars
+from tickloom.operators import book as books
 from tickloom.operators.bars import ohlc_parts
 from tickloom.plans.fixtures import AS_OF_EVENTS, Tables, with_ctes
-from tickloom.plans.queries.aggregates import OHLC_SQL
+from tickloom.plans.queries.aggregates import OHLC_SQL, levels_sql
 from tickloom.plans.queries.base import BAR_SQL, ORACLES, query
 from tickloom.plans.queries.joins import ARCHIVE_SQL, HIT_SQL
 from tickloom.plans.queries.sources import DEPTH_SQL
@@ -100,6 +104,39 @@ def stream_depth_registered(t: Tables):
     return storage.read_log(t.spark, f"{path}/registered", S.PRICES).select("symbol", "price").distinct()
 
 
+FINISHES = ("2024-01-06 23:59:59", "2024-01-12 06:30:00", "2024-01-20 00:00:00", "2024-03-01 00:00:00")
+
+
+def _levels_at_sql() -> str:
+    books = {f"book_{k}": f"SELECT * FROM book WHERE ptime <= TIMESTAMP '{f}'" for k, f in enumerate(FINISHES)}
+    parts = [
+        f"SELECT upper(symbol) AS symbol, TIMESTAMP '{f}' AS finish, * EXCLUDE (symbol) FROM ({levels_sql(500).replace('FROM book ', f'FROM book_{k} ')})"
+        for k, f in enumerate(FINISHES)
+    ]
+    return with_ctes(" UNION ALL ".join(parts), "book", extra=books)
+
+
+@query("support_levels_at", _levels_at_sql())
+def support_levels_at(t: Tables):
+    """Support at four moments from a feed of three batches, in no order of time, with two snapshots between them."""
+    landed, path = scratch_dir(t.spark, "depth"), scratch_dir(t.spark, "stream-depth")
+    level = F.pmod(F.xxhash64("symbol", F.date_trunc("second", "ts"), F.round("price", 0)), F.lit(30))
+    wrong = t.ticks.where(level % 5 == 0).withColumn("qty", (F.col("qty") + 1).cast(S.PRICE))
+    parts = [t.ticks.where(level < 10).unionByName(wrong.where(level >= 10)), t.ticks.where(level.between(10, 19)), t.ticks.where(level > 19)]
+    days = {0: dt.date(2024, 1, 10), 1: dt.date(2024, 1, 18)}
+    for number, part in enumerate(parts):
+        t.as_depth(part).coalesce(1).write.mode("append").parquet(landed)
+        messages = t.spark.readStream.schema("value string, seq timestamp, id bigint").parquet(landed)
+        feeds.stream_depth(messages, path, ingest_order=["seq", "id"]).awaitTermination()
+        if number in days:
+            feeds.snapshot_stream_levels(t.spark, path, days[number], number)
+    found = [
+        books.support_levels(feeds.read_stream_book(t.spark, path, f), 500).withColumn("finish", F.lit(f).cast("timestamp"))
+        for f in FINISHES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("stream_ohlc", with_ctes(OHLC_SQL + "bars_1h", "bars_1h"))
 def stream_ohlc(t: Tables):
     path = scratch_dir(t.spark, "stream-ohlc")

@@ -59,6 +59,11 @@ class LoggedTable:
         placed = rows.select(*self.schema.names).withColumns(self.parts)
         placed.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}/batch={batch}")
 
+    def batches(self, spark: SparkSession, where: Column) -> DataFrame | None:
+        """The rows as they came, with their ``batch``; ``where`` on ``batch`` and partition columns prunes directories."""
+        rows = self._folder(spark, "", "batch")
+        return None if rows is None else rows.where(where)
+
     def compacted_to(self, spark: SparkSession) -> int:
         """Number of the newest batch that is part of the compacted partitions; -1 if none is."""
         marks = self._folder(spark, "_marks", "upto")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from tickloom.sources.messages import (
     parse_bar_events,
     parse_depth_updates,
 )
+from tickloom.sources.snapshots import Snapshots
 from tickloom.sources.storage import write_batch
 
 
@@ -63,6 +65,24 @@ def read_stream_levels(spark: SparkSession, path: str, where: Column | None = No
     return levels_table(path).read(spark, where)
 
 
+def book_snapshots(path: str) -> Snapshots:
+    return Snapshots(levels_table(path), ("symbol", "side", "price"), "ptime")
+
+
+def snapshot_stream_levels(spark: SparkSession, path: str, day: dt.date, upto: int) -> None:
+    """Keep the book as it was at the start of ``day``, as batches up to ``upto`` tell it."""
+    book_snapshots(path).take(spark, day, upto)
+
+
+def read_stream_book(spark: SparkSession, path: str, finish: dt.datetime | str) -> DataFrame:
+    """The book at ``finish``: the latest level per (symbol, side, price), removed ones (volume 0) included.
+
+    It reads the last snapshot before ``finish``, the days from it on and the levels that came late, and equals the
+    reduction of all levels up to ``finish``, so ``support_levels`` may be given either.
+    """
+    return book_snapshots(path).at(spark, finish)
+
+
 def stream_bars(
     messages: DataFrame,
     path: str,
