@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -492,6 +493,32 @@ def test_short_values_after_a_key_word_are_candidates(spark):
     assert {(r.doc_id, r.candidate) for r in found if r.secret and r.doc_id < 1000} == {(i, values[i][0]) for i in range(3)}
 
 
+def test_long_runs_beside_a_key_word(spark):
+    """Two megabytes of key characters next to names of secrets take seconds, and hide nothing behind them."""
+    run, token = "aB3" * 350_000, "token" * 70_000
+    texts = [f"the author {run} \"ab c\" api_key = \"k.1!x2\" end", f"{token} = z, {run}= password: \"s.3!cr\" x", "x_" * 40 + 'token="a.b!c9"']
+    started = time.time()
+    found = found_in(spark, *texts)
+    rows = secrets.with_features(secrets.candidates(data.documents(spark, list(enumerate(texts)))), ["abcd", "ab3a"])
+    assert {r.length: round(r.coverage, 3) for r in rows.collect()}[len(run)] == 0.333
+    assert [r.candidate[:9] for r in found[0]] == [run[:9], "k.1!x2"] and found[0][0].candidate == run
+    assert [r.candidate[:9] for r in found[1]] == [token[:9], run[:9], "s.3!cr"]
+    assert [r.candidate for r in found[2]] == ["a.b!c9"]
+    assert time.time() - started < 60
+
+
+def test_secret_scores_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(300):
+        key = "".join(rng.choice(list("0123456789abcdef"), 32)) if i % 3 else "0f" * 16
+        lead = ("token = ", "see the page ", "secret: ", "in ")[i % 4]
+        rows.append((i, f"{data.prose(i, 12)} {lead}\"{key}\" {data.prose(500 + i, 9)} {'internationalisation' * (1 + i % 3)}"))
+    docs = data.documents(spark, rows)
+    scans = [sorted((r.doc_id, r.word_at, r.score) for r in secrets.secret_scan(docs.repartition(n)).collect()) for n in (1, 7)]
+    assert scans[0] == scans[1] and len({r[2] for r in scans[0]}) > 1
+
+
 def test_contamination_by_an_item_without_id(spark, monkeypatch):
     passage = " ".join(f"alpha{i}" for i in range(14))
     docs = data.documents(spark, [(1, f"so {passage} it is"), (2, f"{passage} {data.PASSAGE}"), (3, "none of them")])

@@ -16,6 +16,9 @@ LEAST_VALUE = 6
 DICTIONARY_WORDS = 5_000
 GRAM = 4
 TRAIN_ROWS = 20_000
+TRAIN_PARTS = 8
+NAME_PART = 100
+NEAR = 2 * NAME_PART + 40
 TREES = 24
 DEPTH = 6
 KEEP_FROM = 0.5
@@ -30,8 +33,11 @@ _BLOCK = (
     "(-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----|\\G(?!\\A)[A-Za-z0-9+/=:,-]++)((?:\\s|\\\\[nr])++)(?!-----)(?=[A-Za-z0-9+/=:,-])"
 )
 _LINE = "(?<=" + _MARK + ")[A-Za-z0-9+/=]+(?![A-Za-z0-9+/=:,-])"
-# A value after the name of a secret: any visible characters, to its quote or to what ends an unquoted one.
-_NAME = "[A-Za-z0-9_]*?(?:" + KEY_WORDS.replace("|auth|", "|auth(?!ors?(?![A-Za-z]))|") + ")[A-Za-z0-9_.-]*+[\"'`\\\\)\\]]*+"
+# A value after the name of a secret: any visible characters, to its quote or to what ends an unquoted one. A name has
+# at most NAME_PART characters on either side of its key word, so that a long run is not searched from each of its places.
+_NAME = "[A-Za-z0-9_]{0,%d}?(?:%s)[A-Za-z0-9_.-]{0,%d}+[\"'`\\\\)\\]]{0,9}+" % (
+    NAME_PART, KEY_WORDS.replace("|auth|", "|auth(?!ors?(?![A-Za-z]))|"), NAME_PART
+)
 _SET = "(?:=>|:?={1,3}|:)"
 _GIVEN = "(?i:" + _NAME + "\\s*+(?:" + _SET + "\\s*+\\\\?[\"'`]?|(?<=\\s)[\"'`]))"
 _LEAD = "(?i)" + _NAME + " ?(?:" + _SET + " )?$"
@@ -68,7 +74,8 @@ def candidates(docs: DataFrame, path_col: str | None = "source") -> DataFrame:
 
     def joined(x: Column, i: Column) -> Column:
         """The word, after the name in front of it if it holds the value."""
-        lead = F.regexp_extract(F.concat_ws(" ", before(i, 3), before(i, 2), before(i, 1), F.lit("")), _LEAD, 0)
+        tail = F.right(F.concat_ws(" ", *[F.right(before(i, n), F.lit(NEAR)) for n in (3, 2, 1)], F.lit("")), F.lit(NEAR))
+        lead = F.regexp_extract(tail, _LEAD, 0)
         near = before(i, 1).rlike("[:=>]$") | x.rlike("^[\"'`:=]")
         whole = F.when(keyed & (F.octet_length(x) >= LEAST_VALUE) & near, F.concat(lead, x))
         return F.when(whole.rlike("^" + _GIVEN + _VALUE), whole).otherwise(x)
@@ -136,8 +143,9 @@ def with_features(found: DataFrame, parts: list[str]) -> DataFrame:
     c = F.col("candidate")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]", "a"), "[A-Z]", "B"), "[0-9]", "0")
     kinds = F.regexp_replace(kinds, "[^aB0]", "s")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - GRAM + 1, F.lit(1))), lambda i: F.lower(F.substring(c, i, F.lit(GRAM))))
-    covered = F.size(F.filter(grams, lambda g: g.isin(parts))) / F.size(grams) if parts else F.lit(0.0)
+    # all runs of GRAM characters in one pass: a substring by place would start over at each
+    grams = F.transform(F.regexp_extract_all(c, F.lit("(?s)(?=(.{%d}))" % GRAM), F.lit(1)), F.lower)
+    covered = F.size(F.filter(grams, lambda g: g.isin(parts))) / F.greatest(F.size(grams), F.lit(1)) if parts else F.lit(0.0)
     near = F.concat_ws(" ", "before2", "before", "prefix")
     block = F.col("prefix").endswith(_MARK)
     path = F.coalesce("path", F.lit(""))
@@ -179,12 +187,16 @@ def labelled(found: DataFrame) -> DataFrame:
 def train_forest(features: DataFrame, rows: int = TRAIN_ROWS) -> PipelineModel | None:
     """Fit the forest on labelled findings (a ``label`` column); ``rows`` bounds those of each label.
 
-    Of more, the findings whose candidates hash lowest. None if one of the labels is missing.
+    Of more, the findings whose candidates hash lowest. None if one of the labels is missing. Of findings with one
+    candidate the least features count, and rows are dealt out and ordered by candidate, so the forest is the same
+    however the documents are partitioned.
     """
-    parts = [sampled(features.where(F.col("label") == v).dropDuplicates(["candidate"]), rows, "candidate") for v in (0.0, 1.0)]
-    train = written(parts[0].union(parts[1]).select(*FEATURES, "label"), "findings")
-    if train.select("label").distinct().count() < 2:
+    least = features.groupBy("label", "candidate").agg(F.min(F.struct(*FEATURES)).alias("f"))
+    parts = [sampled(least.where(F.col("label") == v), rows, "candidate") for v in (0.0, 1.0)]
+    found = written(parts[0].union(parts[1]).select("candidate", "label", "f.*"), "findings")
+    if found.select("label").distinct().count() < 2:
         return None
+    train = found.repartition(TRAIN_PARTS, "candidate").sortWithinPartitions("candidate", "label")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, maxMemoryInMB=64)
     return PipelineModel([assembler, forest.fit(assembler.transform(train))])
