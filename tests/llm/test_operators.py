@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -385,9 +386,35 @@ def test_quality(spark, docs, none, sf_dir):
     assert quality.quality_scores(none, model).collect() == []
 
 
-def test_quality_never_sees_the_held_out_fold(spark):
-    import zlib
+def test_quality_shards_are_fitted_each(spark, monkeypatch):
+    """Six shards: one model and one task each, averaged by rows; the same for any partitions of the input."""
+    monkeypatch.setattr(quality, "SHARD_ROWS", 20)
+    rows = [(i, data.prose(i, 5 + i % 9)) for i in range(160) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = data.documents(spark, rows)
+    shards = round(len(rows) / 20)
+    assert shards == 6
+    at = {r.doc_id: (r.a, r.t) for r in docs.selectExpr("doc_id", "xxhash64(doc_id) AS a", "xxhash64(text) AS t").collect()}
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
+    expected, bias, features = np.zeros(1 << quality.BITS), 0.0, quality.Features()
+    for shard in range(shards):
+        part = sorted((at[i], i, text) for i, text in rows if at[i][0] % shards == shard)
+        kept = []
+        for _, i, text in part:
+            index, values = features(text)
+            kept.append((index, values.astype(np.float32), float(i % 2)))
+        one = quality.ftrl(kept, quality.EPOCHS)
+        expected += one.weights * (len(part) / len(rows))
+        bias += one.bias * (len(part) / len(rows))
+    for n in (1, 5):
+        model = quality.train_quality(docs.repartition(n), labels)
+        assert np.allclose(model.weights, expected, atol=1e-5) and abs(model.bias - bias) < 1e-9
+    dealt = docs.selectExpr("text", "0 AS label", "xxhash64(doc_id) AS at", f"CAST(pmod(xxhash64(doc_id), {shards}) AS INT) AS shard")
+    tasks = quality.fitted_shards(dealt, shards).selectExpr("shard", "spark_partition_id() AS task").collect()
+    assert sorted(r.shard for r in tasks) == list(range(shards)) and len({r.task for r in tasks}) == shards
+    assert features.chunks and features("\u6f22" * 20_000)[0].size and max(map(len, features.chunks)) <= quality.CACHED_CHUNK
 
+
+def test_quality_never_sees_the_held_out_fold(spark):
     rows = [(i, "good words here" if i % 2 else "bad junk !!") for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
     model = quality.train_quality(data.documents(spark, rows), labels)

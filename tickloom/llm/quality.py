@@ -17,7 +17,8 @@ BITS = 18
 MAX_TRAIN_ROWS = 24_000
 SHARD_ROWS = 4_000
 EPOCHS = 5
-CACHED = 400_000
+CACHE_BYTES = 96 << 20
+CACHED_CHUNK = 100
 SAME = np.uint64(1)
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -35,12 +36,17 @@ class Features:
 
     def __init__(self) -> None:
         self.chunks: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
     def tokens(self, chunk: str) -> tuple[int, ...]:
+        """Token hashes of a word; kept while all that is kept takes about CACHE_BYTES, but not for long words."""
         found = tuple(zlib.crc32(t.encode("utf-8", "replace")) for t in _TOKEN.findall(chunk.lower()))
-        if len(self.chunks) > CACHED:
-            self.chunks.clear()
-        self.chunks[chunk] = found
+        if len(chunk) <= CACHED_CHUNK:
+            if self.held > CACHE_BYTES:
+                self.chunks.clear()
+                self.held = 0
+            self.chunks[chunk] = found
+            self.held += 200 + 4 * len(chunk) + 40 * len(found)
         return found
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +95,8 @@ def train_quality(
     """Fit on labelled documents outside the held-out fold (crc32 of the id mod ``held_out[0]`` equal to the other).
 
     ``max_rows`` bounds the labelled rows used: of more, those whose ids hash lowest. The rows are dealt to shards of
-    about SHARD_ROWS, each fits a model, and the models are averaged: what reaches the driver is one weight vector per
-    shard. Labels that repeat count once; ids with contradictory labels, NULL ids and NULL labels are left out. Without
+    about SHARD_ROWS, each fits a model, and the models are averaged by their rows: what reaches the driver is one weight
+    vector per shard. Labels that repeat count once; ids with contradictory labels, NULL ids and NULL labels are left out. Without
     labelled rows all weights are 0, so every score is 0.5.
     """
     modulus, fold = held_out
@@ -103,31 +109,50 @@ def train_quality(
     )
     known = sampled(known, max_rows, "doc_id")
     shards = max(1, round(known.count() / SHARD_ROWS))
-    rows = (
+    dealt = (
         docs.select("doc_id", "text")
         .join(F.broadcast(known), "doc_id")  # at most about max_rows rows of two numbers
         .select("text", "label", F.xxhash64("doc_id").alias("at"))
-        .repartition(shards, F.pmod("at", F.lit(shards)))
-        .sortWithinPartitions("at", F.xxhash64("text"))
+        .withColumn("shard", F.pmod("at", F.lit(shards)).cast("int"))
     )
+    fitted = fitted_shards(dealt, shards).collect()
+    total = sum(r.rows for r in fitted)
+    weights, bias = np.zeros(1 << BITS), 0.0
+    for r in sorted(fitted, key=lambda r: r.shard):
+        weights += np.frombuffer(r.weights, np.float32) * (r.rows / total)
+        bias += r.bias * (r.rows / total)
+    return Model(weights.astype(np.float32), bias)
+
+
+def fitted_shards(dealt: DataFrame, shards: int) -> DataFrame:
+    """(shard, rows, weights, bias): one model for each ``shard`` of (text, label, at, shard), each in a task of its own.
+
+    A shard is fitted by itself even where a partition should hold several of them.
+    """
+    rows = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "at", F.xxhash64("text"))
 
     def fit(batches):
-        features, kept = Features(), []
+        features, kept, current = Features(), [], None
+
+        def model():
+            fitted = ftrl(kept, EPOCHS)
+            columns = [[current], [len(kept)], [fitted.weights.tobytes()], [fitted.bias]]
+            types = [pa.int32(), pa.int64(), pa.binary(), pa.float64()]
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, ["shard", "rows", "weights", "bias"])
+
         for batch in byte_slices(batches):
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, label, shard in zip(*(batch.column(n).to_pylist() for n in ("text", "label", "shard")), strict=True):
+                if shard != current:
+                    if kept:
+                        yield model()
+                    current, kept = shard, []
                 index, values = features(text)
                 kept.append((index.astype(np.int32), values.astype(np.float32), float(label)))
         if kept:
-            model = ftrl(kept, EPOCHS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([model.weights.tobytes()]), pa.array([model.bias])], ["weights", "bias"]
-            )
-
-    fitted = rows.mapInArrow(fit, "weights binary, bias double").collect()
-    if not fitted:
-        return Model(np.zeros(1 << BITS, np.float32), 0.0)
-    weights = np.mean([np.frombuffer(r.weights, np.float32) for r in fitted], axis=0, dtype=np.float64)
-    return Model(weights.astype(np.float32), float(np.mean([r.bias for r in fitted])))
+            yield model()
+
+    return rows.mapInArrow(fit, "shard int, rows bigint, weights binary, bias double")
 
 
 def quality_scores(docs: DataFrame, model: Model, threshold: float = 0.7, held_out: tuple[int, int] = (4, 2)) -> DataFrame:
