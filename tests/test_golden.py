@@ -14,7 +14,8 @@ from tests.helpers import START_MS, bar, bars_frame, random_rows
 from tickloom import schemas as S
 from tickloom.functions import signals, times
 from tickloom.operators import crossover, windows
-from tickloom.operators.bars import first_n_from, price_vol_window, resample_by_count
+from tickloom.operators.bars import first_n_from, price_vol_parts, price_vol_window, resample_by_count
+from tickloom.operators.blocks import Blocks
 from tickloom.operators.book import price_chunk
 from tickloom.operators.stats import volume_average
 
@@ -224,10 +225,29 @@ def test_volume_average_of_nothing(spark):
     assert volume_average(empty).first()[0] == 0.0
 
 
-def test_first_n_beyond_the_group_limit(spark):
-    rows = [bar("X", "1s", START_MS + i * 1000, 1, 1) for i in range(1500)]
+@pytest.mark.parametrize("n", [1, 7, 8, 9, 40, 250, 1200, 5000])
+def test_first_n_by_position(spark, n):
+    """Chunks of eight bars, series with gaps and without, of a bar and of none after the start."""
+    series = random_rows(9, {"A": 300, "B": 20, "C": 1}) + [bar("D", "1s", START_MS + i * 1000, 1, 1) for i in range(1500)]
     start = times.as_utc("1970-01-01") + dt.timedelta(milliseconds=START_MS + 10_000)
-    got = first_n_from(bars_frame(spark, rows), start, 1200)
-    assert got.agg(F.count("*"), F.min("open_time"), F.max("row_number")).first() == (1200, START_MS + 10_000, 1200)
-    text = price_vol_window(bars_frame(spark, rows), start, 3).first().price_vol_window
-    assert text == "1.(1), 1.(1), 1.(1)"
+    opened, expected = S.BARS.names.index("open_time"), []
+    for symbol in "ABCD":
+        run = sorted(r for r in (r[opened] for r in series if r[0] == symbol) if r >= START_MS + 10_000)
+        expected += [(symbol, at, k + 1) for k, at in enumerate(run[:n])]
+    bars, blocks = bars_frame(spark, series), Blocks(chunk_rows=8)
+    got = first_n_from(bars, start, n, blocks=blocks)
+    assert got.columns == [*S.BARS.names, "row_number"]
+    assert sorted(map(tuple, got.select("symbol", "open_time", "row_number").collect())) == expected
+    parts = price_vol_parts(bars, start, n, part_rows=5, blocks=blocks).orderBy("symbol", "part").collect()
+    whole = {r.symbol: r.price_vol_window for r in price_vol_window(bars, start, n, blocks=blocks).collect()}
+    assert whole == {s: ", ".join(r.price_vol_window for r in parts if r.symbol == s) for s in whole}
+    assert max(r.price_vol_window.count("(") for r in parts) <= 5
+    assert {s: t.count("(") for s, t in whole.items()} == {s: sum(e[0] == s for e in expected) for s in whole}
+    assert whole["D"] == ", ".join(["1.(1)"] * min(n, 1490))
+
+
+def test_first_n_shuffles_no_later_chunk(spark):
+    bars = bars_frame(spark, [bar("X", "1s", START_MS + i * 1000, 1, 1) for i in range(10)])
+    plans = [first_n_from(bars, "2001-01-01", n)._jdf.queryExecution().executedPlan().toString() for n in (5, 100_000)]
+    assert all("WindowGroupLimit" not in p and "_chunk" in p for p in plans)
+    assert plans[0].count("Window [") == plans[1].count("Window [") == 2  # over the counts, and within a chunk

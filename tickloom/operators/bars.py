@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.signals import format_price_volume
 from tickloom.functions.times import start_of_period, to_epoch_ms, ts_to_ms
-from tickloom.operators.blocks import DEFAULT_BLOCKS, SERIES, Blocks, with_position
+from tickloom.operators.blocks import DEFAULT_BLOCKS, SERIES, Blocks, first_rows, with_position
 from tickloom.operators.keyed import order_key
 from tickloom.schemas import (
     BARS,
@@ -20,9 +20,6 @@ from tickloom.schemas import (
     check_period,
 )
 
-# Default of spark.sql.optimizer.windowGroupLimitThreshold.
-GROUP_LIMIT = 1000
-
 SUMMED = (
     "volume",
     "quote_asset_volume",
@@ -187,31 +184,31 @@ def resample_by_count(
     return fold_positions(with_position(minute_bars, order=order, blocks=blocks), sizes)
 
 
-def first_n_from(bars: DataFrame, start: dt.datetime | str, n: int) -> DataFrame:
-    """The first n bars of each series at or after ``start``, with their ``row_number``.
+def first_n_from(bars: DataFrame, start: dt.datetime | str, n: int, *, blocks: Blocks = DEFAULT_BLOCKS) -> DataFrame:
+    """The first n bars of each series at or after ``start``, with their ``row_number``; for any n by one plan."""
+    return first_rows(bars.filter(F.col("open_time") >= to_epoch_ms(start)), n, blocks=blocks)
 
-    Up to ``GROUP_LIMIT`` Spark limits each group to n rows before the shuffle
-    (window group limit), so a hot series sends n rows per input task, not all of
-    them. Longer runs are cut by position, block by block.
-    """
-    recent = bars.filter(F.col("open_time") >= to_epoch_ms(start))
-    if n > GROUP_LIMIT:
-        numbered = with_position(recent, name="row_number")
-        return numbered.withColumn("row_number", (F.col("row_number") + 1).cast("int")).filter(
-            F.col("row_number") <= n
-        )
-    ranked = recent.withColumn(
-        "row_number", F.row_number().over(Window.partitionBy(*SERIES).orderBy("open_time"))
+
+def price_vol_parts(
+    bars: DataFrame, start: dt.datetime | str, n: int, *, part_rows: int = 4096, blocks: Blocks = DEFAULT_BLOCKS
+) -> DataFrame:
+    """``close(volume), ...`` of the first n bars from ``start`` in texts of ``part_rows`` bars, numbered from 0 by ``part``."""
+    head = first_n_from(bars, start, n, blocks=blocks).select(
+        *SERIES,
+        F.floor((F.col("row_number") - 1) / part_rows).alias("part"),
+        "row_number",
+        format_price_volume(F.col("close_price"), F.col("volume")).alias("_text"),
     )
-    return ranked.filter(F.col("row_number") <= n)
+    pairs = F.array_sort(F.collect_list(F.struct("row_number", "_text")))
+    text = F.array_join(F.transform(pairs, lambda p: p["_text"]), ", ")
+    return head.groupBy(*SERIES, "part").agg(text.alias("price_vol_window"))
 
 
-def price_vol_window(bars: DataFrame, start: dt.datetime | str, n: int) -> DataFrame:
-    """``close(volume), ...`` of the first n bars from ``start`` as one text per series."""
-    head = first_n_from(bars, start, n).withColumn(
-        "_text", format_price_volume(F.col("close_price"), F.col("volume"))
-    )
-    pairs = F.array_sort(F.collect_list(F.struct("open_time", "_text")))
-    return head.groupBy(*SERIES).agg(
-        F.array_join(F.transform(pairs, lambda p: p["_text"]), ", ").alias("price_vol_window")
-    )
+def price_vol_window(bars: DataFrame, start: dt.datetime | str, n: int, *, blocks: Blocks = DEFAULT_BLOCKS) -> DataFrame:
+    """The parts of ``price_vol_parts`` as one text per series.
+
+    Such a text lies in one row, so it is for an n that a reader would look at; longer runs are read by part.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("part", "price_vol_window")))
+    text = F.array_join(F.transform(parts, lambda p: p["price_vol_window"]), ", ")
+    return price_vol_parts(bars, start, n, blocks=blocks).groupBy(*SERIES).agg(text.alias("price_vol_window"))

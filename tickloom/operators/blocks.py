@@ -173,6 +173,29 @@ def with_position(
     return cut.owned(cut.df.withColumn(name, cut.position))
 
 
+def first_rows(
+    df: DataFrame,
+    n: int,
+    *,
+    keys: Sequence[str] = SERIES,
+    order: Sequence[str] = ("open_time",),
+    chunk: Column | None = None,
+    name: str = "row_number",
+    blocks: Blocks = DEFAULT_BLOCKS,
+) -> DataFrame:
+    """The first ``n`` rows of each series in order, numbered from 1.
+
+    The chunk that holds the n-th row is found in the table of counts, chunks after it are not shuffled, and rows are
+    ranked within their chunk alone: any ``n`` costs one aggregation and a shuffle of n rows and one chunk a series.
+    """
+    chunk = bar_chunk(blocks) if chunk is None else chunk
+    reached = chunk_starts(df, keys, chunk).where(F.col("_start") < n).select(*keys, "_chunk", "_start")
+    rows = df.withColumn("_chunk", chunk).join(_stored(reached, blocks), [*keys, "_chunk"])
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    ranked = rows.withColumn(name, (F.col("_start") + F.row_number().over(inside)).cast("int"))
+    return ranked.where(F.col(name) <= n).drop("_chunk", "_start")
+
+
 def running_total(
     df: DataFrame,
     value: str,

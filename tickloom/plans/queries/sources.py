@@ -238,10 +238,12 @@ def upsert_book_levels(t: Tables):
 
 @query("append_signals", mac_sql("indicator_id, open_time, symbol, 5 AS period, volume, vol_avg, vol3_avg"))
 def append_signals(t: Tables):
+    """Two jobs, the first of them run twice: its first run held other rows, which the second replaces."""
     path = scratch_dir(t.spark, "signals")
-    for pair in PAIRS:
-        found = mac_signals(t.bars("1h"), [pair]).withColumn("period", F.lit(5))
-        storage.append_signals(found, path)
+    found = mac_signals(t.bars("1h"), PAIRS).withColumn("period", F.lit(5))
+    early = F.col("open_time") < 1705276800000
+    for job, rows in (("early", found.where(~early)), ("early", found.where(early)), ("late", found.where(~early))):
+        storage.append_signals(rows, path, job)
     return storage.read_signals(t.spark, path)
 
 

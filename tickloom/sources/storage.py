@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,8 @@ from pyspark.sql import types as T
 from tickloom.functions.times import to_epoch_ms
 from tickloom.operators.keyed import latest_per_key, upsert
 from tickloom.schemas import BAR_KEY, BARS, MINUTE_MS, SIGNALS, check_period
+from tickloom.sources.logged import path_exists
+
 
 def read_landed_text(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON documents, one per file, as ``value``."""
@@ -120,13 +124,28 @@ def scan_bars_lookback(
     return scan_bars(bars, period, start, as_of, symbol)
 
 
-def append_signals(signals: DataFrame, path: str) -> None:
-    """Append indicator signals, one directory per period."""
-    signals.select(*SIGNALS.names).write.mode("append").partitionBy("period").parquet(path)
+def append_signals(signals: DataFrame, path: str, run: str | None = None) -> None:
+    """Append the indicator signals of one job; a job repeated under the same ``run`` replaces its own rows.
+
+    Each attempt writes a directory of its own, by period, and ``path``_runs names the one that counts once it is
+    complete: readers never see half a job, and one that fails can be repeated. Without ``run`` every call is a new one.
+    """
+    attempt = uuid.uuid4().hex
+    run = run or attempt
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError(f"a run is named by letters, digits, '_', '.' and '-', not {run!r}")
+    signals.select(*SIGNALS.names).write.partitionBy("period").parquet(f"{path}/run={run}/attempt={attempt}")
+    counts = signals.sparkSession.range(1).select(F.lit(run).alias("run"), F.lit(attempt).alias("attempt"))
+    counts.write.mode("overwrite").parquet(f"{path}_runs/job={run}")
 
 
 def read_signals(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SIGNALS).parquet(path).select(*SIGNALS.names)
+    """The signals of the last complete attempt of every run."""
+    if not path_exists(spark, f"{path}_runs"):
+        return spark.createDataFrame([], SIGNALS)
+    counts = spark.read.schema("run string, attempt string").parquet(f"{path}_runs")
+    layout = T.StructType([*SIGNALS.fields, T.StructField("run", T.StringType()), T.StructField("attempt", T.StringType())])
+    return spark.read.schema(layout).parquet(path).join(counts, ["run", "attempt"], "left_semi").select(*SIGNALS.names)
 
 
 def write_batch(rows: DataFrame, path: str, batch: int) -> None:
