@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 import time
 import zlib
 from collections import Counter
@@ -546,6 +547,27 @@ def test_secret_scores_do_not_depend_on_partitions(spark):
     assert scans[0] == scans[1] and len({r[2] for r in scans[0]}) > 1
 
 
+def test_caches_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Long texts without spaces are whole pieces: what is kept stays at the bound and one slice, results are the same."""
+    bound = 1 << 20
+    for module in (token_counts, bpe, language):
+        monkeypatch.setattr(module, "CACHE_BYTES", bound)
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x4E80, 9_000))) + f" word{i} again" for i in range(150)]
+    lexicon = tmp_path / "lexicon"
+    lexicon.write_bytes(bpe.Transducer.compile([]))
+    merges = bpe.Merges(tokenizer("word_bpe_49k.json"))
+    model = language.train_language(spark.createDataFrame([(i, f"{data.prose(i, 30)}", "en") for i in range(40)], "doc_id bigint, text string, lang string"))
+    size = max(sys.getsizeof(t) + 4 * len(t) for t in texts) * 2
+    lengths, codec, scorer = token_counts.Lengths(tokenizer("byte_bpe_50k.json")), bpe.Codec(merges, bpe.Transducer(str(lexicon))), language.Scorer(model)
+    found = []
+    for text in [*texts, *texts[:3]]:
+        found.append((lengths.count([text]), codec.encode([text]), scorer.predict([text], 2.0)))
+        for cache, most in ((lengths.known, bound), (codec.known, bound), (codec.old, bound), (scorer.known, bound)):
+            assert sum(map(sys.getsizeof, cache)) <= most + size
+    assert found[-3:] == found[:3] and len(lengths.known) < 100 < len(texts)
+
+
 def test_contamination_by_an_item_without_id(spark, monkeypatch):
     passage = " ".join(f"alpha{i}" for i in range(14))
     docs = data.documents(spark, [(1, f"so {passage} it is"), (2, f"{passage} {data.PASSAGE}"), (3, "none of them")])

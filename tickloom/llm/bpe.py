@@ -17,12 +17,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import byte_slices
+from tickloom.llm.common import byte_slices, held_bytes
 from tickloom.session import scratch_dir
 
 LEXICON_WORDS = 150_000
 MAX_WORD_BYTES = 64
-CACHED = 250_000
+CACHE_BYTES = 56 << 20
 COUNTED = 300_000
 
 
@@ -235,13 +235,15 @@ class Transducer:
 class Codec:
     """Texts to little-endian ids and back; each distinct stretch between white space once while it is cached.
 
-    The cache has two generations: when the new one is full it becomes the old one, and what is met again moves back.
+    The cache has two generations: when the new one has CACHE_BYTES it becomes the old one, and what is met again moves
+    back.
     """
 
     def __init__(self, merges: Merges, lexicon: Transducer) -> None:
         self.merges, self.lexicon = merges, lexicon
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def learn(self, chunks) -> None:
         """Encode chunks: their words go through the transducer together, those it lacks are merged."""
@@ -266,12 +268,13 @@ class Codec:
                 if special is not None:
                     parts.append(special)
             cut.append(parts)
-        if len(self.known) > CACHED:
-            self.known, self.old = {}, self.known
+        if self.held > CACHE_BYTES:
+            self.known, self.old, self.held = {}, self.known, 0
         wanted = set().union(*(p for parts in cut for p in parts if not isinstance(p, int))) - self.known.keys()
         met = wanted & self.old.keys()
         self.known.update((c, self.old[c]) for c in met)
         self.learn(wanted - met)
+        self.held += held_bytes(wanted) + sum(len(self.known[c]) for c in wanted)
         known = self.known.__getitem__
         return [
             b"".join(struct.pack("<I", p) if isinstance(p, int) else b"".join(map(known, p)) for p in parts) for parts in cut

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,11 @@ def byte_slices(batches, column: int = 0, limit: int = SLICE_BYTES) -> Iterator[
             yield batch.slice(start, end - start)
 
 
+def held_bytes(texts) -> int:
+    """What texts take at most as keys of a cache; those beyond ASCII keep their UTF-8 form once it was asked for."""
+    return sum(sys.getsizeof(t) + 140 + (0 if t.isascii() else 4 * len(t)) for t in texts)
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus

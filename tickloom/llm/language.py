@@ -12,13 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import byte_slices, remainder, sampled
+from tickloom.llm.common import byte_slices, held_bytes, remainder, sampled
 
 BITS = 16
 MAX_TRAIN_ROWS = 16_000
 PENALTY = 6.0
 SCRIPT_SHARE = 0.02
-CACHED = 300_000
+CACHE_BYTES = 64 << 20
 SLICE = 4 << 20
 # First code points of script blocks, and the script that starts there.
 SCRIPTS = (
@@ -149,7 +149,7 @@ def train_language(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS, held_out: tu
 
 
 class Scorer:
-    """Rows of per-language scores by chunk of a text; cached chunks share one growing table."""
+    """Rows of per-language scores by chunk of a text; cached chunks share one growing table, emptied at CACHE_BYTES."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
@@ -157,6 +157,7 @@ class Scorer:
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
+        self.held = 0
         self.table = np.zeros((0, len(self.model.langs)), np.float32)
         self.weight = np.zeros(0, np.int32)
         self.seen = np.zeros(0, np.int32)
@@ -186,11 +187,12 @@ class Scorer:
     def predict(self, texts: list[str | None], penalty: float, with_spans: bool = True):
         """Language, share of letters and spans of each text."""
         langs = self.model.langs
-        if len(self.known) > CACHED:
+        if self.held > CACHE_BYTES:
             self.reset()
         cut = [t.split() if t and langs else [] for t in texts]
         if new := set().union(*cut) - self.known.keys():
             self.learn(sorted(new))
+            self.held += held_bytes(new)
         known = self.known.__getitem__
         rows = [np.fromiter(map(known, chunks), np.int32, len(chunks)) for chunks in cut]
         ends = np.cumsum([len(r) for r in rows], dtype=np.int64)

@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import byte_slices
+from tickloom.llm.common import byte_slices, held_bytes
 
 PIECE_BYTES = 1 << 19
-CACHED = 400_000
+CACHE_BYTES = 80 << 20
 
 # A single space between two visible characters always starts a pre-token of a byte-level tokenizer, and no
 # special string holds a space, so a text can be cut before it.
@@ -30,7 +30,10 @@ def pieces(text: str) -> list[str]:
 
 
 class Lengths:
-    """Token counts of pieces, encoded in batches of about equal bytes; each distinct piece once while it is cached."""
+    """Token counts of pieces, encoded in batches of about equal bytes; each distinct piece once while it is cached.
+
+    The cache is emptied before it takes more than CACHE_BYTES and the pieces of one slice of texts.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -40,11 +43,14 @@ class Lengths:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, int] = {}
+        self.held = 0
 
     def learn(self, new) -> None:
-        if len(self.known) > CACHED:
+        if self.held > CACHE_BYTES:
             self.known.clear()
+            self.held = 0
             return
+        self.held += held_bytes(new)
         batch, held = [], 0
         for piece in new:
             batch.append(piece)
