@@ -372,7 +372,9 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, lexicon_words: int = LEXICON
                 "decoded_sha256": pa.array([digest(x.encode()) for x in decoded], pa.string()),
             }
             if keep_ids:
-                columns["ids"] = pa.array([np.frombuffer(x, "<u4").tolist() for x in found], pa.list_(pa.int64()))
+                starts = np.cumsum([0, *[len(x) // 4 for x in found]], dtype=np.int64).astype(np.int32)
+                every = pa.array(np.frombuffer(b"".join(found), "<u4").astype(np.int64))
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(starts), every)
                 columns["decoded"] = pa.array(decoded, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
