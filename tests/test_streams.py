@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -131,6 +132,61 @@ def test_alert_stream_fires_once(spark, tmp_path):
     assert [r.id for r in alerts_hit(held, newest).collect()] == [2]
 
 
+def test_alerts_wait_by_threshold(spark, tmp_path):
+    """Random prices and alerts, added and removed on the way: as if every alert were tested in every batch."""
+    rng, at, path, landed = random.Random(7), as_utc("2024-01-01"), str(tmp_path / "out"), str(tmp_path / "in")
+    schema = "symbol string, price decimal(18,8), seq bigint"
+    table, current, gone, expected, last_id = {}, {}, set(), {}, 0
+    for number in range(5):
+        for _ in range(60):
+            last_id += 1
+            price = rng.choice([rng.uniform(-1, 3), rng.uniform(0, 2000), 9.0, 10.0, 1e-12, 1e300, float("inf")])
+            table[last_id] = (last_id, 1, rng.choice("ABC"), price, rng.randrange(2), at, rng.choice([at, at, at, None]))
+        for i in rng.sample(sorted(table), 10 if number else 0):
+            del table[i]
+        ticks = [(s, Decimal(rng.choice(["0", "0.5", "1", "2.5", "9", "10", "900", "1500"])), 10 * number + k) for k, s in enumerate("AB" if number % 2 else "ABC")]
+        ticks.append(("A", None, 10 * number + 9))
+        current |= {s: float(p) for s, p, _ in ticks if p is not None}
+        for i, _, s, price, kind, _, since in table.values():
+            if since and i not in gone and s in current and (price >= current[s] if kind == 0 else price <= current[s]):
+                expected[i] = current[s]
+                gone.add(i)
+        spark.createDataFrame(ticks, schema).coalesce(1).write.mode("append").parquet(landed)
+        held = spark.createDataFrame(list(table.values()), S.ALERTS)
+        stream = spark.readStream.schema(schema).parquet(landed)
+        alert_jobs.stream_alerts(stream, lambda: held, path, ingest_order=["seq"]).awaitTermination()
+        if number in (1, 3):
+            before = rows(alert_jobs.waiting_alerts(spark, path).select("id"))
+            alert_jobs.compact_alerts(spark, path, number)
+            assert rows(alert_jobs.waiting_alerts(spark, path).select("id")) == before
+    fired = alert_jobs.fired_alerts(spark, path).collect()
+    assert {r.id: float(r.last_price) for r in fired} == expected and len(fired) == len(expected)
+    left = {r.id for r in alert_jobs.waiting_alerts(spark, path).collect()}
+    assert {i for i, r in table.items() if r[6] and i not in gone} <= left and not left & gone
+
+
+def test_bands_rise_with_prices(spark):
+    rng = random.Random(3)
+    prices = sorted([0.0, -1.0, 1e-9, 1e20, 1e300, float("inf"), *[m * 10.0**e for e in range(-12, 22) for m in (1, 0.9999999999999999, 2, 3, 9)], *[10 ** rng.uniform(-10, 21) for _ in range(500)]])
+    found = [r.b for r in spark.createDataFrame([(p,) for p in prices], "p double").select(alert_jobs.price_band(F.col("p")).alias("b")).collect()]
+    assert found == sorted(found) and found[0] == alert_jobs.FIRST_BAND and found[-1] == alert_jobs.LAST_BAND
+
+
+def test_alerts_read_the_bands_that_were_crossed(spark, tmp_path):
+    path, at = str(tmp_path / "out"), as_utc("2024-01-01")
+    table = alert_jobs.waiting_table(path)
+    held = [(i, 1, "A", float(i), i % 2, at, at, True) for i in range(1, 1000)]
+    table.append(spark.createDataFrame(held, alert_jobs.WAITING), 0)
+    moves = spark.createDataFrame([("A", Decimal(51), Decimal(45))], "symbol string, last_price decimal(18,8), before decimal(18,8)")
+    kept = table.read(spark, alert_jobs.bands_crossed(moves))
+    assert {r.id for r in kept.collect()} == {i for i in range(40, 60) if i % 2 == 1}
+    found = alert_jobs.thresholds_crossed(kept.drop("waits"), moves)
+    assert {r.id for r in found.collect()} == {47, 49, 51}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan" in x]
+    assert scans and all(re.search(r"PartitionFilters: \[[^\]]*side#", x) and "archive" not in x for x in scans)
+
+
 def signals_of(spark, minutes, pairs, sizes):
     """The batch job's result over all minutes at once."""
     folded = bar_ops.resample_by_count(minutes, sizes)

@@ -182,6 +182,37 @@ def stream_alerts(t: Tables):
     return alert_jobs.fired_alerts(t.spark, path)
 
 
+MOVES_SQL = """SELECT k, symbol, arg_max(price, row(id % 3, ts, id)) AS price
+FROM ticks JOIN (SELECT unnest([0, 1, 2]) AS k) ON id % 3 <= k GROUP BY k, symbol"""
+HIT_IN_TURN_SQL = """SELECT * EXCLUDE (k, first_k) FROM (
+  SELECT a.*, m.price AS last_price, m.k, min(m.k) OVER (PARTITION BY a.id) AS first_k
+  FROM alerts a JOIN moves m USING (symbol)
+  WHERE active_since IS NOT NULL AND 3 * a.id <= (m.k + 1) * (SELECT max(id) FROM alerts)
+    AND CASE kind WHEN 0 THEN m.price - a.price WHEN 1 THEN a.price - m.price END <= 0)
+WHERE k = first_k"""
+
+
+@query(
+    "stream_alerts_moves",
+    with_ctes(ARCHIVE_SQL, "alerts", "ticks", extra={"moves": MOVES_SQL, "hit": HIT_IN_TURN_SQL}),
+)
+def stream_alerts_moves(t: Tables):
+    """Prices that move over three batches while alerts are added; those that wait are compacted in between."""
+    landed, path = scratch_dir(t.spark, "ticks"), scratch_dir(t.spark, "stream-alerts")
+    ticks = t.ticks.select("symbol", "price", "ts", "id")
+    last_id = t.alerts.agg(F.max("id")).first()[0] or 0
+    for number in range(3):
+        ticks.where(F.col("id") % 3 == number).coalesce(1).write.mode("append").parquet(landed)
+        stream = t.spark.readStream.schema(ticks.schema).parquet(landed)
+        alerts = t.alerts.where(3 * F.col("id") <= last_id * (number + 1))
+        alert_jobs.stream_alerts(
+            stream, lambda held=alerts: held, path, ingest_order=["ts", "id"], triggered_at=AS_OF_EVENTS
+        ).awaitTermination()
+        if number == 1:
+            alert_jobs.compact_alerts(t.spark, path, number)
+    return alert_jobs.fired_alerts(t.spark, path)
+
+
 def _stream_signals_sql() -> str:
     sizes = S.SIGNAL_PERIOD_MINUTES
     window = "(PARTITION BY symbol, size ORDER BY bar_index ROWS BETWEEN {} PRECEDING AND {})"

@@ -33,6 +33,9 @@ class LoggedTable:
     Rows of a key are reduced to one by ``combine`` (given the rows with their ``batch``); by default the newest
     batch's row wins. Combining must not depend on how often or in which groups rows are combined. A batch holds a key
     at most once, or ``combine`` reduces such rows as well.
+
+    ``live`` is a condition on a row's columns: rows for which it does not hold say that their key is gone. Reads leave
+    them out, and a compaction does so for good. Within a file rows are in the order of ``order``, by default of the keys.
     """
 
     path: str
@@ -40,6 +43,8 @@ class LoggedTable:
     keys: tuple[str, ...]
     parts: dict[str, Column]
     combine: Callable[[DataFrame], DataFrame] | None = None
+    live: Column | None = None
+    order: tuple[str, ...] = ()
 
     def _layout(self, spark: SparkSession) -> T.StructType:
         probe = spark.createDataFrame([], self.schema).select(*[c.alias(n) for n, c in self.parts.items()])
@@ -57,6 +62,8 @@ class LoggedTable:
     def append(self, rows: DataFrame, batch: int) -> None:
         """Write one batch to its own directory; a replay of the batch replaces it."""
         placed = rows.select(*self.schema.names).withColumns(self.parts)
+        if self.order:
+            placed = self._ordered(placed)
         placed.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}/batch={batch}")
 
     def batches(self, spark: SparkSession, where: Column) -> DataFrame | None:
@@ -70,12 +77,20 @@ class LoggedTable:
         newest = marks.agg(F.max("upto")).first()[0] if marks is not None else None
         return -1 if newest is None else newest
 
+    def _ordered(self, placed: DataFrame) -> DataFrame:
+        order = [*self.parts, *[k for k in self.order or self.keys if k not in self.parts]]
+        return placed.repartitionByRange(*order).sortWithinPartitions(*order)
+
     def read(self, spark: SparkSession, where: Column | None = None, before: int | None = None) -> DataFrame:
         """One row per key; ``where`` is a condition on partition columns, ``before`` leaves out batches from there on.
 
         Rows of compacted partitions are unique already: only those of later batches are combined among themselves,
         and keys that these bring anew replace or meet the compacted row.
         """
+        rows = self._read(spark, where, before)
+        return rows if self.live is None else rows.where(self.live)
+
+    def _read(self, spark: SparkSession, where: Column | None, before: int | None) -> DataFrame:
         upto = self.compacted_to(spark)
         if before is not None and upto >= before:
             raise ValueError(f"batches up to {upto} are compacted; the table as of batch {before} is gone")
@@ -123,8 +138,7 @@ class LoggedTable:
             return
         touched = tail.where((F.col("batch") > last) & (F.col("batch") <= upto)).select(*self.parts).distinct()
         found = self.read(spark, before=upto + 1).withColumns(self.parts).join(touched, list(self.parts), "left_semi")
-        order = [*self.parts, *[k for k in self.keys if k not in self.parts]]
-        placed = found.repartitionByRange(*order).sortWithinPartitions(*order)
+        placed = self._ordered(found)
         placed.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}_base/upto={upto}")
         touched.write.mode("overwrite").parquet(f"{self.path}_marks/upto={upto}")
 
