@@ -547,6 +547,17 @@ def test_secret_scores_do_not_depend_on_partitions(spark):
     assert scans[0] == scans[1] and len({r[2] for r in scans[0]}) > 1
 
 
+def test_shingles_do_not_depend_on_the_cache_and_its_bytes_are_bounded(monkeypatch):
+    texts = [" ".join("中" * 4000 + str(10 * k + w) for w in range(6)) for k in range(60)]
+    bound = 1 << 20
+    monkeypatch.setattr(near_dups, "CACHE_BYTES", bound)
+    shingles = near_dups.Shingles()
+    with np.errstate(over="ignore"):
+        for text in [*texts, *texts]:
+            assert np.array_equal(shingles(text), near_dups.Shingles()(text))
+            assert sum(map(sys.getsizeof, shingles.words)) <= bound + 2 * len(text.encode())
+
+
 def test_caches_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     """Long texts without spaces are whole pieces: what is kept stays at the bound and one slice, results are the same."""
     bound = 1 << 20

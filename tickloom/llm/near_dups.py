@@ -21,7 +21,8 @@ PIVOTS = 4096  # a bucket of as many vertices is settled in two rounds
 SKETCH_BITS = 64
 SKETCH_APART = 18
 PARITY_BITS = 512
-CACHED = 500_000
+CACHE_BYTES = 80 << 20
+WORD_BYTES = 170  # what a cached word takes beside its own bytes
 ROWS_AT_ONCE = 8192
 SKETCH = [*[f"s{i}" for i in range(SKETCH_BITS // 64)], *[f"p{i}" for i in range(PARITY_BITS // 64)]]
 _U = np.uint64
@@ -39,10 +40,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingles:
-    """Distinct 64-bit hashes of the shingles of a text, in ascending order."""
+    """Distinct 64-bit hashes of the shingles of a text, in ascending order.
+
+    Hashes of words are kept from text to text; beyond CACHE_BYTES those of the last text alone are.
+    """
 
     def __init__(self) -> None:
         self.words: dict[bytes, int] = {}
+        self.held = 0
 
     def __call__(self, text: str | None) -> np.ndarray:
         # bytes.lower() folds A-Z only, bytes.split() parts at the six ASCII white-space codes only
@@ -52,9 +57,12 @@ class Shingles:
         if len(words) < SHINGLE_WORDS:
             return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=1)], np.uint64)
         known = self.words
-        if len(known) > CACHED:
+        if self.held > CACHE_BYTES:
             known.clear()
-        for word in set(words).difference(known):
+            self.held = 0
+        new = set(words).difference(known)
+        self.held += sum(map(len, new)) + WORD_BYTES * len(new)
+        for word in new:
             known[word] = xxhash.xxh64_intdigest(word)
         ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = len(ids) - SHINGLE_WORDS + 1
