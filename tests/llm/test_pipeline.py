@@ -32,8 +32,8 @@ def test_stages(spark, sf_dir):
     expected = set()
     for i, text in rows:
         ids = library.encode(pii.redacted(text, pii.all_spans(text, field)[1]), add_special_tokens=False).ids
-        expected.add((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), tuple(ids)))
-    found = {(r.doc_id, r.n_tokens, r.ids_sha256, tuple(r.ids)) for r in corpus_pipeline.run(spark, sf_dir).collect()}
+        expected.add((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), np.array(ids, "<u4").tobytes()))
+    found = {(r.doc_id, r.n_tokens, r.ids_sha256, bytes(r.packed_ids)) for r in corpus_pipeline.run(spark, sf_dir).collect()}
     assert found == expected
 
 
