@@ -39,8 +39,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and digests of the round trip."""
-    return bpe.bpe_round_trip(docs, tokenizer("word_bpe_49k.json"), keep_ids=True).drop("decoded")
+    """Token ids of each document, packed, and digests of the round trip."""
+    return bpe.bpe_round_trip(docs, tokenizer("word_bpe_49k.json"), pack_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
