@@ -69,9 +69,9 @@ FROM (SELECT symbol, CAST(volume AS HUGEINT) * 1000000000000000 * CAST(close_pri
     ),
 )
 def stats_large_volumes(t: Tables):
-    """Volumes to 1e19."""
+    """Volumes of 1e19 and more: those of a day of many ticks lie beyond the type of the bar table."""
     scale = F.lit(10**15).cast("decimal(16,0)")
-    rows = t.bars("1d").withColumn("volume", (F.col("volume").cast("decimal(12,0)") * scale).cast("decimal(28,8)"))
+    rows = t.bars("1d").withColumn("volume", (F.col("volume").cast("decimal(12,0)") * scale).cast("decimal(32,8)"))
     found = stats.daily_stats(rows, AS_OF_EVENTS)
     return found.select("symbol", "count", "total_amount", "avg_per_day", "max_per_day")
 
