@@ -37,3 +37,23 @@ def test_stats_of_days_with_many_ticks(spark, tmp_path, k):
     assert found["total_amount"] == float(int(sum(turnovers)))
     assert found["max_per_day"] == float(int(max(turnovers)))
     assert found["avg_per_day"] == float((2 * int(sum(turnovers)) + len(days)) // (2 * len(days)))
+
+
+def test_direction_blocks_follow_the_rows_not_the_period(spark, tmp_path, monkeypatch):
+    """Ids are a thousand to a period: cut by it, all of them would lie in one block."""
+    seen = []
+    split = windows.split_series
+    monkeypatch.setattr(windows, "split_series", lambda *a, **b: seen.append(split(*a, **b)) or seen[-1])
+    noon = dt.datetime(2024, 1, 1, 12)
+    path = write_events(spark, str(tmp_path), [(i, noon, 1, "view", 1.0, '{"k": 1}') for i in range(300_000)])
+    found = QUERIES["direction_at_threshold"](spark, path)
+    assert found.count() == 150_000
+    sizes = [r["count"] for r in seen[0].df.groupBy("_block").count().collect()]
+    assert len(sizes) >= 3 and max(sizes) <= 131_072 + 3 * 4096
+
+
+def test_direction_windows_hold_no_lists(spark, tables):
+    """The lists of neighbours are made by the last window: no window reads rows that carry them."""
+    plan = windows.direction_spikes(tables.bars("1h"), increase=0.05)._jdf.queryExecution().optimizedPlan().toString()
+    window_lines = [line for line in plan.splitlines() if "Window [" in line]
+    assert "collect_list" in window_lines[0] and not any("collect_list" in line for line in window_lines[1:])

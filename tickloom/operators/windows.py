@@ -250,6 +250,7 @@ def direction_spikes(
     increase: float | Decimal,
     as_of: dt.datetime | str | None = None,
     duration_ms: int | None = None,
+    chunk: Column | None = None,
     blocks: Blocks = DEFAULT_BLOCKS,
 ) -> DataFrame:
     """Bars where the price direction changes on rising volume.
@@ -258,6 +259,7 @@ def direction_spikes(
     compared in decimals: a move by exactly that much counts.
     The first bar since ``as_of - duration_ms`` only initialises. The text lists
     the first seven bars from five periods earlier and may reach behind the start.
+    ``chunk`` is for series that are not on their period's grid (``split_series``).
     """
     kept = [*SERIES, "open_time", "close_price", "volume"]
     look_back = F.lit(5) * period_to_ms(F.col("period"))
@@ -266,7 +268,7 @@ def direction_spikes(
     if as_of is not None:
         start = to_epoch_ms(as_of) - duration_ms
         rows = rows.filter(F.col("open_time") >= F.lit(start) - look_back)
-    cut = split_series(rows, before=5, after=6, blocks=blocks)
+    cut = split_series(rows, before=5, after=6, chunk=chunk, blocks=blocks)
     w = cut.window
     inside = F.lit(True) if start is None else F.lag("open_time").over(w) >= start
     around = F.collect_list(
@@ -276,7 +278,6 @@ def direction_spikes(
         {
             "prev_close": F.when(inside, F.lag("close_price").over(w)),
             "prev_volume": F.when(inside, F.lag("volume").over(w)),
-            "_around": around,
         }
     )
     close, prev = F.col("close_price"), F.col("prev_close")
@@ -290,7 +291,8 @@ def direction_spikes(
     )
     moved = moved.withColumn("_direction", direction)
     before = F.when(F.col("prev_close").isNotNull(), F.coalesce(F.lag("_direction").over(w), F.lit(0)))
-    moved = cut.owned(moved.withColumn("_before", before))
+    # The lists come with the last window, so no window holds them for all rows of a block.
+    moved = cut.owned(moved.withColumns({"_before": before, "_around": around}))
     turned = (F.col("_direction") != F.col("_before")) & (F.col("volume") > F.col("prev_volume"))
     signal = F.when(turned & (F.col("_direction") == 1), F.lit(BUY)).when(
         turned & (F.col("_direction") == -1), F.lit(SELL)

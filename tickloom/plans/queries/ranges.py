@@ -95,7 +95,8 @@ def direction_at_threshold(t: Tables):
         close.cast(S.PRICE).alias("close_price"),
         F.col("event_id").cast("decimal(28,8)").alias("volume"),
     )
-    found = windows.direction_spikes(bars, increase=0.05)
+    # ids are no grid of seconds, so their chunks are runs of ids
+    found = windows.direction_spikes(bars, increase=0.05, chunk=F.floor(F.col("open_time") / 4096))
     return found.select(F.unix_millis("open_time").alias("open_time"), "trade_signal").where("open_time % 2 = 1")
 
 
