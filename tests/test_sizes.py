@@ -57,3 +57,16 @@ def test_direction_windows_hold_no_lists(spark, tables):
     plan = windows.direction_spikes(tables.bars("1h"), increase=0.05)._jdf.queryExecution().optimizedPlan().toString()
     window_lines = [line for line in plan.splitlines() if "Window [" in line]
     assert "collect_list" in window_lines[0] and not any("collect_list" in line for line in window_lines[1:])
+
+
+def test_upserts_side_by_side_keep_their_own_partitions(spark, tmp_path):
+    noon = dt.datetime(2024, 1, 1, 12)
+    path = write_events(spark, str(tmp_path), [(i, noon, 1, "view", float(i), '{"k": 1}') for i in range(200)])
+    found = QUERIES["upsert_missing_orders"](spark, path)
+    con = oracle.connect(str(tmp_path))
+    con.execute(f"CREATE OR REPLACE VIEW events AS SELECT * FROM read_parquet('{path}/events.parquet/*.parquet')")
+    assert not oracle.compare(spark, con, QUERIES["upsert_missing_orders"], ORACLES["upsert_missing_orders"], path)[1]
+    one = QUERIES["upsert_missing_orders"](spark, path).where("kind = 'int'")
+    kinds = found.groupBy(F.spark_partition_id().alias("p"), "kind").count().groupBy("p").count()
+    assert kinds.agg(F.max("count")).first()[0] == 1  # no task takes a part of each
+    assert one.count() * 4 == found.count()

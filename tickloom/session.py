@@ -16,6 +16,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # A union of parts shuffled alike keeps their partitions apart, not one of each part in one task.
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     return spark
 
 
