@@ -70,3 +70,20 @@ def test_upserts_side_by_side_keep_their_own_partitions(spark, tmp_path):
     kinds = found.groupBy(F.spark_partition_id().alias("p"), "kind").count().groupBy("p").count()
     assert kinds.agg(F.max("count")).first()[0] == 1  # no task takes a part of each
     assert one.count() * 4 == found.count()
+
+
+def test_depth_is_landed_by_many_tasks_and_in_few_files(spark, tmp_path):
+    """One file a day and batch for some rows, and input written by every task that read it."""
+    from tickloom.streaming import feeds
+
+    prepare(spark)
+    message = '{"e":"depthUpdate","E":%d,"s":"A","U":1,"u":2,"b":[["%d","2"]],"a":[["%d","1"]]}'
+    start = 1_704_067_200_000
+    rows = [(message % (start + 3_600_000 * i, i % 50 + 1, i % 50 + 2), dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), i) for i in range(24 * 8)]
+    landed, path = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(rows, "value string, seq timestamp, id bigint").repartition(4).write.parquet(landed)
+    messages = spark.readStream.schema("value string, seq timestamp, id bigint").parquet(landed)
+    feeds.stream_depth(messages, path, ingest_order=["seq", "id"]).awaitTermination()
+    assert feeds.read_stream_levels(spark, path).count() == 2 * len(rows)
+    files = feeds.levels_table(path).batches(spark, F.lit(True)).inputFiles()
+    assert len(files) == 8

@@ -125,7 +125,7 @@ def support_levels_at(t: Tables):
     parts = [t.ticks.where(level < 10).unionByName(wrong.where(level >= 10)), t.ticks.where(level.between(10, 19)), t.ticks.where(level > 19)]
     days = {0: dt.date(2024, 1, 10), 1: dt.date(2024, 1, 18)}
     for number, part in enumerate(parts):
-        t.as_depth(part).coalesce(1).write.mode("append").parquet(landed)
+        t.as_depth(part).write.mode("append").parquet(landed)
         messages = t.spark.readStream.schema("value string, seq timestamp, id bigint").parquet(landed)
         feeds.stream_depth(messages, path, ingest_order=["seq", "id"]).awaitTermination()
         if number in days:

@@ -121,13 +121,20 @@ def stream_depth(
     """Depth messages into ``path/levels``, and bids and asks per message into ``path/counts``.
 
     Unreadable messages go to ``path/rejects``, unreadable levels to ``path/level_rejects``. With a table of
-    ``prices`` the symbols it lacks go to ``path/registered``, with price 0.
+    ``prices`` the symbols it lacks go to ``path/registered``, with price 0. The levels of a batch are parsed once, into
+    ``path/incoming``.
     """
+    spark = messages.sparkSession
 
     def handle(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            rows = latest_per_key(parse_depth_updates(batch), BOOK_KEY, ingest_order, keep_order=False)
+            # Adaptive execution is off in a stream's own session: there each of its many shuffle partitions would write
+            # a file for every day. Landed levels are reduced in the caller's session.
+            parsed = parse_depth_updates(batch)
+            write_batch(parsed, f"{path}/incoming", number)
+            incoming = spark.read.schema(parsed.schema).parquet(f"{path}/incoming/batch={number}")
+            rows = latest_per_key(incoming, BOOK_KEY, ingest_order, keep_order=False)
             levels_table(path).append(rows, number)
             write_batch(depth_counts(batch), f"{path}/counts", number)
             write_batch(depth_rejects(batch), f"{path}/rejects", number)
