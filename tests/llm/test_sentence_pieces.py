@@ -116,3 +116,9 @@ def test_the_cache_may_be_emptied_at_any_time(codec, library, monkeypatch):
     monkeypatch.setattr(sentence_pieces, "CACHED_CHARS", 50)
     for seed in range(30):
         same(codec, library, data.prose(seed, 20) + "  ▁x\n" * (seed % 3))
+
+
+def test_a_text_that_decodes_to_itself_is_not_built_again(codec):
+    text = "two words,  two spaces " + "x" * 100
+    codec.round_trip(text)
+    assert not codec.odd and codec.round_trip(text)[1] is text

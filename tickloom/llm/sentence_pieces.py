@@ -188,7 +188,7 @@ class Codec:
     def ids_of(self, text: str) -> list[int]:
         """Ids of a word with its spaces before it, cut wherever no piece holds the two characters side by side."""
         pairs, segments, start, ids = self.pieces.pairs, self.segments, 0, []
-        cuts = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in pairs]
+        cuts = [k for k, pair in enumerate(map(str.__add__, text, text[1:]), 1) if pair not in pairs]
         for end in [*cuts, len(text)]:
             part = text[start:end]
             found = segments.get(part)
@@ -230,10 +230,11 @@ class Codec:
             ids = b"".join([long[w] if w in long else self.known[w] for w in words])
         else:
             ids = b"".join(map(self.known.__getitem__, words))
-        if self.odd:
-            words = [self.odd.get(w, w) for w in words]
-            for word in long:
-                self.odd.pop(word, None)
+        if not self.odd:
+            return ids, plain
+        words = [self.odd.get(w, w) for w in words]
+        for word in long:
+            self.odd.pop(word, None)
         return ids, " ".join(words)
 
     def decode(self, ids: Iterable[int]) -> str:
