@@ -27,8 +27,8 @@ def period_stats(bars: DataFrame, period: str, as_of: dt.datetime | str, duratio
     greatest high/low spread in percent, total, mean and greatest turnover.
 
     A bar with low = 0 has no spread and does not count in it. Turnovers are exact
-    for every volume and price that the bar table can hold, and at its prices up to 1e8
-    for volumes of DECIMAL(32,8), 24 digits before the point.
+    for every volume and price that the bar table can hold, and for volumes of
+    DECIMAL(32,8) while the total turnover stays below 1e30.
     """
     recent = bars.filter(
         (F.col("period") == check_period(period))
