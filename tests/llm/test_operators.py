@@ -276,6 +276,26 @@ def test_fingerprints_from_their_definition(docs, rows):
     assert checked == len(rows)
 
 
+def test_fingerprints_of_short_texts_walk_over_their_own_bins_only(spark):
+    import time
+
+    texts = [f"word{i} of a text number{i} that is short{i % 7}" for i in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    before = time.time()
+    found = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(docs).collect()}
+    assert time.time() - before < 30
+    assert all(found[i] == plain_print(texts[i]) for i in range(0, 3000, 100))
+
+
+@pytest.mark.parametrize("few", [0, 256])
+def test_fingerprints_do_not_depend_on_which_held_bins_are_listed(spark, monkeypatch, few):
+    monkeypatch.setattr(fingerprints, "FEW", few)
+    texts = [data.prose(i, n) for i, n in enumerate((1, 3, 5, 6, 9, 20, 60, 200))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in fingerprints.fingerprints(docs).collect():
+        assert r.fingerprint == plain_print(texts[r.doc_id])
+
+
 def test_fingerprint_of_one_document(spark):
     (r,) = fingerprints.fingerprints(data.documents(spark, [(5, "abcdef")])).collect()
     assert (r.edited_sha256, r.near_next) == (sha("abcdab"), 1.0)

@@ -20,6 +20,7 @@ LONGS = BINS // PER_LONG
 PER_FLAGS = 32  # flags of bins in one long, so that its sign and all differences stay out of play
 FLAGS = BINS // PER_FLAGS
 PROBES = 16
+FEW = BINS // 2  # with more held bins the probes all but always find one
 BLOCK_ROWS = 500_000
 KEY = ["kid", "text_hash"]
 VERSION = [*KEY, "edit"]  # whether it is the edited text
@@ -49,21 +50,37 @@ def _low(at: str) -> str:
     return f"shiftrightunsigned(low[{at} div {PER_LONG}], {LOW_BITS} * ({at} % {PER_LONG})) & {(1 << LOW_BITS) - 1}L"
 
 
+_OWN = f"filter(sequence(0, {BINS - 1}), b -> {_held('b')})"  # the held bins
+
+
+def _walk(bins: DataFrame) -> DataFrame:
+    """``start``, ``step`` and ``inverse`` of each bin's way around all bins; the step is odd, so that it misses none."""
+    last = BINS - 1
+    way = bins.select(
+        "*",
+        F.expr(f"cast(((bin * 2654435761L + 374761393L) >> 9) & {last} as int)").alias("start"),
+        F.expr(f"cast((2L * ((bin * 2246822519L + 3266489917L) >> 7) + 1L) & {last} as int)").alias("step"),
+    )
+    # the step is its own inverse in the 3 low bits; each turn doubles them
+    way = way.withColumn("inverse", F.expr(f"(step * (2 - step * step)) & {last}"))
+    return way.withColumn("inverse", F.expr(f"(inverse * (2 - step * inverse)) & {last}"))
+
+
 def _last_resort() -> str:
-    """The first held bin on the way of bin ``bin`` around all bins, by a step of its own; odd, so that it misses none."""
-    start, step = "(bin * 2654435761L + 374761393L) >> 9", "2L * ((bin * 2246822519L + 3266489917L) >> 7) + 1L"
-    at = f"cast((({start}) + t * ({step})) & {BINS - 1} as int)"
-    return f"transform(filter(sequence(0L, {BINS - 1}L), t -> {_held(at)}), t -> {at})[0]"
+    """The first held bin on the way of bin ``bin``: each held bin has one place on it, the least of these counts."""
+    place = f"array_min(transform(coalesce(own, {_OWN}), b -> ((b - start) * inverse) & {BINS - 1}))"
+    return f"((start + {place} * step) & {BINS - 1})"
+
 
+def _moved(value: str, per_long: int, bits: int) -> str:
+    """A value at ``bin``, where it lies in its long."""
+    return f"shiftleft({value}, {bits} * cast(bin % {per_long} as int))"
 
-def _packed(value: str, longs: int, per_long: int, bits: int, prefix: str) -> list[Column]:
-    """Values at ``bin`` packed into longs; each bin comes once."""
+
+def _packed(moved: str, lane: str, longs: int, prefix: str) -> list[Column]:
+    """Moved values packed into the longs that ``lane`` numbers; each bin comes once."""
     return [
-        F.expr(
-            f"coalesce(bit_or(CASE WHEN bin div {per_long} = {j} "
-            f"THEN shiftleft({value}, {bits} * cast(bin % {per_long} as int)) END), 0L)"
-        ).alias(f"{prefix}{j}")
-        for j in range(longs)
+        F.expr(f"coalesce(bit_or(CASE WHEN {lane} = {j} THEN {moved} END), 0L)").alias(f"{prefix}{j}") for j in range(longs)
     ]
 
 
@@ -74,28 +91,44 @@ def prints(texts: DataFrame) -> DataFrame:
     bin is its value, of which the low bits are kept. A bin without shingles takes the value of the first bin with
     shingles among its own draws, which do not depend on the text: PROBES hashed ones, then, for texts of few
     shingles, all bins in an order of its own. Equal sets of shingles give equal fingerprints.
+
+    Only the empty bins look for a value; beside them one row (bin -1) brings the values of the others.
     """
     places = texts.where("size(w) > 0").select(
-        *VERSION, "w", F.explode(F.expr(f"sequence(1, greatest(size(w) - {SHINGLE_WORDS - 1}, 1))")).alias("at")
+        *VERSION, "w", F.explode(F.expr(f"sequence(0, greatest(size(w) - {SHINGLE_WORDS}, 0))")).alias("at")
     )
-    hashed = places.select(*VERSION, F.xxhash64(F.slice("w", F.col("at"), F.lit(SHINGLE_WORDS))).alias("h"))
+    # of a shorter text the words that are not there are NULL, which a hash passes over
+    shingle = [F.get("w", F.col("at") + k) for k in range(SHINGLE_WORDS)]
+    hashed = places.select(*VERSION, F.xxhash64(*shingle).alias("h"))
     binned = hashed.select(*VERSION, F.expr(f"cast(shiftrightunsigned(h, {64 - BIN_BITS}) as int)").alias("bin"), "h")
     least = binned.groupBy(*VERSION, "bin").agg(F.min("h").alias("h"))
-    mask = (1 << LOW_BITS) - 1
-    packed = least.groupBy(*VERSION).agg(
-        *_packed(f"(h & {mask}L)", LONGS, PER_LONG, LOW_BITS, "l"), *_packed("1L", FLAGS, PER_FLAGS, 1, "h")
+    placed = least.select(
+        *VERSION,
+        F.expr(f"bin div {PER_LONG}").alias("lane"),
+        F.expr(_moved(f"(h & {(1 << LOW_BITS) - 1}L)", PER_LONG, LOW_BITS)).alias("moved"),
+        F.expr(f"bin div {PER_FLAGS}").alias("flags"),
+        F.expr(_moved("1L", PER_FLAGS, 1)).alias("flag"),
     )
+    packed = placed.groupBy(*VERSION).agg(*_packed("moved", "lane", LONGS, "l"), *_packed("flag", "flags", FLAGS, "h"))
     arrays = packed.select(
         *VERSION,
         F.array(*[f"l{j}" for j in range(LONGS)]).alias("low"),
         F.array(*[f"h{j}" for j in range(FLAGS)]).alias("held"),
-    )
-    bins = arrays.select(*VERSION, "low", "held", F.explode(F.sequence(F.lit(0), F.lit(BINS - 1))).alias("bin"))
-    cases = " ".join(f"WHEN {_held(at)} THEN {at}" for at in ["bin", *map(_draw, range(PROBES))])
-    source = bins.select(*VERSION, "low", "held", "bin", F.expr(f"CASE {cases} END").alias("source"))
+        F.expr(" + ".join(f"bit_count(h{j})" for j in range(FLAGS))).alias("n_held"),
+    ).withColumn("own", F.expr(f"CASE WHEN n_held <= {FEW} THEN {_OWN} END"))
+    bins = arrays.select(*VERSION, "low", "held", "own", F.explode(F.sequence(F.lit(-1), F.lit(BINS - 1))).alias("bin"))
+    bins = bins.where(f"CASE WHEN bin < 0 THEN true ELSE NOT ({_held('bin')}) END")
+    cases = " ".join(f"WHEN {_held(at)} THEN {at}" for at in map(_draw, range(PROBES)))
+    source = _walk(bins).withColumn("source", F.expr(f"CASE WHEN bin < 0 THEN 0 {cases} END"))
     source = source.select(*VERSION, "low", "bin", F.expr(f"coalesce(source, {_last_resort()})").alias("source"))
-    values = source.select(*VERSION, "bin", F.expr(_low("source")).alias("value"))
-    return values.groupBy(*VERSION).agg(*_packed("value", LONGS, PER_LONG, LOW_BITS, "p"))
+    filled = source.select(
+        *VERSION,
+        F.when(F.col("bin") < 0, F.col("low")).alias("low"),
+        F.expr(f"CASE WHEN bin < 0 THEN -1 ELSE bin div {PER_LONG} END").alias("lane"),
+        F.expr(f"CASE WHEN bin >= 0 THEN {_moved(f'({_low("source")})', PER_LONG, LOW_BITS)} END").alias("moved"),
+    )
+    values = [F.expr(f"bit_or(CASE WHEN lane < 0 THEN low[{j}] WHEN lane = {j} THEN moved END)").alias(p) for j, p in enumerate(PRINT)]
+    return filled.groupBy(*VERSION).agg(*values)
 
 
 def as_text(prefix: str = "") -> Column:
@@ -185,8 +218,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     edited = texts.join(heads, KEY).select(
         *KEY, "text", F.expr("concat(substring(text, 1, length(text) - need), head)").alias("edited")
     )
-    versions = F.array(F.struct(F.lit(False).alias("edit"), F.col("text").alias("of")), F.struct(F.lit(True).alias("edit"), F.col("edited").alias("of")))
-    made = prints(edited.select(*KEY, F.inline(versions)).select(*VERSION, words(F.col("of")).alias("w")))
+    # the words are made within the array, once: a filter on them above a projection would make them again
+    versions = F.array(*[F.struct(F.lit(edit).alias("edit"), words(F.col(of)).alias("w")) for edit, of in ((False, "text"), (True, "edited"))])
+    made = prints(edited.select(*KEY, F.inline(versions)))
     digests = edited.select(*KEY, F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     made = written(made.unionByName(digests, allowMissingColumns=True), "prints")
 
