@@ -122,3 +122,14 @@ def test_a_text_that_decodes_to_itself_is_not_built_again(codec):
     text = "two words,  two spaces " + "x" * 100
     codec.round_trip(text)
     assert not codec.odd and codec.round_trip(text)[1] is text
+
+
+def test_words_met_again_outlive_a_full_cache(codec, monkeypatch):
+    own = sentence_pieces.Codec(codec.pieces)
+    monkeypatch.setattr(sentence_pieces, "CACHED_CHARS", 400)
+    learned, plain = [], own.learned
+    monkeypatch.setattr(own, "learned", lambda word: learned.append(word) or plain(word))
+    for i in range(60):
+        own.round_trip(f"again and again {data.prose(i, 5)}x{i}")
+    assert learned.count("again") == learned.count("and") == 1
+    assert sum(map(len, own.known)) + sum(map(len, own.old)) < 1600

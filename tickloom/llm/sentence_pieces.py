@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import operator
 import re
 from collections.abc import Iterable
 from functools import lru_cache
+from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -91,6 +93,7 @@ class Pieces:
         limit = max(self.late.values(), default=float("-inf"))
         for name in [n for n, score in self.proper.items() if score <= limit]:
             self.late[name] = self.proper.pop(name)
+        self.late_start = commonprefix(list(self.late))  # a text without it holds no late piece
 
 
 @lru_cache(maxsize=4)
@@ -99,7 +102,11 @@ def load(path: str) -> Pieces:
 
 
 class Codec:
-    """Encodes texts exactly, each distinct word once while it is cached (bounded by characters, long words never)."""
+    """Encodes texts exactly, each distinct word once while it is cached (bounded by characters, long words never).
+
+    The words have two generations: when the new one and the parts hold CACHED_CHARS, it becomes the old one, and what
+    is met again moves back.
+    """
 
     def __init__(self, pieces: Pieces) -> None:
         import ahocorasick
@@ -115,9 +122,11 @@ class Codec:
         texts |= {i: bytes([b]) for b, i in pieces.bytes.items()}
         self.texts = [texts.get(i, b"") for i in range(len(pieces.names))]
         self.texts[pieces.unknown] = " ⁇ ".encode()
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.segments: dict[str, tuple[int, ...]] = {}
+        self.decimals = [b"%d " % i for i in range(len(pieces.names))]
+        self.fits: dict[int, bool] = {}  # by both ids in one number
+        self.segments: dict[str, tuple[bytes, bytes]] = {}
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.odd: dict[str, str] = {}
         self.held = 0
 
@@ -149,14 +158,14 @@ class Codec:
         Of the pieces that end where the prefix ends, just one fits behind the last piece of what remains.
         """
         last: list[tuple[int, int]] = [(-1, 1)] * (len(text) + 1)
-        fits, done = self.fits, 0
+        fits, done, ids = self.fits, 0, len(self.pieces.names)
         for end, (piece, size) in self.automaton.iter(text):  # longest first
             end += 1
             if end == done:
                 continue
             before = end - size
             if before and (a := last[before][0]) >= 0:
-                pair = a, piece
+                pair = a * ids + piece
                 good = fits.get(pair)
                 if good is None:
                     good = fits[pair] = self.compatible(a, piece)
@@ -170,57 +179,69 @@ class Codec:
         """Ids of a text without a safe cut."""
         if found := self.single.get(text):
             return found
-        last, at, back = self.prefix_table(text), len(text), []
+        last, at, ids, sizes = self.prefix_table(text), len(text), [], []
         while at:
             piece, size = last[at]
-            back.append((piece, text[at - size : at]))
+            ids.append(piece)
+            sizes.append(size)
             at -= size
-        back.reverse()
-        names = [name for _, name in back]
+        ids.reverse()
+        if self.pieces.late_start not in text and -1 not in ids:
+            return tuple(ids)
+        names = []
+        for size in reversed(sizes):
+            names.append(text[at : at + size])
+            at += size
         if any(a + b in self.pieces.late for a, b in zip(names, names[1:])):
             names, _ = merged(names, self.pieces.late)
-            back = [(self.pieces.ids.get(name, -1), name) for name in names]
-        ids: list[int] = []
-        for piece, name in back:
-            ids += [piece] if piece >= 0 else [self.pieces.bytes[b] for b in name.encode()]
-        return tuple(ids)
-
-    def ids_of(self, text: str) -> list[int]:
-        """Ids of a word with its spaces before it, cut wherever no piece holds the two characters side by side."""
-        pairs, segments, start, ids = self.pieces.pairs, self.segments, 0, []
-        cuts = [k for k, pair in enumerate(map(str.__add__, text, text[1:]), 1) if pair not in pairs]
-        for end in [*cuts, len(text)]:
-            part = text[start:end]
-            found = segments.get(part)
-            if found is None:
-                found = self.segment(part)
-                if len(part) <= LONGEST_CACHED:
-                    segments[part] = found
-                    self.held += len(part) + 2 * len(found)
-            ids += found
-            start = end
-        return ids
+            ids = [self.pieces.ids.get(name, -1) for name in names]
+        found: list[int] = []
+        for piece, name in zip(ids, names, strict=True):
+            found += [piece] if piece >= 0 else [self.pieces.bytes[b] for b in name.encode()]
+        return tuple(found)
+
+    def part(self, text: str) -> tuple[bytes, bytes]:
+        """Decimal ids of a text without a safe cut, each with a space behind it, and the bytes they decode to."""
+        found = self.segments.get(text)
+        if found is None:
+            ids = self.segment(text)
+            found = b"".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.texts.__getitem__, ids))
+            if len(text) <= LONGEST_CACHED:
+                self.segments[text] = found
+                self.held += len(text) + len(found[0])
+        return found
+
+    def word(self, text: str) -> tuple[bytes, bytes]:
+        """The same of a word with its spaces before it, cut wherever no piece holds the two characters side by side."""
+        pairs = self.pieces.pairs
+        if pairs.issuperset(map(operator.add, text, text[1:])):
+            return self.part(text)
+        cuts = [k for k, pair in enumerate(map(operator.add, text, text[1:]), 1) if pair not in pairs]
+        found = [self.part(text[start:end]) for start, end in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+        return b"".join([ids for ids, _ in found]), b"".join([back for _, back in found])
 
     def learned(self, word: str) -> bytes:
-        ids = self.ids_of(MARK + word.replace(" ", MARK))
-        decoded = b"".join(map(self.texts.__getitem__, ids)).decode(errors="replace")[1:]
-        if decoded != word:
+        ids, back = self.word(MARK + word.replace(" ", MARK))
+        if back != b" " + word.encode() and (decoded := back.decode(errors="replace")[1:]) != word:
             self.odd[word] = decoded
-        return "".join([f"{i} " for i in ids]).encode()
+        return ids
 
     def round_trip(self, text: str | None) -> tuple[bytes, str]:
         """Decimal ids, each with a space behind it, without the end id; and the text decoded from them."""
         if not text:
             return b"", ""
-        if self.held > CACHED_CHARS or len(self.fits) > CACHED_PAIRS:
-            self.segments, self.known, self.odd, self.fits, self.held = {}, {}, {}, {}, 0
+        if len(self.fits) > CACHED_PAIRS:
+            self.fits = {}
+        if self.held > CACHED_CHARS:
+            self.segments, self.known, self.old, self.held = {}, {}, self.known, 0
+            self.odd = {word: back for word, back in self.odd.items() if word in self.old}
         plain = text.replace(MARK, " ")
         words = plain.split(" ")
         if "" in words:  # spaces side by side or at an end
             words = [c[1:] for c in _RUNS.findall(" " + plain)]
         long: dict[str, bytes] = {}
         for word in set(words).difference(self.known):
-            ids = self.learned(word)
+            ids = self.old.get(word) or self.learned(word)
             if len(word) > LONGEST_CACHED:
                 long[word] = ids
             else:
