@@ -100,6 +100,20 @@ def test_merge_of_long_words_is_the_same():
         assert merges.merge_long(ids) == merges.merge(word)
 
 
+def test_a_merge_looks_up_its_neighbours_alone():
+    merges, asked = bpe.Merges(tokenizer("word_bpe_49k.json")), []
+
+    class Counted(dict):
+        def get(self, *args):
+            asked.append(args)
+            return super().get(*args)
+
+    merges.ranks = Counted(merges.ranks)
+    word = b"internationalizationsandcounterrevolutionaries" * 4
+    merges.merge(word)
+    assert len(asked) <= 3 * len(word)
+
+
 def words_of(text):
     return WORD.findall((text or "").translate(LOW))
 

@@ -9,6 +9,8 @@ import re
 import struct
 import unicodedata
 from collections import Counter
+from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,8 @@ LEXICON_WORDS = 150_000
 MAX_WORD_BYTES = 64
 CACHE_BYTES = 56 << 20
 COUNTED = 300_000
+PART_BYTES = 1 << 20
+NO_MERGE = 1 << 31  # above every rank
 
 
 def byte_alphabet() -> list[str]:
@@ -53,26 +57,32 @@ class Merges:
         self.alphabet = byte_alphabet()
         self.inner = [vocab[c] for c in self.alphabet]
         self.last = [vocab[c + self.end] for c in self.alphabet]
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.results: list[int] = []  # by rank
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.ranks.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
+            self.ranks.setdefault((vocab[left], vocab[right]), rank)
+            self.results.append(vocab[left + right])
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of a word: the adjacent pair of lowest rank merges first, the leftmost of equals."""
-        ids = [*(self.inner[b] for b in word[:-1]), self.last[word[-1]]]
+        """Ids of a word: the adjacent pair of lowest rank merges first, the leftmost of equals.
+
+        The ranks of all pairs are kept; a merge changes those of its two neighbours.
+        """
+        ids = [self.inner[b] for b in word]
+        ids[-1] = self.last[word[-1]]
         if len(ids) > 256:
             return self.merge_long(ids)
-        ranks = self.ranks.get
-        while len(ids) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(ids, ids[1:], strict=False)):
-                found = ranks(pair)
-                if found and (best is None or found[0] < best[0]):
-                    best, at = found, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
+        ranks, results = self.ranks.get, self.results
+        found = [ranks(pair, NO_MERGE) for pair in zip(ids, ids[1:], strict=False)]
+        while found and (best := min(found)) < NO_MERGE:
+            at = found.index(best)
+            ids[at] = results[best]
+            del ids[at + 1], found[at]
+            if at:
+                found[at - 1] = ranks((ids[at - 1], ids[at]), NO_MERGE)
+            if at < len(found):
+                found[at] = ranks((ids[at], ids[at + 1]), NO_MERGE)
         return ids
 
     def merge_long(self, ids: list[int]) -> list[int]:
@@ -81,20 +91,21 @@ class Merges:
 
         n = len(ids)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(f[0], i, ids[i], ids[i + 1]) for i in range(n - 1) if (f := self.ranks.get((ids[i], ids[i + 1])))]
+        rank = self.ranks.get
+        heap = [(f, i, ids[i], ids[i + 1]) for i in range(n - 1) if (f := rank((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
             _, i, left, right = heapq.heappop(heap)
             j = after[i]
             if ids[i] != left or j < 0 or ids[j] != right:
                 continue
-            ids[i], ids[j], after[i] = self.ranks[left, right][1], -1, after[j]
+            ids[i], ids[j], after[i] = self.results[self.ranks[left, right]], -1, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
-                if f := self.ranks.get((ids[i], ids[after[i]])):
-                    heapq.heappush(heap, (f[0], i, ids[i], ids[after[i]]))
-            if before[i] >= 0 and (f := self.ranks.get((ids[before[i]], ids[i]))):
-                heapq.heappush(heap, (f[0], before[i], ids[before[i]], ids[i]))
+                if (f := rank((ids[i], ids[after[i]]))) is not None:
+                    heapq.heappush(heap, (f, i, ids[i], ids[after[i]]))
+            if before[i] >= 0 and (f := rank((ids[before[i]], ids[i]))) is not None:
+                heapq.heappush(heap, (f, before[i], ids[before[i]], ids[i]))
         return [x for x in ids if x >= 0]
 
     def segments(self, text: str):
@@ -117,6 +128,12 @@ class Merges:
         return [w.encode() for w in self.pattern.findall(folded)]
 
 
+@lru_cache(maxsize=2)
+def merges_of(path: str) -> Merges:
+    """The merges of a file, kept between the tasks of a Python worker."""
+    return Merges(path)
+
+
 class Transducer:
     """A minimal acyclic automaton with numbers of words as outputs, and the id list of each number.
 
@@ -270,9 +287,9 @@ class Codec:
             cut.append(parts)
         if self.held > CACHE_BYTES:
             self.known, self.old, self.held = {}, self.known, 0
-        wanted = set().union(*(p for parts in cut for p in parts if not isinstance(p, int))) - self.known.keys()
-        met = wanted & self.old.keys()
-        self.known.update((c, self.old[c]) for c in met)
+        wanted = set().union(*(p for parts in cut for p in parts if not isinstance(p, int))).difference(self.known)
+        met = wanted.intersection(self.old)
+        self.known.update(zip(met, map(self.old.__getitem__, met), strict=True))
         self.learn(wanted - met)
         self.held += held_bytes(wanted) + sum(len(self.known[c]) for c in wanted)
         known = self.known.__getitem__
@@ -300,7 +317,7 @@ def frequent_words(docs: DataFrame, tokenizer: str, limit: int) -> list[bytes]:
     """The most frequent words over all documents, ties by word. At most ``limit`` of them reach the driver."""
 
     def count(batches):
-        merges = Merges(tokenizer)
+        merges = merges_of(tokenizer)
 
         def emit(found: Counter):
             words: Counter[bytes] = Counter()
@@ -363,7 +380,7 @@ def bpe_round_trip(
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        codec = Codec(Merges(tokenizer), Transducer(SparkFiles.get(lexicon)))
+        codec = Codec(merges_of(tokenizer), Transducer(SparkFiles.get(lexicon)))
         for batch in byte_slices(batches, column=1):
             found = codec.encode(batch.column(1).to_pylist())
             decoded = [codec.decode(x) for x in found]

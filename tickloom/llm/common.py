@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +40,9 @@ def byte_slices(batches, column: int = 0, limit: int = SLICE_BYTES) -> Iterator[
             yield batch.slice(start, end - start)
 
 
-def held_bytes(texts) -> int:
+def held_bytes(texts: Collection[str]) -> int:
     """What texts take at most as keys of a cache; those beyond ASCII keep their UTF-8 form once it was asked for."""
-    return sum(sys.getsizeof(t) + 140 + (0 if t.isascii() else 4 * len(t)) for t in texts)
+    return sum(map(sys.getsizeof, texts)) + 140 * len(texts) + 4 * sum([len(t) for t in texts if not t.isascii()])
 
 
 def remainder(doc_id: str, modulus: int) -> Column:
