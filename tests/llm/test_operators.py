@@ -114,6 +114,24 @@ def test_a_merge_looks_up_its_neighbours_alone():
     assert len(asked) <= 3 * len(word)
 
 
+def test_the_lexicon_stays_off_the_driver(docs, rows):
+    import tracemalloc
+
+    path = tokenizer("word_bpe_49k.json")
+    words = bpe.frequent_words(docs, path, 5)
+    counted = Counter(w for _, t in rows for c in (t or "").split() for w in bpe.merges_of(path).words(c))
+    found, (*_, least) = [bytes(r.word) for r in words.collect()], sorted(counted.values(), reverse=True)[:5]
+    assert {w for w, n in counted.items() if n > least} <= set(found) <= {w for w, n in counted.items() if n >= least}
+    assert "TakeOrdered" not in words._jdf.queryExecution().toString()  # it sends the first words of every task
+    tracemalloc.start()
+    try:
+        bpe.build_lexicon(docs, path)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 << 20  # the merges alone take more
+
+
 def words_of(text):
     return WORD.findall((text or "").translate(LOW))
 

@@ -19,7 +19,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import byte_slices, held_bytes
+from tickloom.llm.common import byte_slices, held_bytes, written
 from tickloom.session import scratch_dir
 
 LEXICON_WORDS = 150_000
@@ -313,8 +313,12 @@ def chunks_of(stretch: str) -> list[str]:
     return stretch.split()
 
 
-def frequent_words(docs: DataFrame, tokenizer: str, limit: int) -> list[bytes]:
-    """The most frequent words over all documents, ties by word. At most ``limit`` of them reach the driver."""
+def frequent_words(docs: DataFrame, tokenizer: str, limit: int) -> DataFrame:
+    """(word) of the most frequent words over all documents, about ``limit`` at most; words met once are left out.
+
+    Of equally frequent words at the end those whose hashes are lowest stay. The driver sees how many words there are
+    of each frequency, not the words.
+    """
 
     def count(batches):
         merges = merges_of(tokenizer)
@@ -340,18 +344,27 @@ def frequent_words(docs: DataFrame, tokenizer: str, limit: int) -> list[bytes]:
         yield emit(found)
 
     counted = docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.where("n > 1").orderBy(F.desc("n"), "word").limit(limit)
-    return [bytes(r.word) for r in top.select("word").collect()]
-
-
-def publish(spark: SparkSession, data: bytes, name: str) -> str:
-    """Write bytes to the shared folder and have Spark fetch the file to every executor; returns its file name."""
+    counted = written(counted.where("n > 1"), "words")
+    sizes = counted.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toArrow()
+    often, words = sizes["n"].to_numpy(), sizes["words"].to_numpy()
+    total = np.cumsum(words)
+    whole = int(np.searchsorted(total, limit, side="right"))  # frequencies all of whose words stay
+    if whole < len(total):
+        least, rest = int(often[whole]), limit - (int(total[whole - 1]) if whole else 0)
+        first = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < (1 << 30) * rest // int(words[whole])
+        counted = counted.where((F.col("n") > least) | ((F.col("n") == least) & first))
+    return counted.select("word")
+
+
+def publish(spark: SparkSession, parts: Iterable[bytes], name: str) -> str:
+    """Write a file to the shared folder and have Spark fetch it to every executor; returns its name."""
     folder = scratch_dir(spark, name)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{folder.rsplit('/', 1)[-1]}.bin")
     stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
     try:
-        stream.write(bytearray(data))
+        for part in parts:
+            stream.write(bytearray(part))
     finally:
         stream.close()
     spark.sparkContext.addFile(path.toString())
@@ -359,10 +372,20 @@ def publish(spark: SparkSession, data: bytes, name: str) -> str:
 
 
 def build_lexicon(docs: DataFrame, tokenizer: str, limit: int = LEXICON_WORDS) -> str:
-    """Compile the corpus's frequent words with their ids; returns the name of the published file."""
-    merges = Merges(tokenizer)
-    words = sorted(frequent_words(docs, tokenizer, limit))
-    return publish(docs.sparkSession, Transducer.compile([(w, merges.merge(w)) for w in words]), "lexicon")
+    """Compile the corpus's frequent words with their ids; returns the name of the published file.
+
+    One task compiles them, as ``limit`` bounds their number; the file passes through the driver in small parts.
+    """
+
+    def compiled(batches):
+        merges = merges_of(tokenizer)
+        words = sorted(word for batch in batches for word in batch.column(0).to_pylist())
+        data = Transducer.compile([(w, merges.merge(w)) for w in words])
+        for at in range(0, len(data), PART_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array([data[at : at + PART_BYTES]], pa.binary())], ["part"])
+
+    parts = frequent_words(docs, tokenizer, limit).coalesce(1).mapInArrow(compiled, "part binary")
+    return publish(docs.sparkSession, (r.part for r in parts.toLocalIterator()), "lexicon")
 
 
 def bpe_round_trip(
