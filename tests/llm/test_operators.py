@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import sys
 import time
@@ -93,6 +94,19 @@ def test_transducer_is_minimal_and_exact(tmp_path):
     assert len(found.final) < len({w[:k] for w in words for k in range(len(w) + 1)})  # fewer states than a trie
 
 
+def test_chunks_are_folded_in_one_run(monkeypatch):
+    merges, calls = bpe.Merges(tokenizer("word_bpe_49k.json")), []
+    chunks = ["Année", "e\u0301te\u0301", "\u0301x", "ΣΑΣ", "ΑΣ", "İstanbul", "한", "ab\x1cc", "Word", "word,", "WORD.", "don't", "a1b22", "$$$", "ﬁ"]
+    chunks += ["\u1112\u1161\u11ab", "\u11ab\u0301", "ß", "Ⅷ", "\u0345", "x\u0345\u0301", ",", "."] + [f"é{i}" for i in range(100)]
+    expected = {c: merges.words(c) for c in chunks}
+    real = bpe.unicodedata.normalize
+    monkeypatch.setattr(bpe.unicodedata, "normalize", lambda form, text: calls.append(text) or real(form, text))
+    alone, their, several = merges.words_of(chunks)
+    assert len(calls) == 1  # once for each chunk before
+    assert {c: [w.encode()] for c, w in zip(alone, their, strict=True)} | {c: [w.encode() for w in ws] for c, ws in several.items()} == expected
+    assert merges.words_of([]) == ([], [], {})
+
+
 def test_merge_of_long_words_is_the_same():
     merges = bpe.Merges(tokenizer("word_bpe_49k.json"))
     for word in (b"internationalization", b"aaaaabbbbb" * 10, "naïveté".encode()):
@@ -246,6 +260,24 @@ def test_components_of_paths_and_stars(spark):
     }
 
 
+def test_buckets_of_one_component_are_done_with(spark, monkeypatch):
+    rng, seen, real = random.Random(8), {}, near_dups.written
+
+    def recorded(df, name):
+        found = real(df, name)
+        seen.setdefault(name, []).append((found.count(), set(found.columns)))
+        return found
+
+    monkeypatch.setattr(near_dups, "written", recorded)
+    base = data.prose(7, 400).split(" ")
+    texts = [" ".join(w if rng.randrange(400) else "new" for w in base) for _ in range(20)]
+    found = near_dups.near_duplicates(data.documents(spark, list(enumerate(texts)))).collect()
+    assert {r.component_id for r in found} == {0}
+    assert seen["members"][0][0] > 0 and [n for n, _ in seen["live"]] == [0, 0]
+    for name in ("keys", "members", "live", "pivots"):  # sketches and marks do not move with every key
+        assert not seen[name][0][1] & {*near_dups.SKETCH, "marks", "halves", "n"}
+
+
 def test_fingerprints(docs, none, rows):
     found = fingerprints.fingerprints(docs).collect()
     order = sorted({(i is not None, i if i is not None else 0, t or "") for i, t in rows if i != 18}, reverse=True)

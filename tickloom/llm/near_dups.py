@@ -123,34 +123,41 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, vertex, n, SKETCH, i, j, marks, first) of every table key (i, j) that two or more vertices share.
-
-    ``marks`` are 31 bits of each half key, by which a pair is known at its first shared key and met there only.
+    """(key, vertex, i, j, first) of every table key (i, j) that two or more vertices share.
 
     A left half key that only one vertex has cannot be part of a shared table key, so it is dropped before the pairs
-    are formed: most documents never reach the product.
+    are formed: most documents never reach the product. Only vertices and single half keys are moved for that.
     """
-    sketch = [F.get("halves", F.lit(2 * HALVES + i)).alias(c) for i, c in enumerate(SKETCH)]
-    marks = F.transform(F.slice("halves", 1, 2 * HALVES), lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
-    lefts = classes.select(
-        "vertex", "n", *sketch, marks.alias("marks"), "halves", F.posexplode(F.slice("halves", 1, HALVES)).alias("i", "left")
-    )
+    lefts = classes.select("vertex", F.posexplode(F.slice("halves", 1, HALVES)).alias("i", "left"))
     shared = (
         lefts.groupBy("i", "left")
         .agg(F.min("vertex").alias("low"), F.max("vertex").alias("high"))
         .where("low <> high")
         .select("i", "left")
     )
+    rights = classes.select("vertex", F.slice("halves", HALVES + 1, HALVES).alias("rights"))
     keys = (
         lefts.join(shared, ["i", "left"])
-        .select("vertex", "n", *SKETCH, "marks", "i", "left", F.posexplode(F.slice("halves", HALVES + 1, HALVES)).alias("j", "right"))
-        .select(F.xxhash64("i", "left", "j", "right").alias("key"), "vertex", "n", *SKETCH, "i", "j", "marks")
+        .join(rights, "vertex")
+        .select("vertex", "i", "left", F.posexplode("rights").alias("j", "right"))
+        .select(F.xxhash64("i", "left", "j", "right").alias("key"), "vertex", "i", "j")
     )
     keys = written(keys, "keys")
     common = keys.groupBy("key").agg(F.min("vertex").alias("low"), F.max("vertex").alias("high")).where("low <> high")
     return keys.join(common.select("key", F.col("low").alias("first")), "key")
 
 
+def _traits(classes: DataFrame, members: DataFrame) -> DataFrame:
+    """(vertex, n, SKETCH, marks, doc_id, text_hash) of the vertices that share a table key.
+
+    ``marks`` are 31 bits of each half key, by which a pair is known at its first shared key and met there only.
+    """
+    sketch = [F.get("halves", F.lit(2 * HALVES + i)).alias(c) for i, c in enumerate(SKETCH)]
+    marks = F.transform(F.slice("halves", 1, 2 * HALVES), lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    found = classes.join(members.select("vertex").distinct(), "vertex", "left_semi")
+    return found.select("vertex", "n", *sketch, marks.alias("marks"), "pick.doc_id", "pick.text_hash")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(vertex, members) for the wanted (vertex, doc_id, text_hash), from the texts again."""
 
@@ -261,38 +268,40 @@ _FIRST_SHARED = " AND ".join(
 )
 
 
-def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(members: DataFrame, traits: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, component) of all vertices that confirmed links within the buckets connect.
 
     First every vertex meets the least vertex of all its buckets, one pair each, which settles most; then the least
     FIRST_PIVOTS of every bucket meet its members in other components, then the least PIVOTS, and in buckets with more
     vertices than that the next PIVOTS, and so on. Two vertices meet in the bucket of their first shared key alone,
     unless they are already connected, so no link between components is lost, and copies of one text or a family of
-    near copies cost a few comparisons each, not one for each pair.
+    near copies cost a few comparisons each, not one for each pair. A bucket within one component is done with; the
+    sketches are fetched for the others alone.
     """
-    own = [F.col(c).alias(f"{c}_a") for c in ("n", *SKETCH)]
-    marks = F.col("marks").alias("marks_a")
-    sizes = members.select(F.col("vertex").alias("first"), *own).distinct()
+    compared = traits.select("vertex", "n", *SKETCH, "marks")
+    pivot = compared.select(F.col("vertex").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("n", *SKETCH, "marks")])
     pairs = (
         members.where("vertex <> first")
-        .select("vertex", "first", "n", *SKETCH)
+        .select("vertex", F.col("first").alias("a"))
         .distinct()
-        .join(sizes, "first")
+        .join(compared, "vertex")
+        .join(pivot, "a")
         .where(_MAY_LINK)
         .groupBy("vertex")
-        .agg(F.min("first").alias("a"))
+        .agg(F.min("a").alias("a"))
         .select("a", F.col("vertex").alias("b"))
     )
     labels = components(_confirmed(pairs, sets))
     members, width = members.drop("first"), FIRST_PIVOTS
     while True:
-        live = written(_labelled(members, labels), "live")
+        live = _mixed(members, labels)
         rank = F.row_number().over(Window.partitionBy("key").orderBy("vertex"))
         pivots = live.withColumn("rank", rank).where(F.col("rank") <= width)
         pivots = written(pivots, "pivots")
-        other = pivots.select("key", F.col("vertex").alias("a"), F.col("label").alias("label_a"), *own, marks)
+        other = pivots.select("key", F.col("vertex").alias("a"), F.col("label").alias("label_a")).join(pivot, "a")
         pairs = (
-            live.join(other, "key")
+            live.join(compared, "vertex")
+            .join(other, "key")
             .where(f"vertex > a AND label <> label_a AND {_MAY_LINK} AND {_FIRST_SHARED}")
             .select("a", F.col("vertex").alias("b"))
             .distinct()
@@ -300,14 +309,22 @@ def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
         new = written(_confirmed(pairs, sets), "links")
         if not new.isEmpty():
             labels = _merged(labels, new)
+        members = live.drop("label")
         if width == PIVOTS:  # only buckets with more vertices go on, without those that have met all others
             full = pivots.where(F.col("rank") == width).select("key", F.col("vertex").alias("met"))
-            members = written(live.drop("label").join(full, "key").where("vertex > met").drop("met"), "members")
+            members = written(members.join(full, "key").where("vertex > met").drop("met"), "members")
             if members.isEmpty():
                 return labels
         width = PIVOTS
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members with their labels, without the buckets whose members all have the same one."""
+    labelled = _labelled(members, labels)
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return written(labelled.join(mixed.select("key"), "key"), "live")
+
+
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links: only the components that the links join are worked on, then renamed."""
     ends = links
@@ -350,11 +367,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "classes",
     )
     members = written(_buckets(classes), "members")
-    wanted = (
-        classes.join(members.select("vertex").distinct(), "vertex", "left_semi")
-        .select("vertex", "pick.doc_id", "pick.text_hash")
-    )
-    labels = _linked(members, written(_sets(docs, wanted), "sets"))
+    traits = written(_traits(classes, members), "traits")
+    wanted = traits.select("vertex", "doc_id", "text_hash")
+    labels = _linked(members, traits, written(_sets(docs, wanted), "sets"))
     # an id with different texts ties their vertices together
     repeated = linked.groupBy("doc_id").agg(F.min("vertex").alias("low"), F.max("vertex").alias("high")).where("low <> high")
     ties = linked.join(repeated.select("doc_id", F.col("low").alias("a")), "doc_id").select("a", F.col("vertex").alias("b"))
