@@ -8,9 +8,11 @@ import mmap
 import re
 import struct
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +65,9 @@ class Merges:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks.setdefault((vocab[left], vocab[right]), rank)
             self.results.append(vocab[left + right])
+        # the ranks of a word's own pairs of bytes, by both bytes; the last pair ends the word
+        self.starts = [[self.ranks.get((a, b), NO_MERGE) for b in self.inner] for a in self.inner]
+        self.ends = [[self.ranks.get((a, b), NO_MERGE) for b in self.last] for a in self.inner]
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a word: the adjacent pair of lowest rank merges first, the leftmost of equals.
@@ -74,7 +79,10 @@ class Merges:
         if len(ids) > 256:
             return self.merge_long(ids)
         ranks, results = self.ranks.get, self.results
-        found = [ranks(pair, NO_MERGE) for pair in zip(ids, ids[1:], strict=False)]
+        starts = self.starts
+        found = [starts[a][b] for a, b in zip(word, word[1:], strict=False)]
+        if found:
+            found[-1] = self.ends[word[-2]][word[-1]]
         while found and (best := min(found)) < NO_MERGE:
             at = found.index(best)
             ids[at] = results[best]
@@ -118,14 +126,32 @@ class Merges:
 
     def words(self, stretch: str) -> list[bytes]:
         """Words of a stretch, normalised and lower-cased code point by code point."""
-        if not stretch.isascii():
-            stretch = unicodedata.normalize("NFC", stretch).replace("Σ", "σ")
-        folded = stretch.lower()
+        return [w.encode() for w in self.cut_words(self.folded(stretch))]
+
+    def folded(self, text: str) -> str:
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return text.lower()
+
+    def cut_words(self, folded: str) -> list[str]:
         if folded.isalpha():  # letters alone are one word
-            return [folded.encode()]
+            return [folded]
         if folded[-1:] in (".", ",") and folded[:-1].isalpha():
-            return [folded[:-1].encode(), folded[-1:].encode()]
-        return [w.encode() for w in self.pattern.findall(folded)]
+            return [folded[:-1], folded[-1:]]
+        return self.pattern.findall(folded)
+
+    def words_of(self, chunks: list[str]) -> tuple[list[str], list[str], dict[str, list[str]]]:
+        """The chunks that are one word, these words, and the words of each other chunk.
+
+        Chunks hold no line end, and nothing is normalised or folded across one, so all are folded in one run.
+        """
+        if not chunks:
+            return [], [], {}
+        folded = self.folded("\n".join(chunks)).split("\n")
+        alone = list(map(str.isalpha, folded))
+        cut = self.cut_words
+        several = {chunk: cut(f) for chunk, f, is_word in zip(chunks, folded, alone, strict=True) if not is_word}
+        return list(compress(chunks, alone)), list(compress(folded, alone)), several
 
 
 @lru_cache(maxsize=2)
@@ -159,8 +185,8 @@ class Transducer:
         self.next = take(np.int32, states, classes)
         self.skip = take(np.int32, states, classes)
         self.final = take(np.int32, states)
-        self.starts = take(np.int32, words + 1)
-        self.ids = take(np.uint32, ids)
+        self.starts = memoryview(take(np.int32, words + 1))  # its items are plain numbers
+        self.ids = memoryview(take(np.uint32, ids))
         self.classes = take(np.uint8, 256)
 
     @classmethod
@@ -264,16 +290,19 @@ class Codec:
 
     def learn(self, chunks) -> None:
         """Encode chunks: their words go through the transducer together, those it lacks are merged."""
-        chunks = list(chunks)
-        cut = [self.merges.words(c) for c in chunks]
-        words = list(set().union(*cut)) if cut else []
-        own: dict[bytes, bytes] = {}
-        for word, number in zip(words, self.lexicon.numbers(words).tolist(), strict=True):
-            own[word] = (
-                self.lexicon.ids_of(number) if number >= 0 else np.array(self.merges.merge(word), "<u4").tobytes()
-            )
-        for chunk, parts in zip(chunks, cut, strict=True):
-            self.known[chunk] = b"".join(map(own.__getitem__, parts))
+        alone, their, several = self.merges.words_of(list(chunks))
+        words = set(their).union(*several.values())
+        coded = [word.encode() for word in words]
+        merge, ids_of = self.merges.merge, self.lexicon.ids_of
+        numbers = self.lexicon.numbers(coded).tolist()
+        ids = [ids_of(n) if n >= 0 else array("I", merge(w)).tobytes() for w, n in zip(coded, numbers, strict=True)]
+        own = dict(zip(words, ids, strict=True)).__getitem__
+        found = list(map(own, their))
+        self.known.update(zip(alone, found, strict=True))
+        self.held += sum(map(len, found))
+        found = [b"".join(map(own, parts)) for parts in several.values()]
+        self.known.update(zip(several, found, strict=True))
+        self.held += sum(map(len, found))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; NULL is encoded as empty."""
@@ -291,7 +320,7 @@ class Codec:
         met = wanted.intersection(self.old)
         self.known.update(zip(met, map(self.old.__getitem__, met), strict=True))
         self.learn(wanted - met)
-        self.held += held_bytes(wanted) + sum(len(self.known[c]) for c in wanted)
+        self.held += held_bytes(wanted) + sum([len(self.old[c]) for c in met])
         known = self.known.__getitem__
         return [
             b"".join(struct.pack("<I", p) if isinstance(p, int) else b"".join(map(known, p)) for p in parts) for parts in cut
@@ -324,13 +353,16 @@ def frequent_words(docs: DataFrame, tokenizer: str, limit: int) -> DataFrame:
         merges = merges_of(tokenizer)
 
         def emit(found: Counter):
-            words: Counter[bytes] = Counter()
-            for chunk, n in found.items():
-                for word in merges.words(chunk):
-                    if len(word) <= MAX_WORD_BYTES:
-                        words[word] += n
+            alone, their, several = merges.words_of(list(found))
+            words = dict.fromkeys(their, 0)
+            for chunk, word in zip(alone, their, strict=True):
+                words[word] += found[chunk]
+            for chunk, parts in several.items():
+                for word in parts:
+                    words[word] = words.get(word, 0) + found[chunk]
+            counted = {code: n for word, n in words.items() if len(code := word.encode()) <= MAX_WORD_BYTES}
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"]
+                [pa.array(list(counted), pa.binary()), pa.array(list(counted.values()), pa.int64())], ["word", "n"]
             )
 
         found: Counter[str] = Counter()

@@ -42,7 +42,10 @@ def byte_slices(batches, column: int = 0, limit: int = SLICE_BYTES) -> Iterator[
 
 def held_bytes(texts: Collection[str]) -> int:
     """What texts take at most as keys of a cache; those beyond ASCII keep their UTF-8 form once it was asked for."""
-    return sum(map(sys.getsizeof, texts)) + 140 * len(texts) + 4 * sum([len(t) for t in texts if not t.isascii()])
+    wide = [t for t in texts if not t.isascii()]
+    chars = len("".join(wide))
+    narrow = sys.getsizeof("") * (len(texts) - len(wide)) + len("".join(texts)) - chars  # one byte a character
+    return narrow + sum(map(sys.getsizeof, wide)) + 140 * len(texts) + 4 * chars
 
 
 def remainder(doc_id: str, modulus: int) -> Column:
