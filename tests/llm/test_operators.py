@@ -278,6 +278,32 @@ def test_buckets_of_one_component_are_done_with(spark, monkeypatch):
         assert not seen[name][0][1] & {*near_dups.SKETCH, "marks", "halves", "n"}
 
 
+def test_links_are_confirmed_once_and_small_tables_are_one_file(spark, monkeypatch):
+    rng, files, plans, written, components = random.Random(9), {}, [], near_dups.written, near_dups.components
+
+    def recorded(df, name):
+        found = written(df, name)
+        files.setdefault(name, []).append(len(found.inputFiles()))
+        return found
+
+    def planned(edges):
+        plans.append(edges._jdf.queryExecution().optimizedPlan().toString())
+        return components(edges)
+
+    monkeypatch.setattr(near_dups, "written", recorded)
+    monkeypatch.setattr(near_dups, "components", planned)
+    rows = []
+    for family in range(30):
+        words = data.prose(family, 300).split()
+        for _ in range(4):
+            words[rng.randrange(300)] = "new"
+            rows.append((len(rows), " ".join(words)))
+    found = {r.doc_id: r.component_id for r in near_dups.near_duplicates(data.documents(spark, rows)).collect()}
+    assert found == groups(rows)
+    assert "Join" not in plans[0]  # the links are read from a table, each round asks for them twice
+    assert max(files["links"] + files["labels"] + files["traits"]) == 1
+
+
 def test_fingerprints(docs, none, rows):
     found = fingerprints.fingerprints(docs).collect()
     order = sorted({(i is not None, i if i is not None else 0, t or "") for i, t in rows if i != 18}, reverse=True)

@@ -90,6 +90,15 @@ def half_keys(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate([joined, sketch, np.packbits(parities.astype(np.uint8)).view(np.uint64)]).view(np.int64)
 
 
+def _gathered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written in as few files as its size asks for, not one for each task of the joins that made it.
+
+    For tables that are small beside the shuffles that make them. On a local path an executor starts `chmod` for the files
+    it writes, and until such a child has its own program it holds the executor's memory as well.
+    """
+    return written(df.hint("rebalance"), name)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     """One small row per document: set size, set hash (its vertex), half keys and sketch. The only pass over all texts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -225,7 +234,7 @@ def components(edges: DataFrame) -> DataFrame:
     rounds: list[DataFrame] = []
     while True:
         parents = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
-        rounds.append(_roots(written(parents, "parents")))
+        rounds.append(_roots(parents))
         for end in "ab":
             to = rounds[-1].select(F.col("node").alias(end), F.col("component").alias(f"to_{end}"))
             edges = edges.join(to, end, "left")
@@ -291,13 +300,14 @@ def _linked(members: DataFrame, traits: DataFrame, sets: DataFrame) -> DataFrame
         .agg(F.min("a").alias("a"))
         .select("a", F.col("vertex").alias("b"))
     )
-    labels = components(_confirmed(pairs, sets))
+    labels = components(_gathered(_confirmed(pairs, sets), "links"))  # each round reads them twice
     members, width = members.drop("first"), FIRST_PIVOTS
     while True:
         live = _mixed(members, labels)
         rank = F.row_number().over(Window.partitionBy("key").orderBy("vertex"))
         pivots = live.withColumn("rank", rank).where(F.col("rank") <= width)
-        pivots = written(pivots, "pivots")
+        if width == PIVOTS:  # read again below
+            pivots = written(pivots, "pivots")
         other = pivots.select("key", F.col("vertex").alias("a"), F.col("label").alias("label_a")).join(pivot, "a")
         pairs = (
             live.join(compared, "vertex")
@@ -306,7 +316,7 @@ def _linked(members: DataFrame, traits: DataFrame, sets: DataFrame) -> DataFrame
             .select("a", F.col("vertex").alias("b"))
             .distinct()
         )
-        new = written(_confirmed(pairs, sets), "links")
+        new = _gathered(_confirmed(pairs, sets), "links")
         if not new.isEmpty():
             labels = _merged(labels, new)
         members = live.drop("label")
@@ -335,7 +345,7 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     roots = components(edges.where("a <> b").distinct())
     renamed = labels.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
     renamed = renamed.select("node", F.coalesce("root", "component").alias("component"))
-    return written(renamed.unionByName(roots), "labels")
+    return _gathered(renamed.unionByName(roots), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -367,7 +377,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "classes",
     )
     members = written(_buckets(classes), "members")
-    traits = written(_traits(classes, members), "traits")
+    traits = _gathered(_traits(classes, members), "traits")
     wanted = traits.select("vertex", "doc_id", "text_hash")
     labels = _linked(members, traits, written(_sets(docs, wanted), "sets"))
     # an id with different texts ties their vertices together
@@ -377,7 +387,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not ties.isEmpty():
         labels = _merged(labels, ties)
     by_vertex = classes.select("vertex", "id").join(labels.withColumnRenamed("node", "vertex"), "vertex", "left")
-    by_vertex = written(by_vertex.select("vertex", "id", F.coalesce("component", "vertex").alias("component")), "labels")
+    by_vertex = _gathered(by_vertex.select("vertex", "id", F.coalesce("component", "vertex").alias("component")), "labels")
     least = by_vertex.groupBy("component").agg(F.min("id").alias("component_id"))
     found = by_vertex.join(least, "component").select("vertex", "component_id")
     return (
