@@ -132,6 +132,21 @@ def test_grid_equals_pairs(bars):
     assert rows(grid) and rows(grid) == rows(few)
 
 
+@pytest.mark.parametrize("grid", [True, False])
+def test_rows_by_bar_hold_the_signals_of_the_bars_asked_for(bars, grid):
+    folded = resample_by_count(bars, (1, 5)).withColumn("asked", F.col("bar_index") % 3 > 0)
+    keyed = {"position": "bar_index", "keys": ("symbol", "size")}
+    if grid:
+        found = lambda **more: crossover.mac_grid(folded, long_terms=(8, 14), short_terms=(6, 9), **keyed, **more)
+    else:
+        found = lambda **more: crossover.mac_signals(folded, [(12, 9), (10, 6), (10, 7)], blocks=TINY, **keyed, **more)
+    names = ["symbol", "size", "open_time", "indicator_id", "volume", "vol_avg", "vol3_avg"]
+    by_bar = found(only="asked", by_bar=True)
+    expected = found().join(folded.where("asked").select(*names[:3]), names[:3], "left_semi").select(*names)
+    assert rows(expected) and rows(crossover.signal_rows(by_bar).select(*names)) == rows(expected)
+    assert by_bar.count() == by_bar.select(*names[:3]).distinct().count()
+
+
 def test_without_broadcast(spark, bars):
     """Beyond the broadcast size the chunk table is met by a sort-merge join; same rows."""
     expected = rows(windows.bollinger_bands(bars, n=20, blocks=WHOLE))

@@ -261,6 +261,26 @@ def test_grid_signals_are_taken_back(spark, tmp_path):
     drain_signals(spark, [batches[0], batches[2], batches[1] + batches[3]], tmp_path, None, (1, 5), minute_chunk=16)
 
 
+@pytest.mark.parametrize("pairs", [None, [(10, 6), (10, 7), (12, 9)]])
+def test_signals_are_kept_by_bar_and_changes_by_signal(spark, tmp_path, pairs):
+    """Signals of a bar are one stored row; the changes of a batch lead from the batch job's rows before to those after."""
+    batches, sizes, seen = resent(spark, 23), (1, 5), {}
+    batches = [batches[0], batches[2] + batches[1], batches[3]]
+    path = drain_signals(spark, batches, tmp_path, pairs, sizes, minute_chunk=16)
+    stored = spark.read.parquet(f"{path}/signals")
+    assert stored.groupBy("batch", "symbol", "period", "open_time").count().where("count > 1").count() == 0
+    changes = spark.read.parquet(f"{path}/changes")
+    before, places = {}, [S.SIGNALS.names.index(c) for c in ("open_time", "symbol", "period", "indicator_id")]
+    for number, batch in enumerate(batches):
+        seen.update({(r["symbol"], r["open_time"]): r for r in batch})
+        found = signals_of(spark, bars_frame(spark, list(seen.values())), pairs, sizes)
+        after = {tuple(r[i] for i in places): r for r in found}
+        got = lambda w: rows(changes.where(f"batch = {number} AND withdrawn = {w}").select(*S.SIGNALS.names))  # noqa: B023, E731
+        assert got("true") == sorted((r for k, r in before.items() if k not in after), key=repr), number
+        assert got("false") == sorted((r for k, r in after.items() if before.get(k) != r), key=repr), number
+        before = after
+
+
 def test_a_resent_minute_reads_the_last_runs_alone(spark, tmp_path):
     found = as_dicts(bars_frame(spark, random_rows(5, {"A": 200}, gap=0)).orderBy("open_time").collect())
     path = drain_signals(spark, [found, found[-2:]], tmp_path, [(10, 6)], (1, 5), minute_chunk=16)

@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.signals import crossover_signal, pack_indicator_id
+from tickloom.functions.signals import BUY, SELL, crossover_signal, pack_indicator_id
 from tickloom.operators.bars import resample_by_count
 from tickloom.operators.blocks import (
     DEFAULT_BLOCKS,
@@ -132,12 +132,15 @@ def mac_signals(
     position: str | None = None,
     keys: Sequence[str] = SERIES,
     blocks: Blocks = DEFAULT_BLOCKS,
+    only: str | None = None,
+    by_bar: bool = False,
 ) -> DataFrame:
     """Crossover signals of a few (long, short) pairs, all pairs in one pass.
 
     The averages at a bar use earlier bars only (the bar itself is excluded); an
     average "over n" covers n-1 bars. A bar needs more than ``long + 1`` bars
-    before it. Volume means include the bar. One row per bar and signalling pair.
+    before it. Volume means include the bar. One row per bar and signalling pair;
+    ``only`` and ``by_bar`` as in ``mac_grid``.
     """
     for long_term, short_term in pairs:
         _check_terms(long_term, short_term)
@@ -147,8 +150,8 @@ def mac_signals(
     else:
         cut = split_positions(bars, position=position, keys=keys, before=longest + 2, blocks=blocks)
     w = cut.window
-    numbered = [] if position is None else [position]
-    rows = _running(cut, [*keys, "open_time", "volume", *numbered])
+    named = [c for c in (position, only) if c is not None]
+    rows = _running(cut, [*keys, "open_time", "volume", *named])
     means: dict[str, Column] = {"vol3_avg": _mean("_volumes", 0, 3, w)}
     for term in sorted({t for pair in pairs for t in pair}):
         means[f"_first{term}"] = _mean("_closes", 2, term - 1, w)
@@ -156,22 +159,35 @@ def mac_signals(
     for term in sorted({long_term for long_term, _ in pairs}):
         means[f"_volume{term}"] = _mean("_volumes", 0, term, w)
     rows = cut.owned(rows.withColumns(means))
-    found = []
-    for long_term, short_term in pairs:
+    if only is not None:
+        rows = rows.filter(only)
+
+    def signal(long_term: int, short_term: int) -> Column:
         rule = crossover_signal(
             F.col(f"_first{short_term}"),
             F.col(f"_last{short_term}"),
             F.col(f"_first{long_term}"),
             F.col(f"_last{long_term}"),
         )
-        found.append(
-            F.struct(
-                F.lit(long_term).alias("long_term"),
-                F.lit(short_term).alias("short_term"),
-                F.when(F.col("_at") >= long_term + 2, rule).alias("trade_signal"),
-                F.col(f"_volume{long_term}").alias("vol_avg"),
-            )
+        return F.when(F.col("_at") >= long_term + 2, rule)
+
+    if by_bar:
+        sets = []
+        for term in sorted({long_term for long_term, _ in pairs}):
+            shorts = sorted({short_term for long_term, short_term in pairs if long_term == term})
+            ids = F.array(*[_indicator_id(F.lit(term), F.lit(s), signal(term, s)) for s in shorts])
+            sets.append(_signal_set(F.lit(term), F.col(f"_volume{term}"), F.filter(ids, lambda i: i.isNotNull())))
+        shortest = min(long_term for long_term, _ in pairs)
+        return _bar_rows(rows.filter(F.col("_at") >= shortest + 2), F.array(*sets), keys)
+    found = [
+        F.struct(
+            F.lit(long_term).alias("long_term"),
+            F.lit(short_term).alias("short_term"),
+            signal(long_term, short_term).alias("trade_signal"),
+            F.col(f"_volume{long_term}").alias("vol_avg"),
         )
+        for long_term, short_term in pairs
+    ]
     return _signal_rows(rows.select(*keys, "open_time", "volume", "vol3_avg", F.inline(F.array(*found))), keys)
 
 
@@ -192,6 +208,30 @@ def _signal_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _indicator_id(long_term: Column, short_term: Column, signal: Column) -> Column:
+    """The id of a signal; NULL where there is none."""
+    return F.when(signal.isNotNull(), pack_indicator_id(F.lit(MAC), long_term, short_term, signal))
+
+
+def _signal_set(long_term: Column, vol_avg: Column, ids: Column) -> Column:
+    """The signals of a bar that share a long term and so their volume mean: an entry of ``signals``."""
+    held = F.struct(vol_avg.alias("vol_avg"), ids.alias("indicator_ids"))
+    return F.struct(long_term.alias("long_term"), held.alias("held"))
+
+
+def _bar_rows(rows: DataFrame, sets: Column, keys: Sequence[str]) -> DataFrame:
+    held = F.filter(sets, lambda s: F.size(s["held"]["indicator_ids"]) > 0)
+    volume = F.col("volume").cast("double").alias("volume")
+    return rows.select(*keys, "open_time", volume, "vol3_avg", F.map_from_entries(held).alias("signals"))
+
+
+def signal_rows(by_bar: DataFrame) -> DataFrame:
+    """One row for each signal of rows per bar, all other columns kept."""
+    kept = [c for c in by_bar.columns if c != "signals"]
+    sets = by_bar.select(*kept, F.explode("signals").alias("_long", "_held"))
+    return sets.select(*kept, F.col("_held.vol_avg").alias("vol_avg"), F.explode("_held.indicator_ids").alias("indicator_id"))
+
+
 def mac_grid(
     bars: DataFrame,
     *,
@@ -201,6 +241,8 @@ def mac_grid(
     short_terms: tuple[int, int] = SHORT_TERMS,
     blocks: Blocks = GRID_BLOCKS,
     partitions: int | None = None,
+    only: str | None = None,
+    by_bar: bool = False,
 ) -> DataFrame:
     """Crossover signals of every pair with short < long, for numbered bars.
 
@@ -214,18 +256,24 @@ def mac_grid(
     from the input, and no fewer than the shuffle setting. A stated number keeps AQE
     from merging partitions that hold few bytes but thousands of pairs per row. A NULL
     close or volume counts as no value.
+
+    ``only`` names a flag: bars without it are seen by the averages of others alone.
+    ``by_bar`` gives one row for each bar with enough bars before it, its signals in the
+    map ``signals``: for each long term that has any, the volume mean and the indicator ids
+    (``signal_rows`` makes rows of them).
     """
     low, high = long_terms
     short_low, short_high = short_terms
     _check_terms(low, short_low)
-    slim = bars.select(*keys, position, "open_time", "close_price", "volume")
+    flags = [] if only is None else [only]
+    slim = bars.select(*keys, position, "open_time", "close_price", "volume", *flags)
     cut = split_positions(slim, position=position, keys=keys, before=high + 2, blocks=blocks)
     if partitions is None:
         least = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         partitions = max(least, -(-slim.count() // GRID_ROWS))
     cut = replace(cut, df=cut.df.repartition(partitions, *keys, "_block"))
     w = cut.window
-    rows = _running(cut, [*keys, "open_time", "volume", position])
+    rows = _running(cut, [*keys, "open_time", "volume", position, *flags])
     recent = w.rowsBetween(-(high + 1), 0)
     rows = rows.withColumns(
         {
@@ -234,6 +282,8 @@ def mac_grid(
     )
     # A term n needs position n + 2 at least; so the arrays hold n + 2 sums or more.
     rows = cut.owned(rows).filter(F.col("_at") >= low + 2)
+    if only is not None:
+        rows = rows.filter(only)
     size = F.size("_closes")
 
     def mean(name: str, newest: int, oldest: Column | int) -> Column:
@@ -257,9 +307,27 @@ def mac_grid(
         mean("_volumes", 0, 3).alias("vol3_avg"),
         F.transform(F.sequence(F.lit(short_low), last_term), term_means).alias("_means"),
     )
-    # ``inline`` turns the fields of a term into plain variables of the generated loop.
     kept = [*keys, "open_time", "volume", "vol3_avg"]
     long_part = F.slice("_means", low - short_low + 1, high - low + 1)
+    if by_bar:
+        # The rule of ``crossover_signal``; what depends on the short term alone is looked at once for all long ones.
+        shorts = F.slice("_means", 1, short_high - short_low + 1)
+        valid = lambda s: (s["m1"] >= 0) & (s["m2"] >= 0)
+        up = F.filter(shorts, lambda s: (s["m1"] < s["m2"]) & valid(s))
+        down = F.filter(shorts, lambda s: (s["m1"] > s["m2"]) & valid(s))
+        rows = rows.select(*kept, long_part.alias("_longs"), up.alias("_up"), down.alias("_down"))
+
+        def crossing(name: str, long: Column, crosses, signal: str) -> Column:
+            shorter = F.when(long["n"] > short_high, F.col(name)).otherwise(F.filter(name, lambda s: s["n"] < long["n"]))
+            return F.transform(F.filter(shorter, crosses), lambda s: _indicator_id(long["n"], s["n"], F.lit(signal)))
+
+        def signal_set(long: Column) -> Column:
+            buys = crossing("_up", long, lambda s: (s["m1"] < long["m1"]) & (s["m2"] > long["m2"]), BUY)
+            sells = crossing("_down", long, lambda s: (s["m1"] > long["m1"]) & (s["m2"] < long["m2"]), SELL)
+            return _signal_set(long["n"], long["v"], F.concat(buys, sells))
+
+        return _bar_rows(rows, F.transform("_longs", signal_set), keys)
+    # ``inline`` turns the fields of a term into plain variables of the generated loop.
     rows = rows.select(*kept, "_means", F.inline(long_part).alias("long_term", "_l1", "_l2", "vol_avg"))
     count = F.least(F.col("long_term") - short_low, F.lit(short_high - short_low + 1))
     short_part = F.slice("_means", F.lit(1), count)
@@ -299,8 +367,10 @@ def mac_grid_signals(
     return as_signals(grid, sizes)
 
 
-def as_signals(rows: DataFrame, sizes: Sequence[int] = SIGNAL_PERIOD_MINUTES) -> DataFrame:
-    """Rows per (symbol, size) in the layout of the signal table."""
+def as_signals(
+    rows: DataFrame, sizes: Sequence[int] = SIGNAL_PERIOD_MINUTES, columns: Sequence[str] = SIGNALS.names
+) -> DataFrame:
+    """Rows per (symbol, size) in the layout of the signal table, or with other ``columns``."""
     listed = F.array(*[F.lit(n) for n in sizes])
     index = (F.array_position(listed, F.col("size")) - 1).cast("int")
-    return rows.withColumn("period", index).select(*SIGNALS.names)
+    return rows.withColumn("period", index).select(*columns)

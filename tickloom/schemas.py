@@ -113,6 +113,15 @@ SIGNALS = T.StructType(
     ]
 )
 
+# The signals of a bar in one row: by long term the volume mean and the ids.
+SIGNAL_SETS = T.MapType(
+    T.IntegerType(),
+    T.StructType([SIGNALS["vol_avg"], T.StructField("indicator_ids", T.ArrayType(T.IntegerType()))]),
+)
+BAR_SIGNALS = T.StructType(
+    [SIGNALS[c] for c in ("open_time", "symbol", "period", "volume", "vol3_avg")] + [T.StructField("signals", SIGNAL_SETS)]
+)
+
 MINUTE_MS = 60_000
 HOUR_MS = 60 * MINUTE_MS
 DAY_MS = 24 * HOUR_MS

@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -21,6 +24,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it the shuffle files of a query go when the query has ended, not when the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP_KEY, "false")
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP_KEY, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path for tables written between stages.
 

@@ -36,6 +36,7 @@ class LoggedTable:
 
     ``live`` is a condition on a row's columns: rows for which it does not hold say that their key is gone. Reads leave
     them out, and a compaction does so for good. Within a file rows are in the order of ``order``, by default of the keys.
+    ``codec`` is the compression of the files, by default that of the session.
     """
 
     path: str
@@ -45,6 +46,7 @@ class LoggedTable:
     combine: Callable[[DataFrame], DataFrame] | None = None
     live: Column | None = None
     order: tuple[str, ...] = ()
+    codec: str | None = None
 
     def _layout(self, spark: SparkSession) -> T.StructType:
         probe = spark.createDataFrame([], self.schema).select(*[c.alias(n) for n, c in self.parts.items()])
@@ -64,7 +66,7 @@ class LoggedTable:
         placed = rows.select(*self.schema.names).withColumns(self.parts)
         if self.order:
             placed = self._ordered(placed)
-        placed.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}/batch={batch}")
+        placed.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}/batch={batch}", compression=self.codec)
 
     def batches(self, spark: SparkSession, where: Column) -> DataFrame | None:
         """The rows as they came, with their ``batch``; ``where`` on ``batch`` and partition columns prunes directories."""
@@ -139,7 +141,7 @@ class LoggedTable:
         touched = tail.where((F.col("batch") > last) & (F.col("batch") <= upto)).select(*self.parts).distinct()
         found = self.read(spark, before=upto + 1).withColumns(self.parts).join(touched, list(self.parts), "left_semi")
         placed = self._ordered(found)
-        placed.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}_base/upto={upto}")
+        placed.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}_base/upto={upto}", compression=self.codec)
         touched.write.mode("overwrite").parquet(f"{self.path}_marks/upto={upto}")
 
 

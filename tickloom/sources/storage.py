@@ -148,9 +148,9 @@ def read_signals(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(layout).parquet(path).join(counts, ["run", "attempt"], "left_semi").select(*SIGNALS.names)
 
 
-def write_batch(rows: DataFrame, path: str, batch: int) -> None:
+def write_batch(rows: DataFrame, path: str, batch: int, codec: str | None = None) -> None:
     """Write one micro-batch to its own directory; a replay of the batch replaces it."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}", compression=codec)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

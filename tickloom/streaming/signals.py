@@ -11,14 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.bars import SUMMED, fold_positions
 from tickloom.operators.blocks import DEFAULT_BLOCKS, SERIES, Blocks, split_positions, with_position
-from tickloom.operators.crossover import LONG_TERMS, SHORT_TERMS, as_signals, mac_grid, mac_signals
+from tickloom.operators.crossover import LONG_TERMS, SHORT_TERMS, as_signals, mac_grid, mac_signals, signal_rows
 from tickloom.operators.keyed import latest_per_key
-from tickloom.schemas import BARS, SIGNAL_PERIOD_MINUTES, SIGNALS
+from tickloom.schemas import BAR_SIGNALS, BARS, SIGNAL_PERIOD_MINUTES, SIGNAL_SETS, SIGNALS
+from tickloom.session import shuffles_dropped
 from tickloom.sources.logged import LoggedTable, logged
 from tickloom.sources.storage import write_batch
 from tickloom.streaming.feeds import run_batches
 
-SIGNAL_KEY = ("symbol", "period", "open_time", "indicator_id")
+SIGNAL_BAR = ("symbol", "period", "open_time")
 BAR_OF = ("symbol", "size")
 NUMBERED = T.StructType([*BARS.fields, T.StructField("position", T.LongType(), False)])
 FOLDED = T.StructType(
@@ -38,6 +39,7 @@ STARTS = T.StructType(
     ]
 )
 STATED = T.StructType([*SIGNALS.fields, T.StructField("withdrawn", T.BooleanType(), False)])
+SIGNAL_CODEC = "zstd"
 MINUTE_CHUNK = 1 << 14
 BAR_CHUNK = 1 << 12
 
@@ -59,8 +61,9 @@ def folded_table(path: str) -> LoggedTable:
 
 
 def signals_table(path: str) -> LoggedTable:
-    day = F.to_date(F.timestamp_millis("open_time"))
-    return logged(f"{path}/signals", STATED, SIGNAL_KEY, period=F.col("period"), day=day)
+    """The signals, one row for each bar; a row without any says that its bar has none any more."""
+    parts = {"period": F.col("period"), "day": F.to_date(F.timestamp_millis("open_time"))}
+    return LoggedTable(f"{path}/signals", BAR_SIGNALS, SIGNAL_BAR, parts, live=F.size("signals") > 0, codec=SIGNAL_CODEC)
 
 
 def stream_signals(
@@ -88,12 +91,14 @@ def stream_signals(
     changed: work grows with how far back its oldest minute lies, not with the history, and the feed's usual case, new
     minutes and the open one again, reads the last runs alone.
 
-    ``path/changes`` gets, per batch, the signals that are ``withdrawn`` and those that are new; ``path/signals`` is the
-    table they add up to (``read_stream_signals``). A replayed batch replaces its own rows everywhere.
+    ``path/changes`` gets, per batch, the signals that are ``withdrawn`` and those that are new, a row each; ``path/signals``
+    is the table they add up to (``read_stream_signals``), a row for each bar: batches are compared, moved and written by
+    bar. A replayed batch replaces its own rows everywhere.
     """
     if minute_chunk < max(sizes):
         raise ValueError("a run of positions must hold a bar of the largest size")
     longest = max(long_term for long_term, _ in pairs) if pairs is not None else long_terms[1]
+    shortest = min(long_term for long_term, _ in pairs) if pairs is not None else long_terms[0]
     reach = longest + 2
     spark = minute_bars.sparkSession
     minutes, starts = minutes_table(path, minute_chunk), starts_table(path)
@@ -106,9 +111,10 @@ def stream_signals(
         return spark.read.schema(rows.schema).parquet(f"{path}/{name}/batch={number}")
 
     def evaluated(bars: DataFrame) -> DataFrame:
+        kept = {"position": "bar_index", "keys": BAR_OF, "only": "_affected", "by_bar": True}
         if pairs is not None:
-            return mac_signals(bars, pairs, position="bar_index", keys=BAR_OF, blocks=blocks)
-        return mac_grid(bars, position="bar_index", keys=BAR_OF, long_terms=long_terms, short_terms=short_terms)
+            return mac_signals(bars, pairs, blocks=blocks, **kept)
+        return mac_grid(bars, long_terms=long_terms, short_terms=short_terms, **kept)
 
     def handle(batch: DataFrame, number: int) -> None:
         named = batch.select(*BARS.names, *ordered).where("symbol IS NOT NULL AND open_time IS NOT NULL")
@@ -175,24 +181,56 @@ def stream_signals(
         )
         around = landed(cut.owned(flagged).where("_needed").select(*FOLDED.names, "_affected"), "around", number)
 
-        # 5. their signals now, and those they had
+        # 5. their signals now; bars that are no longer there have none
         affected = around.where("_affected").select(*BAR_OF, "bar_index", "open_time")
-        found = evaluated(around.select(*FOLDED.names)).join(affected.select(*BAR_OF, "open_time"), [*BAR_OF, "open_time"], "left_semi")
-        now = landed(as_signals(found, sizes), "now", number)
         had_bars = before.join(affected.select(*BAR_OF, "bar_index"), [*BAR_OF, "bar_index"], "left_semi")
-        had_bars = as_bars(had_bars, sizes)
+        had_bars = landed(as_bars(had_bars, sizes), "had", number)
+        now_bars = as_bars(affected.where(F.col("bar_index") >= shortest + 2), sizes)
+        emptied = landed(had_bars.join(now_bars, list(SIGNAL_BAR), "left_anti"), "emptied", number)
+        nothing = {c: F.lit(None).cast(BAR_SIGNALS[c].dataType) for c in ("volume", "vol3_avg", "signals")}
+        now = as_signals(evaluated(around), sizes, BAR_SIGNALS.names)
+        signals.append(now.unionByName(emptied.withColumns(nothing)), number)
+
+        # 6. what that takes back and what it adds
+        now = signals.batches(spark, F.col("batch") == number).select(*BAR_SIGNALS.names)
         earliest = had_bars.agg(F.to_date(F.timestamp_millis(F.min("open_time")))).first()[0]
         if earliest is None:
-            changes = now.withColumn("withdrawn", F.lit(False))
+            changes = signal_rows(now).withColumn("withdrawn", F.lit(False))
         else:
-            had = signals.read(spark, F.col("day") >= F.lit(earliest), before=number).where("NOT withdrawn").drop("withdrawn")
-            had = had.join(had_bars, ["symbol", "period", "open_time"], "left_semi").select(*SIGNALS.names)
-            gone = had.join(now.select(*SIGNAL_KEY), list(SIGNAL_KEY), "left_anti").withColumn("withdrawn", F.lit(True))
-            changes = now.subtract(had).withColumn("withdrawn", F.lit(False)).unionByName(gone)
-        changes = landed(changes.select(*STATED.names), "changes", number)
-        signals.append(changes, number)
+            changes = changed_signals(signals.read(spark, F.col("day") >= F.lit(earliest), before=number), now)
+        write_batch(changes.select(*STATED.names), f"{path}/changes", number, SIGNAL_CODEC)
 
-    return run_batches(minute_bars, handle, f"{path}/checkpoint", available_now=available_now)
+    def handle_and_clean(batch: DataFrame, number: int) -> None:
+        with shuffles_dropped(spark):  # every step is written once, and read from there
+            handle(batch, number)
+
+    return run_batches(minute_bars, handle_and_clean, f"{path}/checkpoint", available_now=available_now)
+
+
+def changed_signals(had: DataFrame, now: DataFrame) -> DataFrame:
+    """Signals of the bars in ``now`` that it lacks (``withdrawn``) and those it has anew or with other values.
+
+    Both hold a bar once, with all its signals, so that only bars are joined.
+    """
+    earlier = had.select(*SIGNAL_BAR, *[F.col(c).alias(f"_{c}") for c in ("volume", "vol3_avg", "signals")])
+    both = now.join(earlier, list(SIGNAL_BAR), "left")
+    same = F.col("volume").eqNullSafe(F.col("_volume")) & F.col("vol3_avg").eqNullSafe(F.col("_vol3_avg"))
+    sets = lambda name: F.coalesce(F.col(name), F.create_map().cast(SIGNAL_SETS))
+    ids = lambda held: F.coalesce(held["indicator_ids"], F.array().cast("array<int>"))
+
+    def turned(_: Column, old: Column, new: Column) -> Column:
+        added = F.when(same & old["vol_avg"].eqNullSafe(new["vol_avg"]), F.array_except(ids(new), ids(old))).otherwise(ids(new))
+        return F.array(
+            F.struct(F.lit(True).alias("withdrawn"), old["vol_avg"].alias("vol_avg"), F.array_except(ids(old), ids(new)).alias("_ids")),
+            F.struct(F.lit(False).alias("withdrawn"), new["vol_avg"].alias("vol_avg"), added.alias("_ids")),
+        )
+
+    values = ("volume", "vol3_avg")
+    kept = [*SIGNAL_BAR, *values, *[f"_{c}" for c in values]]
+    rows = both.select(*kept, F.explode(F.map_zip_with(sets("_signals"), sets("signals"), turned)).alias("_long", "_turned"))
+    rows = rows.select(*kept, F.inline("_turned"))
+    rows = rows.select(*kept, "withdrawn", "vol_avg", F.explode("_ids").alias("indicator_id"))
+    return rows.withColumns({c: F.when(F.col("withdrawn"), F.col(f"_{c}")).otherwise(F.col(c)) for c in values})
 
 
 def as_bars(rows: DataFrame, sizes: Sequence[int]) -> DataFrame:
@@ -203,7 +241,7 @@ def as_bars(rows: DataFrame, sizes: Sequence[int]) -> DataFrame:
 
 def read_stream_signals(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
     """The signals as of the last batch; ``where`` on ``period`` and ``day`` reads only the partitions asked for."""
-    return signals_table(path).read(spark, where).where("NOT withdrawn").select(*SIGNALS.names)
+    return signal_rows(signals_table(path).read(spark, where)).select(*SIGNALS.names)
 
 
 def compact_stream_signals(spark: SparkSession, path: str, upto: int, minute_chunk: int = MINUTE_CHUNK) -> None:
