@@ -21,6 +21,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     # A union of parts shuffled alike keeps their partitions apart, not one of each part in one task.
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    # Plans show their filters whole; by default they are cut at 100 characters, which depends on the ids of columns.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     return spark
 
 
